@@ -95,15 +95,14 @@ def _tag_by_literals(edits, by_topic, columns, mode, longest) -> DataFrame:
     terms = _terms(T.joined_lower(*columns), mode, longest)
     hits = F.filter(terms, lambda term: term.isin(every))
 
+    def among(words: list[str]):
+        return lambda term: term.isin(words)
+
     def named(found: Column) -> Column:
-        return F.array_compact(
-            F.array(
-                *[
-                    F.when(F.exists(found, lambda term, words=words: term.isin(words)), F.lit(topic))
-                    for topic, words in sorted(by_topic.items())
-                ]
-            )
-        )
+        named_or_null = [
+            F.when(F.exists(found, among(words)), F.lit(topic)) for topic, words in sorted(by_topic.items())
+        ]
+        return F.array_compact(F.array(*named_or_null))
 
     # One-element arrays bind a value to a name, so the text is split once;
     # exploding them drops the row without topics in the same step.
