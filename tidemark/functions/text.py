@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,19 +23,24 @@ def unicode_tokens(text: Column) -> Column:
     return F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda token: F.length(token) > 0)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value worked out once, however often ``body`` names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def phrases(tokens: Column, longest: int) -> Column:
     """All runs of one to ``longest`` neighbouring tokens, joined by a blank."""
 
-    def runs(size: int) -> Column:
-        starts = F.when(F.size(tokens) >= size, F.sequence(F.lit(1), F.size(tokens) - (size - 1)))
-        return F.transform(
-            F.coalesce(starts, F.array().cast("array<int>")),
-            lambda start: F.array_join(F.slice(tokens, start, size), " "),
-        )
+    def runs(words: Column) -> Column:
+        found, run = [words], words
+        for size in range(2, longest + 1):
+            # Each longer run is a shorter one and the word after it.
+            rest = F.slice(words, size, F.greatest(F.size(words) - (size - 1), F.lit(0)))
+            run = F.zip_with(F.slice(run, 1, F.size(rest)), rest, lambda left, last: F.concat_ws(" ", left, last))
+            found.append(run)
+        return F.concat(*found)
 
-    if longest == 1:
-        return tokens
-    return F.concat(tokens, *[runs(size) for size in range(2, longest + 1)])
+    return tokens if longest == 1 else let(tokens, runs)
 
 
 def sorted_text(values: Column) -> Column:

@@ -104,8 +104,8 @@ def _tag_by_literals(edits, by_topic, columns, mode, longest) -> DataFrame:
         ]
         return F.array_compact(F.array(*named_or_null))
 
-    # One-element arrays bind a value to a name, so the text is split once;
-    # exploding them drops the row without topics in the same step.
+    # The one-element array binds the hits, so the text is split once; exploding
+    # it drops the row without topics in the same step.
     tagged = F.filter(F.transform(F.array(hits), named), lambda topics: F.size(topics) > 0)
     return edits.withColumn("topics", F.explode(tagged))
 

@@ -25,10 +25,10 @@ SELECT CAST(event_id AS VARCHAR) AS meta_id, date_trunc('second', ts) AS dt,
        lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS page_country_code,
        array_to_string(list_filter([
          CASE WHEN event_type IN ('click', 'view') THEN 'attention' END,
-         CASE WHEN json_extract_string(props, '$.k') = '69' THEN 'sixty-nine' END,
+         CASE WHEN json_extract_string(props, '$.k') = '69' OR user_id = 69 THEN 'sixty-nine' END,
          CASE WHEN event_type = 'purchase' THEN 'trade' END], lambda x: x IS NOT NULL), ', ') AS topics
 FROM events JOIN customer ON c_custkey = user_id
-WHERE event_type IN ('click', 'view', 'purchase') OR json_extract_string(props, '$.k') = '69'
+WHERE event_type IN ('click', 'view', 'purchase') OR json_extract_string(props, '$.k') = '69' OR user_id = 69
 """)
 def stream_edits_stored(spark: SparkSession, folder: str) -> DataFrame:
     """Enriched text with repeats, tagged and stored once per id."""
