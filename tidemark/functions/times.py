@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import seeds
+from tidemark.functions.text import let
 
 
 def moment(df: DataFrame, column: str, as_of: str) -> Column:
@@ -31,9 +32,12 @@ def parse_iso(text: Column) -> Column:
 def local_to_utc(wall: Column, zone: Column) -> Column:
     """Wall-clock time to UTC; a repeated hour is read as standard time."""
     wall = wall.cast("timestamp")
-    first = F.to_utc_timestamp(wall, zone)
-    later = first + F.expr("INTERVAL 1 HOUR")
-    return F.when(F.from_utc_timestamp(later, zone) == wall, later).otherwise(first)
+
+    def settled(first: Column) -> Column:
+        later = first + F.expr("INTERVAL 1 HOUR")
+        return F.when(F.from_utc_timestamp(later, zone) == wall, later).otherwise(first)
+
+    return let(F.to_utc_timestamp(wall, zone), settled)
 
 
 def is_final(interval: Column, start: Column, as_of: Column, strict: bool = False) -> Column:
@@ -54,10 +58,10 @@ def is_final(interval: Column, start: Column, as_of: Column, strict: bool = Fals
     ).otherwise(F.lit(True))
 
 
-def retained(interval: Column, start: Column, as_of: Column) -> Column:
-    """Whether a bar is young enough for the retention of its interval."""
+def oldest_retained(interval: Column, as_of: Column) -> Column:
+    """The earliest start a bar of this interval is kept with."""
     bounds = [
         F.when(interval == name, as_of - F.expr(f"INTERVAL {age}"))
         for name, age in seeds.RETENTION.items()
     ]
-    return start >= F.coalesce(*bounds, as_of - F.expr(f"INTERVAL {seeds.RETENTION_OTHER}"))
+    return F.coalesce(*bounds, as_of - F.expr(f"INTERVAL {seeds.RETENTION_OTHER}"))

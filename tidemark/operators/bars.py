@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import seeds
 from tidemark.functions.numbers import nan_to_null
-from tidemark.functions.times import is_final, local_to_utc, retained
+from tidemark.functions.times import is_final, local_to_utc, oldest_retained
 from tidemark.operators.skew import fact_dim_join
 from tidemark.operators.upsert import upsert
 
@@ -38,8 +38,16 @@ def normalize_bars(
         instants.append(F.col("ts").cast("timestamp"))
     if "ts_local" in raw.columns:
         instants.append(local_to_utc(F.col("ts_local"), F.col("_tz")))
-    rows = fact_dim_join(wanted, known, ["symbol"], "inner", spread_by).withColumn("ts_utc", F.coalesce(*instants))
-    return rows.where(retained(F.col("interval"), F.col("ts_utc"), now)).select(
+    oldest = oldest_retained(F.col("interval"), now)
+    for column in ("ts", "ts_local"):
+        # No clock is a day off, so this drops most old bars before the join.
+        if column in raw.columns:
+            early = F.col(column).cast("timestamp") < oldest - F.expr("INTERVAL 1 DAY")
+            wanted = wanted.where(~F.coalesce(early, F.lit(False)))
+    rows = fact_dim_join(wanted, known, ["symbol"], "inner", spread_by)
+    # Generating the instant keeps the filter on it from working it out again.
+    kept = F.filter(F.array(F.coalesce(*instants)), lambda start: start >= oldest)
+    return rows.withColumn("ts_utc", F.explode(kept)).select(
         F.col("_id").alias("ticker_id"),
         "ts_utc",
         "interval",

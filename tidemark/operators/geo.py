@@ -8,93 +8,111 @@ from pyspark.sql import functions as F
 from tidemark import schemas, seeds
 from tidemark.operators.articles import server
 from tidemark.operators.skew import fact_dim_join
-from tidemark.session import cut_lineage
+from tidemark.session import written
 
 
-def entity_nodes(claims: DataFrame) -> DataFrame:
-    """One row per entity with the first claim of each kind, lowest ``ord`` first."""
+def _first(value: Column, valid: Column) -> Column:
+    """The valid value with the lowest ``ord``."""
+    return F.min_by(F.when(valid, value), F.when(valid, F.col("ord")))
+
 
-    def first(value: Column, valid: Column) -> Column:
-        return F.min_by(F.when(valid, value), F.when(valid, F.col("ord")))
+def entity_codes(claims: DataFrame) -> DataFrame:
+    """The ISO code of every entity that has one: its first of two characters."""
+    codes = claims.where((F.col("property") == seeds.ISO2_OF) & (F.length("value_str") == 2))
+    return codes.groupBy("qid").agg(F.upper(F.min_by("value_str", "ord")).alias("iso2"))
+
+
+def entity_nodes(claims: DataFrame) -> DataFrame:
+    """One row per entity with the first claim of each kind."""
 
     def first_id(name: str) -> Column:
-        return first(F.col("value_qid"), (F.col("property") == name) & (F.length("value_qid") > 0))
+        return _first(F.col("value_qid"), (F.col("property") == name) & (F.length("value_qid") > 0))
 
     is_country = (F.col("property") == seeds.INSTANCE_OF) & (F.upper("value_qid") == seeds.COUNTRY_CLASS)
-    iso2 = first(F.col("value_str"), (F.col("property") == seeds.ISO2_OF) & (F.length("value_str") == 2))
     return claims.groupBy("qid").agg(
         F.coalesce(F.max(is_country), F.lit(False)).alias("is_country"),
         first_id(seeds.COUNTRY_OF).alias("p17"),
         first_id(seeds.LOCATED_IN).alias("p131"),
-        F.upper(iso2).alias("iso2"),
     )
 
 
 def entity_countries(claims: DataFrame) -> DataFrame:
-    """qid -> country for every entity that resolves.
+    """Country of every entity that resolves, as a table in the shared folder.
 
     The direct country counts if it has an ISO code. Otherwise the walk starts
     at the entity and climbs by its location, at most four entities in all. It
     ends at the first that is a country or names one, with or without a code.
+    Only entities that have not ended are joined again, and each step is
+    written, so that the next one sees its true size.
     """
-    nodes = cut_lineage(entity_nodes(claims))
-    codes = nodes.where(F.col("iso2").isNotNull()).select(
-        F.col("qid").alias("p17"), F.col("iso2").alias("p17_iso2")
-    )
-    stops = F.col("is_country") | F.col("p17").isNotNull()
-    step = cut_lineage(
-        fact_dim_join(nodes, codes, ["p17"], "left", ["qid"]).select(
+    codes = written(entity_codes(claims), "codes")
+    own = codes.withColumnRenamed("iso2", "own_iso2")
+    named = codes.select(F.col("qid").alias("p17"), F.col("iso2").alias("p17_iso2"))
+    nodes = fact_dim_join(entity_nodes(claims), own, ["qid"], "left", ["qid"])
+    nodes = fact_dim_join(nodes, named, ["p17"], "left", ["qid"])
+    is_country, direct = F.col("is_country"), F.col("p17").isNotNull()
+    steps = written(
+        nodes.select(
             "qid",
             "p17",
             "p17_iso2",
-            F.when(F.col("is_country"), F.col("qid")).otherwise(F.col("p17")).alias("stop"),
-            F.when(F.col("is_country"), F.col("iso2")).otherwise(F.col("p17_iso2")).alias("stop_iso2"),
-            F.when(~stops, F.col("p131")).alias("above"),
-        )
+            F.when(is_country, F.col("qid")).otherwise(F.col("p17")).alias("stop"),
+            F.when(is_country, F.col("own_iso2")).otherwise(F.col("p17_iso2")).alias("stop_iso2"),
+            F.when(~is_country & ~direct, F.col("p131")).alias("above"),
+        ),
+        "steps",
     )
-    walked = step
-    for _ in range(seeds.ASCENT_NODES - 1):
-        parent = step.select(
-            F.col("qid").alias("above"),
-            F.col("stop").alias("_stop"),
-            F.col("stop_iso2").alias("_iso2"),
-            F.col("above").alias("_above"),
-        )
-        walked = fact_dim_join(walked, parent, ["above"], "left", ["qid"]).select(
+    ended = [
+        steps.select(
             "qid",
-            "p17",
-            "p17_iso2",
-            F.coalesce("stop", "_stop").alias("stop"),
-            F.coalesce("stop_iso2", "_iso2").alias("stop_iso2"),
-            F.col("_above").alias("above"),
+            F.coalesce("p17", "stop").alias("country"),
+            F.coalesce("p17_iso2", "stop_iso2").alias("iso2"),
+            direct.alias("direct"),
+        )
+    ]
+    parents = steps.select(F.col("qid").alias("above"), "stop", "stop_iso2", F.col("above").alias("next"))
+    climbing = steps.select("qid", "above")
+    for node in range(2, seeds.ASCENT_NODES + 1):
+        reached = fact_dim_join(climbing.where("above is not null"), parents, ["above"], "inner", ["qid"])
+        reached = written(reached.select("qid", "stop", "stop_iso2", F.col("next").alias("above")), f"node{node}")
+        ended.append(
+            reached.select("qid", F.col("stop").alias("country"), F.col("stop_iso2").alias("iso2"), F.lit(False).alias("direct"))
         )
-    direct = F.col("p17").isNotNull()
-    return walked.select(
+        climbing = reached.select("qid", "above")
+    found = ended[0]
+    for more in ended[1:]:
+        found = found.unionByName(more)
+    by_direct = F.col("direct")
+    return found.where("country is not null and iso2 is not null").select(
         F.col("qid").alias("page_qid"),
-        F.coalesce("p17", "stop").alias("page_country_qid"),
-        F.coalesce("p17_iso2", "stop_iso2").alias("page_country_code"),
-        F.when(direct, seeds.METHOD_DIRECT).otherwise(seeds.METHOD_ASCENT).alias("geo_method"),
-        F.when(direct, seeds.CONFIDENCE_DIRECT).otherwise(seeds.CONFIDENCE_ASCENT).alias("geo_confidence"),
-    ).where(F.col("page_country_qid").isNotNull() & F.col("page_country_code").isNotNull())
+        F.col("country").alias("page_country_qid"),
+        F.col("iso2").alias("page_country_code"),
+        F.when(by_direct, seeds.METHOD_DIRECT).otherwise(seeds.METHOD_ASCENT).alias("geo_method"),
+        F.when(by_direct, seeds.CONFIDENCE_DIRECT).otherwise(seeds.CONFIDENCE_ASCENT).alias("geo_confidence"),
+    )
 
 
 GEO_COLUMNS = ["page_qid", "page_country_qid", "page_country_code", "geo_method", "geo_confidence"]
 
 
+def place_pages(pages: DataFrame, countries: DataFrame) -> DataFrame:
+    """Add the country columns to a page table with a ``qid``; written once, read by every batch."""
+    placed = pages.withColumnRenamed("qid", "page_qid").join(countries, "page_qid", "left")
+    return written(placed, "pages")
+
+
 def resolve_country(
     marked: DataFrame,
     page_entity: DataFrame,
     sitelink: DataFrame,
-    countries: DataFrame,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Fill page and country columns and the later drop reasons.
 
-    ``marked`` comes from ``mark_articles``. ``page_entity`` (server_name,
-    title, qid) and ``sitelink`` (site, title, qid) are unique per page; the
-    second is asked only by sites with the usual suffix. ``countries`` is the
-    result of ``entity_countries``. Events that are already dropped match
-    nothing, as their join keys are null.
+    ``marked`` comes from ``mark_articles``, the other two from ``place_pages``
+    over pages by (server_name, title) and by (site, title), unique per page.
+    The second is asked only by sites with the usual suffix. Events that are
+    already dropped match nothing, as their join keys are null.
     """
     keep = F.col("skip_reason").isNull()
     events = marked.drop(*GEO_COLUMNS).withColumns(
@@ -103,19 +121,19 @@ def resolve_country(
             "_site": F.when(keep & F.endswith("wiki", F.lit(seeds.SITE_SUFFIX)), F.col("wiki")),
         }
     )
-    primary = page_entity.select(F.col("server_name").alias("_server"), "title", F.col("qid").alias("_primary"))
-    second = sitelink.select(F.col("site").alias("_site"), "title", F.col("qid").alias("_second"))
+    place = F.struct(*GEO_COLUMNS)
+    primary = page_entity.select(F.col("server_name").alias("_server"), "title", place.alias("_primary"))
+    second = sitelink.select(F.col("site").alias("_site"), "title", place.alias("_second"))
     found = fact_dim_join(events, primary, ["_server", "title"], "left", spread_by)
     found = fact_dim_join(found, second, ["_site", "title"], "left", spread_by)
-    found = found.withColumn("page_qid", F.coalesce("_primary", "_second"))
-    placed = fact_dim_join(found, countries, ["page_qid"], "left", spread_by)
+    found = found.withColumn("_place", F.coalesce("_primary", "_second"))
     reason = (
-        F.when(F.col("skip_reason").isNotNull(), F.col("skip_reason"))
-        .when(F.col("page_qid").isNull(), "no-qid")
-        .when(F.col("page_country_code").isNull(), "no-country")
+        F.when(~keep, F.col("skip_reason"))
+        .when(F.col("_place").isNull(), "no-qid")
+        .when(F.col("_place.page_country_code").isNull(), "no-country")
     )
     rest = [c for c in marked.columns if c not in GEO_COLUMNS and c != "skip_reason"]
-    return placed.select(*rest, *GEO_COLUMNS, reason.alias("skip_reason"))
+    return found.select(*rest, "_place.*", reason.alias("skip_reason"))
 
 
 def centroids(features: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
@@ -142,15 +160,16 @@ def centroids(features: DataFrame, fallback: DataFrame | None = None) -> DataFra
         F.when(F.col("xy").rlike(r"^\s*(\[\s*){4}"), F.flatten(F.from_json("xy", f"array<{ring}>")))
         .when(F.col("xy").rlike(r"^\s*(\[\s*){3}"), F.from_json("xy", ring))
     )
-    vertices = parsed.where("iso2 is not null").select("ord", "iso2", F.flatten(rings).alias("vertices"))
 
-    def mean(place: int) -> Column:
-        total = F.aggregate("vertices", F.lit(0.0), lambda sum_, point: sum_ + point[place])
-        return F.try_divide(total, F.size("vertices"))
+    def mean(vertices: Column, place: int) -> Column:
+        return F.aggregate(vertices, F.lit(0.0), lambda total, point: total + point[place]) / F.size(vertices)
 
+    # Generating the point keeps the text from being parsed for each use of it.
+    outlines = F.filter(F.array(F.flatten(rings)), lambda vertices: F.size(vertices) > 0)
+    means = F.transform(outlines, lambda v: F.struct(mean(v, 0).alias("lon"), mean(v, 1).alias("lat")))
     points = (
-        vertices.where(F.size("vertices") > 0)
-        .select("iso2", "ord", F.struct(mean(0).alias("lon"), mean(1).alias("lat")).alias("point"))
+        parsed.where("iso2 is not null")
+        .select("iso2", "ord", F.explode(means).alias("point"))
         .groupBy("iso2")
         .agg(F.max_by("point", "ord").alias("point"))
         .select("iso2", "point.lon", "point.lat")

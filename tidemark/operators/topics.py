@@ -92,12 +92,12 @@ def _tag_by_literals(edits, by_topic, columns, mode, longest) -> DataFrame:
     if not by_topic:
         return edits.withColumn("topics", F.array().cast("array<string>")).where(F.lit(False))
     every = sorted({keyword for keywords in by_topic.values() for keyword in keywords})
-    terms = _terms(T.joined_lower(*columns), mode, longest)
-    hits = F.filter(terms, lambda term: term.isin(every))
 
     def among(words: list[str]):
         return lambda term: term.isin(words)
 
+    hits = F.filter(_terms(T.joined_lower(*columns), mode, longest), among(every))
+
     def named(found: Column) -> Column:
         named_or_null = [
             F.when(F.exists(found, among(words)), F.lit(topic)) for topic, words in sorted(by_topic.items())

@@ -12,7 +12,7 @@ from tidemark.operators.dedup import one_per_id
 from tidemark.plans import dashboard, signals, views
 from tidemark.queries.registry import ACTIVITY_HOUR, AS_OF, EDITS, query, with_
 from tidemark.sources import star
-from tidemark.sources.edits import parse_edits, parse_raw_edits, valid_messages
+from tidemark.sources.edits import parse_edits, parse_raw_edits
 from tidemark.sources.sinks import as_messages
 
 _ARTICLE_REASON = """
@@ -42,7 +42,7 @@ def parsed_edits(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"SELECT CAST(event_id AS VARCHAR) AS meta_id, {_ARTICLE_REASON} AS skip_reason FROM events")
 def article_filter(spark: SparkSession, folder: str) -> DataFrame:
-    marked = articles.mark_articles(parse_raw_edits(valid_messages(star.feed(spark, folder))))
+    marked = articles.mark_articles(parse_raw_edits(star.feed(spark, folder)))
     return marked.select(F.col("meta.id").alias("meta_id"), "skip_reason")
 
 
@@ -95,12 +95,11 @@ placed AS (
 
 
 def _resolved(spark: SparkSession, folder: str) -> DataFrame:
-    marked = articles.mark_articles(parse_raw_edits(valid_messages(star.feed(spark, folder))))
+    countries = geo.entity_countries(star.claims(spark, folder))
     return geo.resolve_country(
-        marked,
-        star.page_entities(spark, folder),
-        star.sitelinks(spark, folder),
-        geo.entity_countries(star.claims(spark, folder)),
+        articles.mark_articles(parse_raw_edits(star.feed(spark, folder))),
+        geo.place_pages(star.page_entities(spark, folder), countries),
+        geo.place_pages(star.sitelinks(spark, folder), countries),
         ["raw"],
     )
 

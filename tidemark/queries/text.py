@@ -107,11 +107,8 @@ FROM (SELECT doc_id, list_distinct(list_filter({ASCII_TOKENS}, lambda x: x <> ''
 """)
 def distinct_tokens(spark: SparkSession, folder: str) -> DataFrame:
     words = F.array_distinct(T.ascii_tokens(T.joined_lower("title", "comment")))
-    return _documents(spark, folder).select(
-        F.col("meta_id").alias("doc_id"),
-        F.size(words).cast("bigint").alias("tokens"),
-        T.sorted_text(words).alias("words"),
-    )
+    rows = _documents(spark, folder).select(F.col("meta_id").alias("doc_id"), F.explode(F.array(words)).alias("words"))
+    return rows.select("doc_id", F.size("words").cast("bigint").alias("tokens"), T.sorted_text(F.col("words")).alias("words"))
 
 
 @query("""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -42,24 +42,36 @@ def read_edits(spark: SparkSession, format: str = "text", path: str | None = Non
     return source.select(F.col("value").cast("string").alias("value"))
 
 
-def valid_messages(feed: DataFrame, kind: str | None = None) -> DataFrame:
-    """Rows whose ``value`` is a JSON object.
-
-    ``kind`` names a column with the event kind; only ``message`` is kept then.
-    """
-    rows = feed if kind is None else feed.where(F.col(kind) == "message")
-    return rows.where((F.length("value") > 0) & F.json_object_keys("value").isNotNull())
+def messages(feed: DataFrame, kind: str = "kind") -> DataFrame:
+    """Rows of a feed that has several kinds of event, named in ``kind``."""
+    return feed.where(F.col(kind) == "message")
 
 
 def parse_edits(feed: DataFrame, schema: str = schemas.EDIT_EVENT) -> DataFrame:
     """Event text to columns; the text stays in ``raw``.
 
     Text that cannot be read gives a row of nulls, a field of the wrong type a
-    null in that field.
+    null in that field. Generating the columns keeps later filters from parsing
+    the text a second time.
     """
-    return feed.select(F.from_json("value", schema).alias("r"), F.col("value").alias("raw")).select("r.*", "raw")
+    event = F.from_json("value", schema)
+    return feed.select(F.inline(F.array(event)), F.col("value").alias("raw"))
 
 
 def parse_raw_edits(feed: DataFrame) -> DataFrame:
-    """Events as they come from the feed, before any enrichment."""
-    return parse_edits(feed, schemas.RAW_EDIT)
+    """Events as they come from the feed; text that is no JSON object is left out."""
+
+    def readable(event: Column) -> Column:
+        # Only an event without these fields is looked at again.
+        known = event.getField("title").isNotNull() | event.getField("server_name").isNotNull()
+        return known | F.json_object_keys("value").isNotNull()
+
+    events = F.filter(F.array(F.from_json("value", schemas.RAW_EDIT)), readable)
+    return feed.where(F.length("value") > 0).select(F.inline(events), F.col("value").alias("raw"))
+
+
+def rejected_count(feed: DataFrame) -> DataFrame:
+    """How many rows ``parse_raw_edits`` leaves out."""
+    unreadable = F.coalesce(F.length("value"), F.lit(0)) == 0
+    unreadable = unreadable | F.json_object_keys("value").isNull()
+    return feed.agg(F.count(F.when(unreadable, 1)).alias("rejected"))

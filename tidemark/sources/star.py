@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark import seeds
 from tidemark.functions.numbers import bytes_added, bytes_removed
+from tidemark.functions.text import let
 from tidemark.operators.skew import fact_dim_join
 from tidemark.session import use_utc
 
@@ -272,11 +273,14 @@ def features(spark: SparkSession, folder: str) -> DataFrame:
     Label 0 gives a point, other even labels a polygon, odd ones a multipolygon.
     """
     numbers = F.col("embedding").cast("array<double>")
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.size("embedding") - 1, F.lit(2)),
-        lambda i: F.array(F.element_at(numbers, i), F.element_at(numbers, i + 1)),
-    )
-    ring = F.to_json(F.array(pairs))
+
+    def vertices(values: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.size(values) - 1, F.lit(2)),
+            lambda i: F.array(F.element_at(values, i), F.element_at(values, i + 1)),
+        )
+
+    ring = F.to_json(F.array(let(numbers, vertices)))
     shape = (
         F.when(F.col("label") == 0, F.to_json(F.slice(numbers, 1, 2)))
         .when(F.col("label") % 2 == 0, ring)

@@ -12,7 +12,7 @@ from tidemark.operators.articles import edit_rows, mark_articles, with_country
 from tidemark.operators.geo import resolve_country
 from tidemark.operators.topics import keyword_pairs, tag_topics
 from tidemark.operators.dedup import one_per_id
-from tidemark.sources.edits import parse_edits, parse_raw_edits, valid_messages
+from tidemark.sources.edits import parse_edits, parse_raw_edits
 from tidemark.sources.sinks import as_messages, write_batch, write_edits
 from tidemark.streaming.batches import counted, for_each_batch
 
@@ -26,12 +26,12 @@ def tagged_edits(feed: DataFrame, topics: DataFrame, **options) -> DataFrame:
     return tag_topics(rows, keyword_pairs(topics), **options)
 
 
-def enriched_events(
-    feed: DataFrame, page_entity: DataFrame, sitelink: DataFrame, countries: DataFrame
-) -> DataFrame:
-    """Raw event text to events with a country or a drop reason."""
-    marked = mark_articles(parse_raw_edits(valid_messages(feed)))
-    return resolve_country(marked, page_entity, sitelink, countries, ["raw"])
+def enriched_events(feed: DataFrame, page_entity: DataFrame, sitelink: DataFrame) -> DataFrame:
+    """Raw event text to events with a country or a drop reason.
+
+    The two page tables come from ``place_pages``.
+    """
+    return resolve_country(mark_articles(parse_raw_edits(feed)), page_entity, sitelink, ["raw"])
 
 
 def store_edits(
@@ -56,18 +56,19 @@ def store_edits(
 
 def enrich_stream(
     feed: DataFrame,
-    dimensions: Callable[[], tuple[DataFrame, DataFrame, DataFrame]],
+    pages: Callable[[], tuple[DataFrame, DataFrame]],
     path: str,
     checkpoint: str,
     **trigger,
 ) -> StreamingQuery:
     """Enrich raw events and store the kept ones as message text.
 
-    ``dimensions`` gives page entities, site links and entity countries.
+    ``pages`` gives the placed page entities and site links, for every
+    micro-batch anew.
     """
 
     def write(batch: DataFrame, name: str) -> None:
-        events = counted(enriched_events(batch, *dimensions()), "enriched", kept=F.col("skip_reason").isNull())
+        events = counted(enriched_events(batch, *pages()), "enriched", kept=F.col("skip_reason").isNull())
         kept = events.where(F.col("skip_reason").isNull()).drop("raw", "skip_reason", "ns")
         write_batch(as_messages(kept), path, name)
 
