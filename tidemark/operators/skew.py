@@ -139,7 +139,7 @@ def previous_values(
         new: F.when(F.col("_first"), F.col(f"_before.{old}")).otherwise(F.col(new))
         for new, old in values.items()
     }
-    return looked.withColumns(filled).drop("_seg", "_first", "_before")
+    return looked.withColumns(filled).select(*df.columns, *values)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
