@@ -6,6 +6,7 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_points
+from tidemark.operators import skew
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
@@ -27,3 +28,17 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+# Those whose joins or look-backs take another path on large tables.
+SPLIT = [
+    "country_resolution", "hierarchy_ascent", "normalize_bars", "validate_rejects", "symbol_return",
+    "country_map_roll", "normalized_change", "overlay", "topic_tagging_by_join", "stream_previous_close",
+]
+
+
+@pytest.mark.parametrize("name", SPLIT)
+def test_query_with_hot_keys_split(spark, duck, name, monkeypatch):
+    for limit, value in (("group_rows", 20), ("broadcast_bytes", 0), ("plain_bytes", 0)):
+        monkeypatch.setattr(skew.LIMITS, limit, value)
+    assert differences(QUERIES[name](spark, FOLDER), duck, SQL[name]) == []

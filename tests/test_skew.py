@@ -25,13 +25,13 @@ def dim(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_split_join(fact, dim, how):
     plain = fact.join(dim, ["key"], how)
-    split = skew.fact_dim_join(fact, dim, ["key"], how, ["id"], group_rows=100, broadcast_bytes=0, plain_bytes=0)
+    split = skew.fact_dim_join(fact, dim, ["key"], how, ["id"], skew.Limits(100, 0, 0))
     assert split.columns == plain.columns
     assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
 
 
 def test_hot_keys(fact):
-    found = {r.key: r._parts for r in skew.hot_keys(fact, ["key"], 500).collect()}
+    found = {r.key: r._parts for r in skew.hot_keys(fact, ["key"], skew.Limits(500)).collect()}
     rows = fact.where("key = 1").count()
     assert found == {1: -(-rows // 500)}
 
@@ -60,7 +60,7 @@ def test_split_lag(series, group_rows, kind):
     window = Window.partitionBy("key").orderBy("ts", "id")
     plain = df.withColumns({"before": F.lag("value").over(window), "when": F.lag("ts").over(window)})
     split = skew.previous_values(
-        df, ["key"], "ts", {"before": "value", "when": "ts"}, ["id"], group_rows=group_rows, plain_bytes=0
+        df, ["key"], "ts", {"before": "value", "when": "ts"}, ["id"], skew.Limits(group_rows, 0, 0)
     )
     assert split.columns == plain.columns
     assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
@@ -70,7 +70,7 @@ def test_split_lag_on_one_instant(spark):
     df = spark.createDataFrame([(1, n) for n in range(100)], "key int, id int").withColumn(
         "ts", F.lit("2024-01-01").cast("timestamp")
     )
-    split = skew.previous_values(df, ["key"], "ts", {"before": "id"}, ["id"], group_rows=10, plain_bytes=0)
+    split = skew.previous_values(df, ["key"], "ts", {"before": "id"}, ["id"], skew.Limits(10, 0, 0))
     assert {(r.id, r.before) for r in split.collect()} == {(n, n - 1 if n else None) for n in range(100)}
 
 

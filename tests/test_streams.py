@@ -38,15 +38,20 @@ def _stored_ids(spark, path):
 def test_edits_are_stored_once(spark, tmp_path, topics):
     feed, stored = tmp_path / "feed", str(tmp_path / "stored")
 
+    seen = []
+
     def run(checkpoint, **options):
         stream = read_edit_stream(spark, "text", str(feed), maxFilesPerTrigger="1")
-        E.store_edits(stream, topics, stored, str(tmp_path / checkpoint), **options).awaitTermination()
+        report = lambda name, counts: seen.append(counts)
+        E.store_edits(stream, topics, stored, str(tmp_path / checkpoint), report=report, **options).awaitTermination()
 
     _write_lines(feed, "a", [_event(n) for n in range(30)] + [_event(n) for n in range(10)])
     _write_lines(feed, "b", [_event(n) for n in range(20, 50)])
     _write_lines(feed, "c", [_event(98, None), _event(99, title="award"), '{"title": ', {"title": "war", "page_country_code": "US"}])
     run("one")
     assert _stored_ids(spark, stored) == list(range(50))
+    assert sorted(c["seen"] for c in seen) == [4, 30, 40]
+    assert [c for c in seen if c["seen"] == 4] == [{"seen": 4, "no_id": 2, "no_time": 2, "no_country": 2}]
     _write_lines(feed, "d", [_event(n) for n in range(45, 55)])
     run("one")
     assert _stored_ids(spark, stored) == list(range(55))
@@ -80,7 +85,11 @@ def test_enriched_messages(spark, rows, tmp_path):
     feed = tmp_path / "feed"
     _write_lines(feed, "a", [{"server_name": "en.wikipedia.org", "title": "T"}, {"server_name": "x.org"}, "{"])
     stream = read_edit_stream(spark, "text", str(feed))
-    E.enrich_stream(stream, lambda: (page, link), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    counts = {}
+    E.enrich_stream(
+        stream, lambda: (page, link), str(tmp_path / "out"), str(tmp_path / "ck"), lambda name, c: counts.update(c)
+    ).awaitTermination()
+    assert counts == {"seen": 2, "kept": 1}
     sent = parse_edits(spark.read.parquet(str(tmp_path / "out"))).collect()
     assert [(r.title, r.page_country_code, r.geo_method, r.geo_confidence) for r in sent] == [("T", "US", "P17", 100)]
 

@@ -97,8 +97,7 @@ GEO_COLUMNS = ["page_qid", "page_country_qid", "page_country_code", "geo_method"
 
 def place_pages(pages: DataFrame, countries: DataFrame) -> DataFrame:
     """Add the country columns to a page table with a ``qid``; written once, read by every batch."""
-    placed = pages.withColumnRenamed("qid", "page_qid").join(countries, "page_qid", "left")
-    return written(placed, "pages")
+    return written(fact_dim_join(pages.withColumnRenamed("qid", "page_qid"), countries, ["page_qid"], "left"), "pages")
 
 
 def resolve_country(

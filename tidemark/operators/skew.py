@@ -1,22 +1,33 @@
 """Joins and ordered look-backs that stay balanced when one key is hot.
 
-A key is *hot* when it has more than ``GROUP_ROWS`` rows. N rows hold at most
-N / GROUP_ROWS hot keys, so the table of hot keys is always small enough to
-broadcast, and each hot key is cut into ``ceil(rows / GROUP_ROWS)`` parts.
+A key is *hot* when it has more than ``group_rows`` rows. N rows hold at most
+N / group_rows hot keys, so the table of hot keys is always small enough to
+broadcast, and each hot key is cut into ``ceil(rows / group_rows)`` parts.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GROUP_ROWS = 1_000_000
-BROADCAST_BYTES = 10 * 1024 * 1024
-# A side this small on disk cannot hold a group that one task could not take.
-PLAIN_BYTES = 64 * 1024 * 1024
 NULL_PARTS = 4096
 
 
+@dataclass
+class Limits:
+    """When a side is broadcast, and when a table may hold hot keys at all."""
+
+    group_rows: int = 1_000_000
+    broadcast_bytes: int = 10 * 1024 * 1024
+    # A table this small on disk holds no group that one task could not take.
+    plain_bytes: int = 64 * 1024 * 1024
+
+
+LIMITS = Limits()
+
+
 def planned_bytes(df: DataFrame) -> int | None:
     """The planner's size estimate, or None where the client cannot see it."""
     try:
@@ -30,8 +41,9 @@ def at_most(df: DataFrame, limit: int) -> bool:
     return size is not None and size <= limit
 
 
-def hot_keys(df: DataFrame, keys: list[str], group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Keys with more than ``group_rows`` rows and the parts to cut each into."""
+def hot_keys(df: DataFrame, keys: list[str], limits: Limits | None = None) -> DataFrame:
+    """Keys with too many rows for one task and the parts to cut each into."""
+    group_rows = (limits or LIMITS).group_rows
     counted = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return counted.where(F.col("_rows") > group_rows).select(
         *keys, F.ceil(F.col("_rows") / group_rows).cast("int").alias("_parts")
@@ -44,24 +56,25 @@ def fact_dim_join(
     on: list[str],
     how: str = "inner",
     spread_by: list[str] | None = None,
-    group_rows: int = GROUP_ROWS,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    plain_bytes: int = PLAIN_BYTES,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """Join a large table to one whose ``on`` columns are unique.
 
-    A dimension the planner estimates below ``broadcast_bytes`` is broadcast.
-    A larger one is shuffled, with hot fact keys cut into parts and only the
-    matching dimension rows repeated, once per part. ``spread_by`` names fact
-    columns that tell rows of one key apart (by default all of them). ``how``
-    is any of inner, left, left_semi and left_anti.
+    A dimension the planner estimates below the limit is broadcast. A larger one
+    is shuffled, with hot fact keys cut into parts and only the matching
+    dimension rows repeated, once per part. Without hot keys that is an ordinary
+    shuffle join, which AQE may still turn into a broadcast at run time.
+    ``spread_by`` names fact columns that tell rows of one key apart (by default
+    all of them). ``how`` is any of inner, left, left_semi and left_anti.
     """
-    if at_most(dim, broadcast_bytes):
+    limits = limits or LIMITS
+    if at_most(dim, limits.broadcast_bytes):
         return fact.join(F.broadcast(dim), on, how)
-    if fact.isStreaming or at_most(fact, plain_bytes):
+    if fact.isStreaming or at_most(fact, limits.plain_bytes):
         return fact.join(dim, on, how)
-    hot = F.broadcast(hot_keys(fact, on, group_rows))
-    spread = F.xxhash64(*(spread_by or fact.columns))
+    hot = F.broadcast(hot_keys(fact, on, limits))
+    # The partition tells copies of a row apart and stays the same on a retry.
+    spread = F.xxhash64(*(spread_by or fact.columns), F.spark_partition_id())
     keyless = F.lit(False)
     for key in on:
         keyless = keyless | F.col(key).isNull()
@@ -88,8 +101,7 @@ def previous_values(
     ts: str,
     values: dict[str, str],
     ties: list[str] | None = None,
-    group_rows: int = GROUP_ROWS,
-    plain_bytes: int = PLAIN_BYTES,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """``lag`` over ``keys`` in ``ts`` order that splits hot keys by time.
 
@@ -98,8 +110,9 @@ def previous_values(
     of a segment takes the last row of the segment before it that has rows.
     """
     ties = ties or []
+    limits = limits or LIMITS
     order = [F.col(ts), *[F.col(t) for t in ties]]
-    if at_most(df, plain_bytes):
+    if at_most(df, limits.plain_bytes):
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({new: F.lag(old).over(window) for new, old in values.items()})
 
@@ -108,11 +121,11 @@ def previous_values(
         F.count(F.lit(1)).alias("_rows"), F.min(span).alias("_lo"), F.max(span).alias("_hi")
     )
     hot = F.broadcast(
-        spans.where(F.col("_rows") > group_rows).select(
+        spans.where(F.col("_rows") > limits.group_rows).select(
             *keys,
             "_lo",
             # double: the two factors together may pass a long
-            ((F.col("_hi") - F.col("_lo") + 1) * (F.lit(float(group_rows)) / F.col("_rows"))).alias("_width"),
+            ((F.col("_hi") - F.col("_lo") + 1) * (F.lit(float(limits.group_rows)) / F.col("_rows"))).alias("_width"),
         )
     )
     segment = F.coalesce(F.floor((span - F.col("_lo")) / F.col("_width")), F.lit(0)).cast("long")

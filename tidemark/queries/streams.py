@@ -9,8 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import sorted_text
+from tidemark.plans import views
 from tidemark.queries.edits import _BASELINE, SURGES
-from tidemark.queries.registry import BARS, EDITS, query, with_
+from tidemark.queries.registry import (
+    ACTIVITY_HOUR,
+    BARS,
+    COUNTRY_RETURNS_HOUR,
+    EDITS,
+    RETURNS,
+    TICKERS,
+    query,
+    with_,
+)
 from tidemark.session import run_dir
 from tidemark.sources import star
 from tidemark.streaming import edits as stream_edits
@@ -63,6 +73,22 @@ def stream_country_minute(spark: SparkSession, folder: str) -> DataFrame:
     return stored.withColumn("ts_minute_utc", F.col("ts_minute_utc").cast("timestamp_ntz"))
 
 
+@query(
+    with_(EDITS)
+    + """SELECT date_trunc('hour', dt) - to_hours(back) AS ts_minute_utc, page_country_code AS iso2,
+CAST(count(*) AS INTEGER) AS event_count
+FROM edits, (SELECT unnest(range(0, 3)) AS back)
+WHERE page_country_code IS NOT NULL AND len(topics) > 0 GROUP BY 1, 2"""
+)
+def stream_rolling_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of three hours, a new one every hour."""
+    home = run_dir(spark, "rolling")
+    counts = windows.country_windows(_edit_stream(spark, folder), length="3 hours", slide="1 hour")
+    windows.store_counts(counts, f"{home}/counts", f"{home}/checkpoint").awaitTermination()
+    stored = windows.stored_counts(spark, f"{home}/counts", ["ts_minute_utc", "iso2"])
+    return stored.withColumn("ts_minute_utc", F.col("ts_minute_utc").cast("timestamp_ntz"))
+
+
 @query(
     with_(BARS)
     + """SELECT ticker_id, ts_utc, event_id, close, lag(close) OVER (PARTITION BY ticker_id ORDER BY ts_utc, event_id) AS prev_close
@@ -92,3 +118,46 @@ def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{home}/alerts").select(
         "topic", "step", "event_count", F.round("score", 6).alias("score")
     )
+
+
+_CLOSING = "2100-01-01 00:00:00"
+
+
+def _closed(stream: DataFrame, path: str, ts: str) -> DataFrame:
+    """The stream and one row far in the future, which ends every open window.
+
+    The row is the only one of its window, which stays open and is not shown.
+    """
+    spark = stream.sparkSession
+    row = {c: F.lit(None).cast(t) for c, t in stream.dtypes}
+    row |= {ts: F.lit(_CLOSING).cast("timestamp")}
+    row |= {c: F.lit("--") for c in ("iso2", "page_country_code") if c in row}
+    row |= {"topics": F.array(F.lit("--"))} if "topics" in row else {"prev_close": F.lit(1.0)}
+    spark.range(1).select(*[value.alias(c) for c, value in row.items()]).write.parquet(path)
+    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(path))
+
+
+@query(
+    with_(EDITS, BARS, TICKERS, RETURNS, COUNTRY_RETURNS_HOUR, ACTIVITY_HOUR)
+    + """SELECT coalesce(r.iso2, a.iso2) AS iso2, coalesce(r.ts_minute_utc, a.ts_minute_utc) AS ts_minute_utc,
+coalesce(event_count, 0) AS event_count, round(avg_return_1m, 6) AS avg_return_1m, symbols_count
+FROM country_returns r FULL OUTER JOIN activity a ON r.iso2 = a.iso2 AND r.ts_minute_utc = a.ts_minute_utc"""
+)
+def stream_joined_signals(spark: SparkSession, folder: str) -> DataFrame:
+    """Two streams joined by window: edits, and returns that were stored before."""
+    home = run_dir(spark, "joined")
+    returns = views.symbol_return(star.bars(spark, folder), star.tickers(spark, folder), ties=["event_id"])
+    returns.select("iso2", F.col("ts_minute_utc").cast("timestamp").alias("ts_minute_utc"), "close", "prev_close").write.parquet(
+        f"{home}/returns"
+    )
+    schema = spark.read.parquet(f"{home}/returns").schema
+    moves = spark.readStream.schema(schema).parquet(f"{home}/returns")
+    edits = _edit_stream(spark, folder).select("dt", "page_country_code", "topics")
+    joined = windows.joined_windows(
+        _closed(edits, f"{home}/last_edit", "dt"), _closed(moves, f"{home}/last_return", "ts_minute_utc"), length="1 hour"
+    )
+    query = joined.writeStream.outputMode("append").format("parquet").option("path", f"{home}/joined")
+    query.option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{home}/joined").withColumns(
+        {"ts_minute_utc": F.col("ts_minute_utc").cast("timestamp_ntz"), "avg_return_1m": F.round("avg_return_1m", 6)}
+    )

@@ -26,7 +26,7 @@ def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 
 def edit_store_schema(edits: DataFrame) -> T.StructType:
-    return T.StructType([*edits.schema.fields]).add(EDIT_DATE, T.DateType()).add(BATCH, T.StringType())
+    return T.StructType([*edits.schema, T.StructField(EDIT_DATE, T.DateType()), T.StructField(BATCH, T.StringType())])
 
 
 def write_edits(
@@ -42,26 +42,30 @@ def write_edits(
     the micro-batch is replayed: its own earlier output is replaced, and is not
     among the rows an id counts as stored in. A redelivered id carries the time
     it first had, so only the dates of the batch are searched; ``same_date=False``
-    searches every date.
+    searches every date. The batch is worked out once, into a folder that the
+    next one reuses.
     """
     spark = edits.sparkSession
-    dated = one_per_id(edits, ties=ties).withColumn(EDIT_DATE, F.to_date("dt")).persist()
+    # A leading underscore hides the folder from readers of the store.
+    staged = f"{path}/_staged/{batch.rsplit('_', 1)[0]}"
+    one_per_id(edits, ties=ties).withColumn(EDIT_DATE, F.to_date("dt")).write.mode("overwrite").parquet(staged)
+    fresh = spark.read.schema(T.StructType([*edits.schema, T.StructField(EDIT_DATE, T.DateType())])).parquet(staged)
     stored = read_stored(spark, path, edit_store_schema(edits)).where(F.col(BATCH) != batch)
     if same_date:
-        first, last, undated = dated.agg(
+        first, last, undated = fresh.agg(
             F.min(EDIT_DATE), F.max(EDIT_DATE), F.max(F.col(EDIT_DATE).isNull())
         ).first()
         dates = F.col(EDIT_DATE).between(F.lit(first), F.lit(last))
         stored = stored.where(dates | F.col(EDIT_DATE).isNull() if undated else dates)
     (
-        absent_from(dated, stored)
+        absent_from(fresh, stored)
         .withColumn(BATCH, F.lit(batch))
+        .hint("rebalance", EDIT_DATE)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(EDIT_DATE, BATCH)
         .parquet(path)
     )
-    dated.unpersist()
 
 
 def write_batch(rows: DataFrame, path: str, batch: str) -> None:
@@ -86,13 +90,14 @@ def stage_upsert(
     touched = [row[0] for row in updates.select(partition).distinct().collect()]
     target = read_stored(updates.sparkSession, path, updates.schema).where(F.col(partition).isin(touched))
     merged = upsert(target, updates, keys, update_cols, order_by)
-    merged.write.mode("overwrite").partitionBy(partition).parquet(staged)
+    merged.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(staged)
 
 
 def apply_staged(spark: SparkSession, staged: str, path: str, partition: str) -> None:
     """Replace partitions of ``path`` by the staged ones; may be repeated."""
     (
         spark.read.parquet(staged)
+        .hint("rebalance", partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)

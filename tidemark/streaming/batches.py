@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import logging
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+logger = logging.getLogger(__name__)
+
 
 def batch_name(batch: DataFrame, batch_id: int, checkpoint: str) -> str:
     """A name unique to checkpoint and micro-batch, equal when it is replayed.
@@ -26,16 +29,20 @@ def for_each_batch(
     checkpoint: str,
     mode: str = "append",
     skip_empty: bool = True,
+    sample: int = 0,
     **trigger,
 ) -> StreamingQuery:
     """Start a query that hands each micro-batch and its name to ``write``.
 
-    An empty batch is skipped unless asked for. ``trigger`` is that of ``DataStreamWriter``; by
+    An empty batch is skipped unless asked for. ``sample`` rows of each batch are
+    printed for inspection. ``trigger`` is that of ``DataStreamWriter``; by
     default the query works off what is there and stops.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if not (skip_empty and batch.isEmpty()):
+            if sample:
+                batch.show(sample, truncate=False)
             write(batch, batch_name(batch, batch_id, checkpoint))
 
     return (
@@ -47,10 +54,17 @@ def for_each_batch(
     )
 
 
-def counted(rows: DataFrame, name: str, **sums: Column) -> DataFrame:
-    """Report row counts under ``name`` in the query's progress events.
+def counted(rows: DataFrame, **conditions: Column) -> tuple[DataFrame, Observation]:
+    """``rows`` with counters that are filled by the first action on them.
 
-    Each of ``sums`` is a condition; the rows that meet it are counted.
+    ``seen`` counts all rows, the others those that meet a condition; read them
+    from the observation's ``get`` after the action. No extra job is run.
     """
-    metrics = [F.count(F.when(condition, 1)).alias(label) for label, condition in sums.items()]
-    return rows.observe(name, F.count(F.lit(1)).alias("seen"), *metrics)
+    metrics = [F.count(F.when(condition, 1)).alias(name) for name, condition in conditions.items()]
+    observation = Observation()
+    return rows.observe(observation, F.count(F.lit(1)).alias("seen"), *metrics), observation
+
+
+def log_counts(name: str, counts: dict[str, int]) -> None:
+    """The usual ``report``: one line per micro-batch."""
+    logger.info("%s %s", name, counts)

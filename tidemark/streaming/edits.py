@@ -9,21 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.articles import edit_rows, mark_articles, with_country
+from tidemark.operators.dedup import one_per_id
 from tidemark.operators.geo import resolve_country
 from tidemark.operators.topics import keyword_pairs, tag_topics
-from tidemark.operators.dedup import one_per_id
 from tidemark.sources.edits import parse_edits, parse_raw_edits
 from tidemark.sources.sinks import as_messages, write_batch, write_edits
-from tidemark.streaming.batches import counted, for_each_batch
+from tidemark.streaming.batches import counted, for_each_batch, log_counts
+
+
+Report = Callable[[str, dict[str, int]], None]
 
 
-def tagged_edits(feed: DataFrame, topics: DataFrame, **options) -> DataFrame:
-    """Enriched event text to edits with a country and at least one topic.
+def tagged_edits(rows: DataFrame, topics: DataFrame, **options) -> DataFrame:
+    """Flat rows to edits with a country and at least one topic, one per id.
 
     Repeated ids are reduced first, so that a row's topics are its own.
     """
-    rows = one_per_id(edit_rows(with_country(parse_edits(feed))))
-    return tag_topics(rows, keyword_pairs(topics), **options)
+    return tag_topics(one_per_id(with_country(rows)), keyword_pairs(topics), **options)
 
 
 def enriched_events(feed: DataFrame, page_entity: DataFrame, sitelink: DataFrame) -> DataFrame:
@@ -40,18 +42,26 @@ def store_edits(
     path: str,
     checkpoint: str,
     same_date: bool = True,
-    **trigger,
+    report: Report = log_counts,
+    **options,
 ) -> StreamingQuery:
     """Store a stream of enriched events, each id once.
 
     ``topics`` is called for every micro-batch, so changes to the dictionary
-    take effect without a restart.
+    take effect without a restart. ``report`` gets the counts of each batch.
     """
 
     def write(batch: DataFrame, name: str) -> None:
-        write_edits(tagged_edits(batch, topics()), path, name, same_date=same_date)
+        rows, counts = counted(
+            edit_rows(parse_edits(batch)),
+            no_id=F.col("meta_id").isNull(),
+            no_time=F.col("dt").isNull(),
+            no_country=F.col("page_country_code").isNull(),
+        )
+        write_edits(tagged_edits(rows, topics()), path, name, same_date=same_date)
+        report(name, counts.get)
 
-    return for_each_batch(feed, write, checkpoint, **trigger)
+    return for_each_batch(feed, write, checkpoint, **options)
 
 
 def enrich_stream(
@@ -59,17 +69,19 @@ def enrich_stream(
     pages: Callable[[], tuple[DataFrame, DataFrame]],
     path: str,
     checkpoint: str,
-    **trigger,
+    report: Report = log_counts,
+    **options,
 ) -> StreamingQuery:
     """Enrich raw events and store the kept ones as message text.
 
     ``pages`` gives the placed page entities and site links, for every
-    micro-batch anew.
+    micro-batch anew. ``report`` gets events seen and kept of each batch.
     """
 
     def write(batch: DataFrame, name: str) -> None:
-        events = counted(enriched_events(batch, *pages()), "enriched", kept=F.col("skip_reason").isNull())
-        kept = events.where(F.col("skip_reason").isNull()).drop("raw", "skip_reason", "ns")
-        write_batch(as_messages(kept), path, name)
+        kept = F.col("skip_reason").isNull()
+        events, counts = counted(enriched_events(batch, *pages()), kept=kept)
+        write_batch(as_messages(events.where(kept).drop("raw", "skip_reason", "ns")), path, name)
+        report(name, counts.get)
 
-    return for_each_batch(feed, write, checkpoint, **trigger)
+    return for_each_batch(feed, write, checkpoint, **options)

@@ -14,7 +14,10 @@ from tidemark.streaming.batches import for_each_batch
 
 
 def country_windows(edits: DataFrame, watermark: str = "1 hour", length: str = "1 minute", slide: str | None = None) -> DataFrame:
-    """Edits per country and event-time window; rows later than ``watermark`` are left out."""
+    """Edits per country and event-time window, overlapping ones with a ``slide``.
+
+    Rows later than ``watermark`` are left out.
+    """
     kept = edits.where(F.col("page_country_code").isNotNull() & (F.size("topics") > 0))
     return (
         kept.withWatermark("dt", watermark)
