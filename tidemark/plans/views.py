@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import simple_return
@@ -57,18 +57,24 @@ def symbol_return(
     interval: str = "1m",
     ties: list[str] | None = None,
     max_gap: str | None = None,
-    **options,
+    start: Column | None = None,
 ) -> DataFrame:
     """Each bar's close beside the previous close of its ticker.
 
     ``ties`` orders bars of one ticker and time, if the table allows them. The
-    previous bar may be any time ago; ``max_gap`` leaves out older ones.
+    previous bar may be any time ago; ``max_gap`` leaves out older ones. With a
+    ``start`` only bars from then on are given: of the older ones just the last
+    of each ticker is shuffled.
     """
     ties = ties or []
     rows = bars.where(F.col("interval") == interval).select("ticker_id", "ts_utc", "close", *ties)
-    looked = previous_values(
-        rows, ["ticker_id"], "ts_utc", {"prev_close": "close", "prev_ts": "ts_utc"}, ties, **options
-    )
+    if start is not None:
+        newest = [F.col("ts_utc").desc(), *[F.col(t).desc() for t in ties]]
+        before = latest_per_key(rows.where(F.col("ts_utc") < start), ["ticker_id"], newest)
+        rows = rows.where(F.col("ts_utc") >= start).unionByName(before)
+    looked = previous_values(rows, ["ticker_id"], "ts_utc", {"prev_close": "close", "prev_ts": "ts_utc"}, ties)
+    if start is not None:
+        looked = looked.where(F.col("ts_utc") >= start)
     if max_gap:
         near = F.col("ts_utc") - F.expr(f"INTERVAL {max_gap}") <= F.col("prev_ts")
         looked = looked.withColumn("prev_close", F.when(near, F.col("prev_close")))
@@ -134,6 +140,30 @@ def country_map_roll(
     )
 
 
+def country_signal(
+    edits: DataFrame,
+    bars: DataFrame,
+    tickers: DataFrame,
+    as_of: str,
+    windows: tuple[str, str, str] = ("10 minutes", "30 minutes", "60 minutes"),
+    unit: str | None = None,
+    ties: list[str] | None = None,
+) -> DataFrame:
+    """``country_map_roll`` from the stored tables, reading edits of the window only.
+
+    Truncating never makes a time later, so what is before the window before
+    truncation is before it afterwards. ``unit`` is the step of both signals, by
+    default the minute for edits and the bar times as they are.
+    """
+    widest = windows[2]
+    start = moment(bars, "ts_utc", as_of) - F.expr(f"INTERVAL {widest}")
+    returns = symbol_return(bars, tickers, ties=ties, start=start)
+    recent = edits.where(since(edits, "dt", as_of, widest))
+    return country_map_roll(
+        country_return_minute(returns, unit), country_minute(recent, unit or "minute"), as_of, windows
+    )
+
+
 def register_views(edits: DataFrame, bars: DataFrame, tickers: DataFrame, as_of: str) -> None:
     """Make every derived table available to SQL under its function's name."""
     returns = symbol_return(bars, tickers)
@@ -149,7 +179,7 @@ def register_views(edits: DataFrame, bars: DataFrame, tickers: DataFrame, as_of:
         "country_minute": activity,
         "symbol_return": returns,
         "country_return_minute": by_country,
-        "country_map_roll": country_map_roll(by_country, activity, as_of),
+        "country_map_roll": country_signal(edits, bars, tickers, as_of),
     }
     for name, view in views.items():
         view.createOrReplaceTempView(name)

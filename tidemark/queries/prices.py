@@ -183,8 +183,10 @@ def latest_semi(spark: SparkSession, folder: str) -> DataFrame:
     return at_latest(items, ["l_orderkey"], "l_shipdate")
 
 
-def _returns(spark: SparkSession, folder: str, **options) -> DataFrame:
-    return views.symbol_return(star.bars(spark, folder), star.tickers(spark, folder), ties=["event_id"], **options)
+def _returns(spark: SparkSession, folder: str, max_gap: str | None = None) -> DataFrame:
+    return views.symbol_return(
+        star.bars(spark, folder), star.tickers(spark, folder), ties=["event_id"], max_gap=max_gap
+    )
 
 
 @query(with_(BARS, TICKERS, RETURNS) + "SELECT * FROM returns")
@@ -250,8 +252,9 @@ FROM recent GROUP BY iso2"""
 )
 def country_map_roll(spark: SparkSession, folder: str) -> DataFrame:
     """The signal with hours for minutes, as the events are sparse."""
-    rolled = views.country_map_roll(
-        _country_returns(spark, folder), _activity(spark, folder), AS_OF, ("10 hours", "30 hours", "60 hours")
+    rolled = views.country_signal(
+        star.edits(spark, folder), star.bars(spark, folder), star.tickers(spark, folder),
+        AS_OF, ("10 hours", "30 hours", "60 hours"), "hour", ["event_id"],
     )
     return rolled.withColumns({c: F.round(c, 6) for c in ("ret_avg_10m", "ret_avg_30m")})
 
