@@ -28,6 +28,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def lookup(value: Column, entries: dict[str, Column]) -> Column:
+    """The entry for ``value``, null if there is none; ``value`` is worked out once."""
+    pairs = [part for key, entry in entries.items() for part in (F.lit(key), entry)]
+    return F.try_element_at(F.create_map(*pairs), value)
+
+
 def phrases(tokens: Column, longest: int) -> Column:
     """All runs of one to ``longest`` neighbouring tokens, joined by a blank."""
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import seeds
-from tidemark.functions.text import let
+from tidemark.functions.text import let, lookup
 
 
 def moment(df: DataFrame, column: str, as_of: str) -> Column:
@@ -47,12 +47,8 @@ def is_final(interval: Column, start: Column, as_of: Column, strict: bool = Fals
     any other bar always; ``strict`` waits for the end of the bar instead.
     """
     if strict:
-        length = {"1m": 1, "2m": 2, "5m": 5, "15m": 15, "30m": 30, "1h": 60, "1d": 1440}
-        ends = [
-            F.when(interval == name, start + F.expr(f"INTERVAL {minutes} MINUTES") <= as_of)
-            for name, minutes in length.items()
-        ]
-        return F.coalesce(*ends, F.lit(True))
+        length = {name: F.expr(f"INTERVAL {size}") for name, size in seeds.BAR_LENGTHS.items()}
+        return F.coalesce(start + lookup(interval, length) <= as_of, F.lit(True))
     return F.when(
         interval.isin(seeds.INTRADAY_INTERVALS), start < as_of - F.expr(f"INTERVAL {seeds.FINAL_AFTER}")
     ).otherwise(F.lit(True))
@@ -60,8 +56,5 @@ def is_final(interval: Column, start: Column, as_of: Column, strict: bool = Fals
 
 def oldest_retained(interval: Column, as_of: Column) -> Column:
     """The earliest start a bar of this interval is kept with."""
-    bounds = [
-        F.when(interval == name, as_of - F.expr(f"INTERVAL {age}"))
-        for name, age in seeds.RETENTION.items()
-    ]
-    return F.coalesce(*bounds, as_of - F.expr(f"INTERVAL {seeds.RETENTION_OTHER}"))
+    bounds = {name: as_of - F.expr(f"INTERVAL {age}") for name, age in seeds.RETENTION.items()}
+    return F.coalesce(lookup(interval, bounds), as_of - F.expr(f"INTERVAL {seeds.RETENTION_OTHER}"))

@@ -28,17 +28,24 @@ class Limits:
 LIMITS = Limits()
 
 
-def planned_bytes(df: DataFrame) -> int | None:
-    """The planner's size estimate, or None where the client cannot see it."""
+def at_most(df: DataFrame, limit: int) -> bool:
+    """Whether the planner's estimate is within ``limit``; no job is run.
+
+    The planner counts file sizes and takes joins and groups as larger than they
+    come out, so it errs on the safe side, but for rows that are generated.
+    """
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        plan = df._jdf.queryExecution().optimizedPlan()
     except AttributeError:
-        return None
+        return False
+    return int(str(plan.stats().sizeInBytes())) <= limit
 
 
-def at_most(df: DataFrame, limit: int) -> bool:
-    size = planned_bytes(df)
-    return size is not None and size <= limit
+def generates_rows(df: DataFrame) -> bool:
+    try:
+        return "Generate " in df._jdf.queryExecution().optimizedPlan().toString()
+    except AttributeError:
+        return True
 
 
 def hot_keys(df: DataFrame, keys: list[str], limits: Limits | None = None) -> DataFrame:
@@ -60,15 +67,16 @@ def fact_dim_join(
 ) -> DataFrame:
     """Join a large table to one whose ``on`` columns are unique.
 
-    A dimension the planner estimates below the limit is broadcast. A larger one
-    is shuffled, with hot fact keys cut into parts and only the matching
-    dimension rows repeated, once per part. Without hot keys that is an ordinary
-    shuffle join, which AQE may still turn into a broadcast at run time.
+    A dimension the planner estimates below the limit is broadcast, unless rows
+    of it are generated, which the estimate leaves out. A larger one is shuffled,
+    with hot fact keys cut into parts and only the matching dimension rows
+    repeated, once per part. Without hot keys that is an ordinary shuffle join,
+    which AQE may still turn into a broadcast at run time.
     ``spread_by`` names fact columns that tell rows of one key apart (by default
     all of them). ``how`` is any of inner, left, left_semi and left_anti.
     """
     limits = limits or LIMITS
-    if at_most(dim, limits.broadcast_bytes):
+    if at_most(dim, limits.broadcast_bytes) and not generates_rows(dim):
         return fact.join(F.broadcast(dim), on, how)
     if fact.isStreaming or at_most(fact, limits.plain_bytes):
         return fact.join(dim, on, how)

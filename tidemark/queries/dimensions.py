@@ -10,7 +10,8 @@ from tidemark.operators import upsert as U
 from tidemark.operators.bars import bar_defaults
 from tidemark.operators.skew import fact_dim_join, latest_per_key
 from tidemark.queries.registry import TICKERS, query, with_
-from tidemark.sources import star
+from tidemark.session import run_dir
+from tidemark.sources import sinks, star
 
 _ITEM_KEY = ["l_orderkey", "l_linenumber"]
 _NEWEST = "l_shipdate DESC, l_partkey DESC, l_quantity DESC, l_extendedprice DESC, l_returnflag DESC"
@@ -29,25 +30,42 @@ newest AS (
 )"""
 
 
-@query(
-    with_(_ITEMS)
-    + """SELECT l_orderkey, l_linenumber,
+_MERGED = """SELECT l_orderkey, l_linenumber,
   CASE WHEN s.l_shipdate IS NOT NULL THEN s.l_partkey ELSE u.l_partkey END AS l_partkey,
   CASE WHEN u.l_shipdate IS NOT NULL THEN u.l_quantity ELSE s.l_quantity END AS l_quantity,
   CASE WHEN u.l_shipdate IS NOT NULL THEN u.l_extendedprice ELSE s.l_extendedprice END AS l_extendedprice,
   CASE WHEN s.l_shipdate IS NOT NULL THEN s.l_returnflag ELSE u.l_returnflag END AS l_returnflag,
   CASE WHEN u.l_shipdate IS NOT NULL THEN u.l_shipdate ELSE s.l_shipdate END AS l_shipdate
 FROM stored s FULL OUTER JOIN newest u USING (l_orderkey, l_linenumber)"""
-)
+
+_ITEM_UPDATES = ["l_quantity", "l_extendedprice", "l_shipdate"]
+
+
+def _items(spark: SparkSession, folder: str) -> DataFrame:
+    values = ["l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"]
+    return star.table(spark, folder, "lineitem").select(*_ITEM_KEY, *values)
+
+
+@query(with_(_ITEMS) + _MERGED)
 def upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
     """Returned and accepted items upserted into the others; two columns are kept."""
-    items = star.table(spark, folder, "lineitem").select(
-        *_ITEM_KEY, "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"
-    )
+    items = _items(spark, folder)
     order = ["l_shipdate", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"]
     stored = latest_per_key(items.where("l_returnflag = 'N'"), _ITEM_KEY, [F.desc(c) for c in order])
-    updates = items.where("l_returnflag <> 'N'")
-    return U.upsert(stored, updates, _ITEM_KEY, ["l_quantity", "l_extendedprice", "l_shipdate"], ["l_shipdate"])
+    return U.upsert(stored, items.where("l_returnflag <> 'N'"), _ITEM_KEY, _ITEM_UPDATES, ["l_shipdate"])
+
+
+@query(with_(_ITEMS) + _MERGED)
+def upsert_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The same on a table of files, partitioned by a key column."""
+    home, items = run_dir(spark, "upsert"), _items(spark, folder)
+    for step, updates in enumerate((items.where("l_returnflag = 'N'"), items.where("l_returnflag <> 'N'"))):
+        staged = f"{home}/staged_{step}"
+        sinks.stage_upsert(
+            updates, f"{home}/table", staged, _ITEM_KEY, _ITEM_UPDATES, ["l_shipdate"], "l_linenumber"
+        )
+        sinks.apply_staged(spark, staged, f"{home}/table", "l_linenumber")
+    return sinks.read_stored(spark, f"{home}/table", items.schema).select(*items.columns)
 
 
 @query("""

@@ -47,7 +47,7 @@ def article_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # What the walk gives for each entity, worked out from how the claims are made.
-_ENTITIES = """
+ENTITIES = """
 nations AS (
   SELECT n_nationkey AS n, CASE WHEN r_name <> 'ASIA' THEN upper(chr(97 + n_nationkey) || 'x') END AS iso2
   FROM nation JOIN region ON n_regionkey = r_regionkey
@@ -70,12 +70,12 @@ entities AS (
 )"""
 
 
-@query(with_(_ENTITIES) + "SELECT * FROM entities")
+@query(with_(ENTITIES) + "SELECT * FROM entities")
 def hierarchy_ascent(spark: SparkSession, folder: str) -> DataFrame:
     return geo.entity_countries(star.claims(spark, folder))
 
 
-_PLACED = f"""
+PLACED = f"""
 pages AS (
   SELECT e.*, {_ARTICLE_REASON} AS article_reason,
          CASE WHEN event_type = 'click' AND o_orderstatus = 'O' THEN 'C' || o_custkey
@@ -104,13 +104,13 @@ def _resolved(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(with_(_ENTITIES, _PLACED) + "SELECT * FROM placed")
+@query(with_(ENTITIES, PLACED) + "SELECT * FROM placed")
 def country_resolution(spark: SparkSession, folder: str) -> DataFrame:
     return _resolved(spark, folder).select(F.col("meta.id").alias("meta_id"), *geo.GEO_COLUMNS, "skip_reason")
 
 
 @query(
-    with_(_ENTITIES, _PLACED)
+    with_(ENTITIES, PLACED)
     + "SELECT coalesce(skip_reason, 'kept') AS skip_reason, count(*) AS events FROM placed GROUP BY 1"
 )
 def drop_reason_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,7 +118,7 @@ def drop_reason_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    with_(_ENTITIES, _PLACED)
+    with_(ENTITIES, PLACED)
     + "SELECT meta_id, page_country_code FROM placed WHERE skip_reason IS NULL"
 )
 def forwarded_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -258,7 +258,7 @@ def country_x_topic(spark: SparkSession, folder: str) -> DataFrame:
     return signals.country_topic_counts(star.edits(spark, folder))
 
 
-_BASELINE = 24
+BASELINE = 24
 
 SURGES = f"""
 steps AS (
@@ -276,7 +276,7 @@ filled AS (
 surges AS (
   SELECT topic, step, CAST(n AS BIGINT) AS event_count, present,
          avg(n) OVER w AS baseline_mean, stddev_pop(n) OVER w AS baseline_stddev
-  FROM filled WINDOW w AS (PARTITION BY topic ORDER BY step ROWS BETWEEN {_BASELINE} PRECEDING AND 1 PRECEDING)
+  FROM filled WINDOW w AS (PARTITION BY topic ORDER BY step ROWS BETWEEN {BASELINE} PRECEDING AND 1 PRECEDING)
 )"""
 
 
@@ -287,7 +287,7 @@ round(baseline_stddev, 6) AS baseline_stddev,
 round((event_count - baseline_mean) / nullif(baseline_stddev, 0), 6) AS score FROM surges WHERE present"""
 )
 def topic_surge(spark: SparkSession, folder: str) -> DataFrame:
-    surges = signals.topic_surges(signals.topic_counts(star.edits(spark, folder), 3600), _BASELINE)
+    surges = signals.topic_surges(signals.topic_counts(star.edits(spark, folder), 3600), BASELINE)
     rounded = {c: F.round(c, 6) for c in ("baseline_mean", "baseline_stddev", "score")}
     return surges.withColumns(rounded)
 

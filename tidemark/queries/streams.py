@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import sorted_text
+from tidemark.operators import geo
 from tidemark.plans import views
-from tidemark.queries.edits import _BASELINE, SURGES
+from tidemark.queries.edits import BASELINE, ENTITIES, PLACED, SURGES
 from tidemark.queries.registry import (
     ACTIVITY_HOUR,
     BARS,
@@ -23,6 +24,7 @@ from tidemark.queries.registry import (
 )
 from tidemark.session import run_dir
 from tidemark.sources import star
+from tidemark.sources.edits import parse_edits
 from tidemark.streaming import edits as stream_edits
 from tidemark.streaming import prices as stream_prices
 from tidemark.streaming import windows
@@ -55,6 +57,25 @@ def stream_edits_stored(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    with_(ENTITIES, PLACED)
+    + """SELECT meta_id, page_qid, page_country_qid, page_country_code, geo_method, geo_confidence
+FROM placed WHERE skip_reason IS NULL"""
+)
+def stream_enriched_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw feed with countries added, stored as message text and read back."""
+    home = run_dir(spark, "enriched")
+    countries = geo.entity_countries(star.claims(spark, folder))
+    pages = (
+        geo.place_pages(star.page_entities(spark, folder), countries),
+        geo.place_pages(star.sitelinks(spark, folder), countries),
+    )
+    feed = star.feed(spark, folder, star.table_stream(spark, folder, "events"))
+    stream_edits.enrich_stream(feed, lambda: pages, f"{home}/out", f"{home}/checkpoint").awaitTermination()
+    sent = parse_edits(spark.read.parquet(f"{home}/out"))
+    return sent.select(F.col("meta.id").alias("meta_id"), *geo.GEO_COLUMNS)
+
+
 def _edit_stream(spark: SparkSession, folder: str) -> DataFrame:
     edits = star.edits(spark, folder, star.table_stream(spark, folder, "events"))
     return edits.withColumn("dt", F.col("dt").cast("timestamp"))
@@ -114,7 +135,7 @@ FROM surges WHERE present AND {_FINISHED} AND (event_count - baseline_mean) / nu
 def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     home = run_dir(spark, "alerts")
     counts = windows.topic_windows(_edit_stream(spark, folder), 3600)
-    windows.store_alerts(counts, home, f"{home}/checkpoint", _BASELINE, 2.0).awaitTermination()
+    windows.store_alerts(counts, home, f"{home}/checkpoint", BASELINE, 2.0).awaitTermination()
     return spark.read.parquet(f"{home}/alerts").select(
         "topic", "step", "event_count", F.round("score", 6).alias("score")
     )

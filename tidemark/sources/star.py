@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark import seeds
 from tidemark.functions.numbers import bytes_added, bytes_removed
-from tidemark.functions.text import let
+from tidemark.functions.text import let, lookup
 from tidemark.operators.skew import fact_dim_join
 from tidemark.session import use_utc
 
@@ -39,7 +39,7 @@ def nation_code(nation: Column) -> Column:
 
 
 def _choice(column: str, values: dict[str, str]) -> Column:
-    return F.coalesce(*[F.when(F.col(column) == key, F.lit(value)) for key, value in values.items()])
+    return lookup(F.col(column), {key: F.lit(value) for key, value in values.items()})
 
 
 def user_countries(spark: SparkSession, folder: str) -> DataFrame:
@@ -136,7 +136,7 @@ def landed_bars(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").select(
         F.concat(F.lit("S"), "l_suppkey").alias("symbol"),
         F.col("l_suppkey").cast("int").alias("ticker_id"),
-        F.coalesce(*[F.when(interval == k, F.lit(v)) for k, v in names.items()]).alias("interval"),
+        lookup(interval, {key: F.lit(name) for key, name in names.items()}).alias("interval"),
         (F.col("l_shipdate") + F.make_dt_interval(mins=F.col("l_linenumber") * 30)).alias("ts_local"),
         price.alias("open"),
         (price * 1.02).alias("high"),
