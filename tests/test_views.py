@@ -50,6 +50,15 @@ def test_returns(bars, tickers):
     assert near.where("prev_close is not null").count() == 0
 
 
+@pytest.mark.parametrize("max_gap", [None, "1 minute", "2 minutes"])
+def test_returns_from_a_start(bars, tickers, max_gap):
+    for minutes in (-30, -19, -18, -17, 5):
+        start = F.lit(_at(minutes))
+        whole = views.symbol_return(bars, tickers, max_gap=max_gap).where(F.col("ts_minute_utc") >= start)
+        part = views.symbol_return(bars, tickers, max_gap=max_gap, start=start)
+        assert sorted(map(str, part.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_latest(bars, tickers):
     assert {(r.ticker_id, r.close) for r in views.stock_latest(bars).collect()} == {(1, 30.0), (2, 5.0), (3, 2.0)}
     enriched = views.stock_latest_enriched(bars, tickers)

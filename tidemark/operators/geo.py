@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas, seeds
 from tidemark.operators.articles import server
-from tidemark.operators.skew import fact_dim_join
+from tidemark.operators.skew import LIMITS, at_most, fact_dim_join
 from tidemark.session import written
 
 
@@ -37,13 +37,13 @@ def entity_nodes(claims: DataFrame) -> DataFrame:
 
 
 def entity_countries(claims: DataFrame) -> DataFrame:
-    """Country of every entity that resolves, as a table in the shared folder.
+    """Country of every entity that resolves.
 
     The direct country counts if it has an ISO code. Otherwise the walk starts
     at the entity and climbs by its location, at most four entities in all. It
     ends at the first that is a country or names one, with or without a code.
-    Only entities that have not ended are joined again, and each step is
-    written, so that the next one sees its true size.
+    Only entities that have not ended are joined again. What later steps read
+    is written, so that they see its true size; steps of a small table are not.
     """
     codes = written(entity_codes(claims), "codes")
     own = codes.withColumnRenamed("iso2", "own_iso2")
@@ -70,11 +70,13 @@ def entity_countries(claims: DataFrame) -> DataFrame:
             direct.alias("direct"),
         )
     ]
+    small = at_most(steps, LIMITS.plain_bytes)
     parents = steps.select(F.col("qid").alias("above"), "stop", "stop_iso2", F.col("above").alias("next"))
     climbing = steps.select("qid", "above")
     for node in range(2, seeds.ASCENT_NODES + 1):
         reached = fact_dim_join(climbing.where("above is not null"), parents, ["above"], "inner", ["qid"])
-        reached = written(reached.select("qid", "stop", "stop_iso2", F.col("next").alias("above")), f"node{node}")
+        reached = reached.select("qid", "stop", "stop_iso2", F.col("next").alias("above"))
+        reached = reached if small else written(reached, f"node{node}")
         ended.append(
             reached.select("qid", F.col("stop").alias("country"), F.col("stop_iso2").alias("iso2"), F.lit(False).alias("direct"))
         )

@@ -64,10 +64,13 @@ def symbol_return(
     ``ties`` orders bars of one ticker and time, if the table allows them. The
     previous bar may be any time ago; ``max_gap`` leaves out older ones. With a
     ``start`` only bars from then on are given: of the older ones just the last
-    of each ticker is shuffled.
+    of each ticker is shuffled, and with both none older than the gap are read.
     """
     ties = ties or []
     rows = bars.where(F.col("interval") == interval).select("ticker_id", "ts_utc", "close", *ties)
+    gap = F.expr(f"INTERVAL {max_gap}") if max_gap else None
+    if start is not None and gap is not None:
+        rows = rows.where(F.col("ts_utc") >= start - gap)
     if start is not None:
         newest = [F.col("ts_utc").desc(), *[F.col(t).desc() for t in ties]]
         before = latest_per_key(rows.where(F.col("ts_utc") < start), ["ticker_id"], newest)
@@ -75,8 +78,8 @@ def symbol_return(
     looked = previous_values(rows, ["ticker_id"], "ts_utc", {"prev_close": "close", "prev_ts": "ts_utc"}, ties)
     if start is not None:
         looked = looked.where(F.col("ts_utc") >= start)
-    if max_gap:
-        near = F.col("ts_utc") - F.expr(f"INTERVAL {max_gap}") <= F.col("prev_ts")
+    if gap is not None:
+        near = F.col("ts_utc") - gap <= F.col("prev_ts")
         looked = looked.withColumn("prev_close", F.when(near, F.col("prev_close")))
     instruments = tickers.select(F.col("id").alias("ticker_id"), "symbol", F.left("iso2", F.lit(2)).alias("iso2"))
     return fact_dim_join(looked, instruments, ["ticker_id"], spread_by=["ticker_id", "ts_utc", *ties]).select(
@@ -148,6 +151,7 @@ def country_signal(
     windows: tuple[str, str, str] = ("10 minutes", "30 minutes", "60 minutes"),
     unit: str | None = None,
     ties: list[str] | None = None,
+    max_gap: str | None = None,
 ) -> DataFrame:
     """``country_map_roll`` from the stored tables, reading edits of the window only.
 
@@ -157,7 +161,7 @@ def country_signal(
     """
     widest = windows[2]
     start = moment(bars, "ts_utc", as_of) - F.expr(f"INTERVAL {widest}")
-    returns = symbol_return(bars, tickers, ties=ties, start=start)
+    returns = symbol_return(bars, tickers, ties=ties, max_gap=max_gap, start=start)
     recent = edits.where(since(edits, "dt", as_of, widest))
     return country_map_roll(
         country_return_minute(returns, unit), country_minute(recent, unit or "minute"), as_of, windows

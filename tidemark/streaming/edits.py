@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -42,13 +42,15 @@ def store_edits(
     path: str,
     checkpoint: str,
     same_date: bool = True,
+    ingested_at: Column | None = None,
     report: Report = log_counts,
     **options,
 ) -> StreamingQuery:
     """Store a stream of enriched events, each id once.
 
     ``topics`` is called for every micro-batch, so changes to the dictionary
-    take effect without a restart. ``report`` gets the counts of each batch.
+    take effect without a restart. ``ingested_at`` stamps the rows, for example
+    with ``current_timestamp()``. ``report`` gets the counts of each batch.
     """
 
     def write(batch: DataFrame, name: str) -> None:
@@ -58,7 +60,10 @@ def store_edits(
             no_time=F.col("dt").isNull(),
             no_country=F.col("page_country_code").isNull(),
         )
-        write_edits(tagged_edits(rows, topics()), path, name, same_date=same_date)
+        tagged = tagged_edits(rows, topics())
+        if ingested_at is not None:
+            tagged = tagged.withColumn("ingested_at", ingested_at)
+        write_edits(tagged, path, name, same_date=same_date)
         report(name, counts.get)
 
     return for_each_batch(feed, write, checkpoint, **options)

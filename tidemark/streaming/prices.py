@@ -43,7 +43,7 @@ def store_returns(
 
     Two slots hold the last bars in turn: a batch reads the slot of the batch
     before and overwrites the other, so replaying it gives the same result. An
-    empty batch copies the slot.
+    empty batch copies the slot. ``path`` belongs to one checkpoint.
     """
     schema = bars.schema
 

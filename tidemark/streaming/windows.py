@@ -58,7 +58,7 @@ def store_alerts(
     """Judge each finished step against the stored steps before it.
 
     Counts and alerts of a micro-batch lie in folders of its own. The history
-    is one row per topic and step.
+    is one row per topic and step. ``path`` belongs to one checkpoint.
     """
 
     def write(batch: DataFrame, name: str) -> None:
