@@ -15,12 +15,12 @@ def joined_lower(*columns: str) -> Column:
 
 def ascii_tokens(text: Column) -> Column:
     """Runs of ``a-z0-9``; every other character splits. Repeats are kept."""
-    return F.filter(F.split(text, "[^a-z0-9]+"), lambda token: F.length(token) > 0)
+    return F.array_remove(F.split(text, "[^a-z0-9]+"), "")
 
 
 def unicode_tokens(text: Column) -> Column:
     """Runs of letters and digits of any script."""
-    return F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda token: F.length(token) > 0)
+    return F.array_remove(F.split(text, r"[^\p{L}\p{N}]+"), "")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -34,24 +34,30 @@ def lookup(value: Column, entries: dict[str, Column]) -> Column:
     return F.try_element_at(F.create_map(*pairs), value)
 
 
-def phrases(tokens: Column, longest: int) -> Column:
-    """All runs of one to ``longest`` neighbouring tokens, joined by a blank."""
+def phrases(tokens: Column, longest: int, starts: list[str] | None = None) -> Column:
+    """Tokens and the runs of up to ``longest`` neighbouring ones, joined by a blank.
+
+    ``starts`` leaves out runs that begin with any other word.
+    """
 
     def runs(words: Column) -> Column:
-        found, run = [words], words
-        for size in range(2, longest + 1):
-            # Each longer run is a shorter one and the word after it.
-            rest = F.slice(words, size, F.greatest(F.size(words) - (size - 1), F.lit(0)))
-            run = F.zip_with(F.slice(run, 1, F.size(rest)), rest, lambda left, last: F.concat_ws(" ", left, last))
-            found.append(run)
-        return F.concat(*found)
+        places = F.when(F.size(words) > 0, F.sequence(F.lit(1), F.size(words)))
+        if starts is not None:
+            places = F.filter(places, lambda place: F.element_at(words, place).isin(starts))
+        sizes = [F.lit(size) for size in range(2, longest + 1)]
+        # A run cut short by the end of the text is one of the shorter runs.
+        longer = F.transform(
+            places,
+            lambda place: F.array(*[F.array_join(F.slice(words, place, size), " ") for size in sizes]),
+        )
+        return F.concat(words, F.coalesce(F.flatten(longer), F.array().cast("array<string>")))
 
     return tokens if longest == 1 else let(tokens, runs)
 
 
 def sorted_text(values: Column) -> Column:
     """Array members sorted and joined by a comma; null reads as empty."""
-    return F.coalesce(F.array_join(F.array_sort(values), ", "), F.lit(""))
+    return F.coalesce(F.array_join(F.sort_array(values), ", "), F.lit(""))
 
 
 def without_scheme(url: Column) -> Column:

@@ -37,12 +37,12 @@ def topic_keys(topics: DataFrame) -> DataFrame:
     return shown.orderBy("key")
 
 
-def _terms(text: Column, mode: str, longest: int) -> Column:
+def _terms(text: Column, mode: str, longest: int, starts: list[str] | None = None) -> Column:
     if mode == "ascii_token":
         return T.ascii_tokens(text)
     if mode == "unicode_token":
         return T.unicode_tokens(text)
-    return T.phrases(T.unicode_tokens(text), longest)
+    return T.phrases(T.unicode_tokens(text), longest, starts)
 
 
 def _normalised(pairs: DataFrame, mode: str) -> DataFrame:
@@ -96,7 +96,8 @@ def _tag_by_literals(edits, by_topic, columns, mode, longest) -> DataFrame:
     def among(words: list[str]):
         return lambda term: term.isin(words)
 
-    hits = F.filter(_terms(T.joined_lower(*columns), mode, longest), among(every))
+    starts = sorted({keyword.split(" ")[0] for keyword in every if " " in keyword})
+    hits = F.filter(_terms(T.joined_lower(*columns), mode, longest, starts), among(every))
 
     def named(found: Column) -> Column:
         named_or_null = [
@@ -120,6 +121,6 @@ def _tag_by_join(edits, pairs, columns, key, mode, longest) -> DataFrame:
         fact_dim_join(exploded, topics_of, ["keyword"], spread_by=[key, "keyword"])
         .select(key, F.explode("_topics").alias("topic"))
         .groupBy(key)
-        .agg(F.array_sort(F.collect_set("topic")).alias("topics"))
+        .agg(F.sort_array(F.collect_set("topic")).alias("topics"))
     )
     return edits.join(found, key)
