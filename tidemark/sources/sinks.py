@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.utils import AnalysisException
 
 from tidemark.operators.dedup import absent_from, one_per_id
 from tidemark.operators.upsert import upsert
@@ -21,7 +21,9 @@ def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     """
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
