@@ -4,11 +4,11 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry_points
+from tidemark import queries as registered
 from tidemark.operators import skew
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = {n: q for n, q in entry_points.queries().items() if not n.startswith("stream_")}
+QUERIES = {n: q for n, q in registered.QUERIES.items() if not n.startswith("stream_")}
 
 
 def _plan(spark, name, capsys):

@@ -6,10 +6,11 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_points
+from tidemark import queries as registered
 from tidemark.operators import skew
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = registered.QUERIES, registered.SQL
 
 
 @pytest.fixture(scope="module")
