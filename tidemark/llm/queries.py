@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, packing, token_files, warc
+from tidemark.llm import decontaminate, jaccard_join, packing, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,12 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(table(spark, folder, "pages")).drop("url")
 
 
+@query
+def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of all documents whose 3-word shingles are 90 % alike."""
+    return jaccard_join.near_groups(table(spark, folder, "documents"), 3, 90)
+
+
 @query
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of all documents, read back from their files."""
