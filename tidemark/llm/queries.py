@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, packing, token_files, warc
+from tidemark.llm import decontaminate, jaccard_join, packing, quality_rules, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of all documents, with cutoffs chosen per language."""
+    return quality_rules.quality_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
