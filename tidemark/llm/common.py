@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from functools import reduce
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import run_dir, written
@@ -35,8 +39,23 @@ def spare(name: str, taken: list[str]) -> str:
     return name
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, unless PYTHONPATH already leads them to it."""
+    root = Path(__file__).resolve().parents[2]
+    context = spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or context.applicationId in _SHIPPED:
+        return
+    name = f"{tempfile.mkdtemp(prefix='tidemark-')}/tidemark"
+    context.addPyFile(shutil.make_archive(name, "zip", root, "tidemark"))
+    _SHIPPED.add(context.applicationId)
+
+
 def in_arrow(df: DataFrame, function: Callable[[Batches], Batches], schema: str) -> DataFrame:
-    """``mapInArrow`` without a barrier: one pass, no shuffle."""
+    """``mapInArrow``: one pass, no shuffle."""
+    ship(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 

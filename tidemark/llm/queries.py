@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, packing, quality_rules, token_files, warc
+from tidemark.llm import decontaminate, jaccard_join, packing, quality_rules, secrets, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,12 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(table(spark, folder, "pages")).drop("url")
 
 
+@query
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in all documents, judged by a forest."""
+    return secrets.secret_report(table(spark, folder, "documents"))
+
+
 @query
 def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of all documents whose 3-word shingles are 90 % alike."""
