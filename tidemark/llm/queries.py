@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, packing, quality_rules, secrets, token_files, warc
+from tidemark.llm import (
+    decontaminate,
+    gru_lm,
+    jaccard_join,
+    language_id,
+    packing,
+    quality_rules,
+    secrets,
+    token_files,
+    url_rules,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +27,10 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+URL_RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+]
 
 
 def query(function: Query) -> Query:
@@ -45,6 +60,12 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(table(spark, folder, "pages")).drop("url")
 
 
+@query
+def op4_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts on all pages' addresses."""
+    return url_rules.judged(table(spark, folder, "pages"), URL_RULES)
+
+
 @query
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in all documents, judged by a forest."""
@@ -68,3 +89,15 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark passages in all documents."""
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.drop("spans")
+
+
+@query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages of all documents."""
+    return language_id.identify(table(spark, folder, "documents"), PIECES)
+
+
+@query
+def op10_gru_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of all documents under a recurrent model and a smoothed unigram."""
+    return gru_lm.language_scores(table(spark, folder, "documents"))
