@@ -81,3 +81,12 @@ def test_seed_tables(spark):
     assert (seeds.countries(spark).count(), seeds.fallback_centroids(spark).count()) == (34, 35)
     unknown = seeds.tickers(spark).join(seeds.countries(spark), "iso2", "left_anti")
     assert unknown.count() == 0
+
+
+def test_both_plans_tag_the_same_rows(rows, pairs):
+    """Rows with null and repeated ids, and repeated rows, are tagged by their own text."""
+    data = [(None, "war", None), (None, "bank", None), ("1", "war", "bank"), ("1", "re", None), ("1", "re", None), ("2", None, None)]
+    edits = rows(data, "meta_id string, title string, comment string")
+    for mode in T.MODES:
+        found = [sorted(map(repr, T.tag_topics(edits, pairs, mode=mode, literal_pairs=n).collect())) for n in (100, 0)]
+        assert found[0] == found[1] and len(found[0]) == 5

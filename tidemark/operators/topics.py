@@ -60,7 +60,6 @@ def tag_topics(
     edits: DataFrame,
     pairs: DataFrame,
     columns: tuple[str, ...] = ("title", "comment"),
-    key: str = "meta_id",
     mode: str = "ascii_token",
     literal_pairs: int = LITERAL_PAIRS,
 ) -> DataFrame:
@@ -69,7 +68,9 @@ def tag_topics(
     ``ascii_token`` splits at every character outside ``a-z0-9``, so keywords
     with other characters never match; ``unicode_token`` splits at anything
     but letters and digits; ``phrase`` also matches keywords of several words.
-    ``key`` must be unique and is used only beyond ``literal_pairs``.
+    A row's topics follow from its text alone, so rows with null or repeated ids are
+    tagged like any other. Dictionaries beyond ``literal_pairs`` take another plan
+    that gives the same rows.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -84,7 +85,7 @@ def tag_topics(
         for topic, keyword in known:
             by_topic.setdefault(topic, []).append(keyword)
         return _tag_by_literals(edits, by_topic, columns, mode, longest)
-    return _tag_by_join(edits, pairs, columns, key, mode, longest)
+    return _tag_by_join(edits, pairs, columns, mode, longest)
 
 
 def _tag_by_literals(edits, by_topic, columns, mode, longest) -> DataFrame:
@@ -111,16 +112,22 @@ def _tag_by_literals(edits, by_topic, columns, mode, longest) -> DataFrame:
     return edits.withColumn("topics", F.explode(tagged))
 
 
-def _tag_by_join(edits, pairs, columns, key, mode, longest) -> DataFrame:
-    """For dictionaries of any size; only (key, term) pairs are shuffled."""
-    terms = F.array_distinct(_terms(T.joined_lower(*columns), mode, longest))
-    exploded = edits.select(key, F.explode(terms).alias("keyword"))
+def _tag_by_join(edits, pairs, columns, mode, longest) -> DataFrame:
+    """For dictionaries of any size; only (text hash, term) pairs are shuffled.
+
+    Each distinct text is tagged once, and rows find their topics by its digest.
+    """
+    text = T.joined_lower(*columns)
+    digest = F.sha2(text.cast("binary"), 256)
+    texts = edits.select(digest.alias("_text_id"), F.explode(F.array_distinct(_terms(text, mode, longest))).alias("keyword"))
+    exploded = texts.dropDuplicates()
     # One row per keyword, so that the dictionary side is unique.
     topics_of = pairs.groupBy("keyword").agg(F.collect_set("topic").alias("_topics"))
     found = (
-        fact_dim_join(exploded, topics_of, ["keyword"], spread_by=[key, "keyword"])
-        .select(key, F.explode("_topics").alias("topic"))
-        .groupBy(key)
+        fact_dim_join(exploded, topics_of, ["keyword"], spread_by=["_text_id", "keyword"])
+        .select("_text_id", F.explode("_topics").alias("topic"))
+        .groupBy("_text_id")
         .agg(F.sort_array(F.collect_set("topic")).alias("topics"))
     )
-    return edits.join(found, key)
+    tagged = fact_dim_join(edits.withColumn("_text_id", digest), found, ["_text_id"])
+    return tagged.select(*edits.columns, "topics")
