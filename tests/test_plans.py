@@ -40,7 +40,7 @@ def test_top_k_is_not_a_full_sort(spark, capsys):
 
 
 def test_large_sides_are_not_broadcast(spark, capsys, monkeypatch):
-    """Beyond the limit only hot keys and segment ends are broadcast."""
+    """Beyond the limit nothing is broadcast by a hint."""
     monkeypatch.setattr(skew.LIMITS, "broadcast_bytes", 0)
     monkeypatch.setattr(skew.LIMITS, "plain_bytes", 0)
     monkeypatch.setattr(skew.LIMITS, "group_rows", 10)
@@ -49,4 +49,19 @@ def test_large_sides_are_not_broadcast(spark, capsys, monkeypatch):
         plan = _plan(spark, "normalized_change", capsys)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in plan and "_parts" in plan
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+@pytest.mark.parametrize(("name", "scans"), [("validate_rejects", 4), ("country_markers", 6)])
+def test_a_large_plan_does_not_read_a_table_again(spark, capsys, monkeypatch, name, scans):
+    """Joins whose sides are large read the fact once, as the small plan does."""
+    for limit, value in (("group_rows", 20), ("broadcast_bytes", 0), ("plain_bytes", 0)):
+        monkeypatch.setattr(skew.LIMITS, limit, value)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(spark, name, capsys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.split("\n\n")[0].count("Scan parquet") <= scans

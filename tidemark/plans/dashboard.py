@@ -19,16 +19,20 @@ def recent_events(
     as_of: str,
     minutes: int = 60,
     topics: list[str] | None = None,
-    cap: int = seeds.EVENT_CAP,
+    cap: int | None = seeds.EVENT_CAP,
     ties: tuple[str, ...] = ("meta_id",),
 ) -> DataFrame:
-    """The newest ``cap`` edits with a country; no topics means any topic."""
+    """The newest ``cap`` edits with a country, all without one; no topics means any topic.
+
+    The cap is for the list that is shown. Figures are worked out with ``cap=None``.
+    """
     rows = edits.where(since(edits, "dt", as_of, f"{minutes} minutes") & F.col("page_country_code").isNotNull())
     if topics:
         rows = rows.where(F.arrays_overlap(F.array_compact("topics"), F.array(*[F.lit(t) for t in topics])))
     shown = rows.withColumn("iso2", F.left("page_country_code", F.lit(2)))
-    order = [F.col("dt").desc_nulls_first(), *[F.col(t) for t in ties]]
-    return shown.orderBy(*order).limit(cap).select(*EVENT_COLUMNS)
+    if cap is not None:
+        shown = shown.orderBy(F.col("dt").desc_nulls_first(), *[F.col(t) for t in ties]).limit(cap)
+    return shown.select(*EVENT_COLUMNS)
 
 
 def recent_prices(
@@ -83,7 +87,7 @@ def country_markers(events: DataFrame, centroids: DataFrame) -> DataFrame:
 
 
 def kpis(events: DataFrame) -> DataFrame:
-    """Countries and events shown; ``events`` is the capped list."""
+    """Countries and events of a window."""
     return events.agg(F.countDistinct("iso2").alias("countries"), F.count(F.lit(1)).alias("events"))
 
 

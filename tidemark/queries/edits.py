@@ -193,23 +193,28 @@ recent AS (
   SELECT dt, page_country_code AS iso2, wiki, title, user_text, type, added, removed, topics, event_id FROM edits
   WHERE dt >= TIMESTAMP '{AS_OF}' - INTERVAL {_MINUTES} MINUTE AND page_country_code IS NOT NULL
     AND list_has_any(topics, ['click', 'large'])
-  ORDER BY dt DESC, event_id LIMIT 2000
 )"""
 
 
 def _recent(spark: SparkSession, folder: str) -> DataFrame:
-    return dashboard.recent_events(
-        star.edits(spark, folder), AS_OF, _MINUTES, ["click", "large"], ties=("event_id",)
-    )
+    """The whole window, as figures need it."""
+    return dashboard.recent_events(star.edits(spark, folder), AS_OF, _MINUTES, ["click", "large"], cap=None)
+
+
+_ALL_MINUTES = 25 * 24 * 60
 
 
 @query(
-    with_(EDITS, _RECENT)
-    + """SELECT dt, iso2, wiki, title, user_text, type, added, removed,
-array_to_string(list_sort(topics), ', ') AS topics FROM recent"""
+    with_(EDITS)
+    + f"""SELECT dt, page_country_code AS iso2, wiki, title, user_text, type, added, removed,
+array_to_string(list_sort(topics), ', ') AS topics FROM edits
+WHERE dt >= TIMESTAMP '{AS_OF}' - INTERVAL {_ALL_MINUTES} MINUTE AND page_country_code IS NOT NULL
+ORDER BY dt DESC, event_id LIMIT 2000"""
 )
 def recent_events_topk(spark: SparkSession, folder: str) -> DataFrame:
-    return _recent(spark, folder).withColumn("topics", sorted_text(F.col("topics")))
+    """The list that is shown: the window holds more events than the cap."""
+    events = dashboard.recent_events(star.edits(spark, folder), AS_OF, _ALL_MINUTES, ties=("event_id",))
+    return events.withColumn("topics", sorted_text(F.col("topics")))
 
 
 _PER_COUNTRY = """
