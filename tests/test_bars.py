@@ -133,6 +133,18 @@ def test_staged_upsert(spark, rows, tmp_path, repeat):
     for name, updates in (("a", first), ("b", second)):
         sinks.stage_upsert(updates, path, staged + name, ["k", "day"], ["v", "at"], ["at"], "day")
         for _ in range(repeat):
-            sinks.apply_staged(spark, staged + name, path, "day")
+            sinks.apply_staged(spark, staged + name, path, "day", updates.schema)
     got = {(r.k, r.v, r.day) for r in spark.read.parquet(path).collect()}
     assert got == {(1, 1, "mon"), (2, 5, "tue"), (3, 3, "wed")}
+
+
+def test_upsert_keeps_the_null_partition(spark, rows, tmp_path):
+    path = str(tmp_path / "bars")
+    schema = "k int, v int, at int, day string"
+    stages = ([(1, 1, 0, None), (2, 2, 0, "tue")], [(3, 3, 1, None), (4, 4, 1, "tue")], [(1, 9, 2, None)])
+    for n, data in enumerate(stages):
+        updates = rows(data, schema)
+        sinks.stage_upsert(updates, path, str(tmp_path / f"staged{n}"), ["k"], ["v", "at"], ["at"], "day")
+        sinks.apply_staged(spark, str(tmp_path / f"staged{n}"), path, "day", updates.schema)
+    stored = sinks.read_stored(spark, path, updates.schema)
+    assert {(r.k, r.v, r.day) for r in stored.collect()} == {(1, 9, None), (2, 2, "tue"), (3, 3, None), (4, 4, "tue")}

@@ -64,7 +64,7 @@ def upsert_stored(spark: SparkSession, folder: str) -> DataFrame:
         sinks.stage_upsert(
             updates, f"{home}/table", staged, _ITEM_KEY, _ITEM_UPDATES, ["l_shipdate"], "l_linenumber"
         )
-        sinks.apply_staged(spark, staged, f"{home}/table", "l_linenumber")
+        sinks.apply_staged(spark, staged, f"{home}/table", "l_linenumber", items.schema)
     return sinks.read_stored(spark, f"{home}/table", items.schema).select(*items.columns)
 
 
@@ -78,7 +78,7 @@ SELECT p_partkey, CASE WHEN n IS NULL THEN p_name ELSE 'seen' END AS p_name, p_b
 FROM part LEFT JOIN seen ON l_partkey = p_partkey AND n = 1
 """)
 def dimension_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Parts take the name and price of their newest sale and keep their brand."""
+    """Parts take the name and price of their dearest sale and keep their brand."""
     part = star.table(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice")
     sales = star.table(spark, folder, "lineitem").select(
         F.col("l_partkey").alias("p_partkey"),

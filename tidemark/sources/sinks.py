@@ -36,16 +36,17 @@ def write_edits(
     path: str,
     batch: str,
     ties: tuple[str, ...] = ("raw",),
-    same_date: bool = True,
+    same_date: bool = False,
 ) -> None:
-    """Store the edits of one micro-batch, each id once over all batches.
-
-    ``batch`` must be unique to checkpoint and micro-batch, and the same when
-    the micro-batch is replayed: its own earlier output is replaced, and is not
-    among the rows an id counts as stored in. A redelivered id carries the time
-    it first had, so only the dates of the batch are searched; ``same_date=False``
-    searches every date. The batch is worked out once, into a folder that the
-    next one reuses.
+    """Store the edits of one micro-batch, each id once over all batches and dates.
+
+    ``batch`` must be unique to checkpoint and micro-batch, and the same when the
+    micro-batch is replayed: it owns a folder, which a replay replaces whole, and
+    its own earlier output is not among the rows an id counts as stored in. Only
+    the ids of the store are read to find redelivered ones. ``same_date=True``
+    reads only the dates that the batch has, for feeds that always redeliver an id
+    with its first time. The batch is worked out once, into a folder that the next
+    one reuses.
     """
     spark = edits.sparkSession
     # A leading underscore hides the folder from readers of the store.
@@ -54,19 +55,31 @@ def write_edits(
     fresh = spark.read.schema(T.StructType([*edits.schema, T.StructField(EDIT_DATE, T.DateType())])).parquet(staged)
     stored = read_stored(spark, path, edit_store_schema(edits)).where(F.col(BATCH) != batch)
     if same_date:
-        first, last, undated = fresh.agg(
-            F.min(EDIT_DATE), F.max(EDIT_DATE), F.max(F.col(EDIT_DATE).isNull())
-        ).first()
-        dates = F.col(EDIT_DATE).between(F.lit(first), F.lit(last))
-        stored = stored.where(dates | F.col(EDIT_DATE).isNull() if undated else dates)
+        dates = fresh.select(F.col(EDIT_DATE).alias("_date")).distinct()
+        stored = stored.join(dates, F.col(EDIT_DATE).eqNullSafe(F.col("_date")), "left_semi")
     (
         absent_from(fresh, stored)
-        .withColumn(BATCH, F.lit(batch))
         .hint("rebalance", EDIT_DATE)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(EDIT_DATE, BATCH)
-        .parquet(path)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(EDIT_DATE)
+        .parquet(f"{path}/{BATCH}={batch}")
+    )
+
+
+def merge_batches(spark: SparkSession, path: str, schema: T.StructType, merged: str) -> None:
+    """Copy a store of many small batches to ``merged``, in one batch of few files per date.
+
+    Readers and the next run then use ``merged``; the old store stays as it is.
+    """
+    (
+        read_stored(spark, path, schema)
+        .drop(BATCH)
+        .hint("rebalance", EDIT_DATE)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(EDIT_DATE)
+        .parquet(f"{merged}/{BATCH}=merged_0")
     )
 
 
@@ -86,19 +99,24 @@ def stage_upsert(
 ) -> None:
     """Write the partitions of ``path`` that ``updates`` changes to ``staged``.
 
-    ``partition`` must follow from the keys, as a date does from a timestamp.
-    Only the partitions named in the updates are read, and none is touched.
+    ``partition`` must follow from the keys, as a date does from a timestamp; null
+    is a partition like any other. Only the partitions named in the updates are
+    kept for the merge, and none is touched.
     """
-    touched = [row[0] for row in updates.select(partition).distinct().collect()]
-    target = read_stored(updates.sparkSession, path, updates.schema).where(F.col(partition).isin(touched))
+    touched = updates.select(F.col(partition).alias("_touched")).distinct()
+    target = read_stored(updates.sparkSession, path, updates.schema)
+    target = target.join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
     merged = upsert(target, updates, keys, update_cols, order_by)
     merged.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(staged)
 
 
-def apply_staged(spark: SparkSession, staged: str, path: str, partition: str) -> None:
-    """Replace partitions of ``path`` by the staged ones; may be repeated."""
+def apply_staged(spark: SparkSession, staged: str, path: str, partition: str, schema: T.StructType) -> None:
+    """Replace partitions of ``path`` by the staged ones; may be repeated.
+
+    ``schema`` is that of the updates: it can't be told from folder names alone.
+    """
     (
-        spark.read.parquet(staged)
+        read_stored(spark, staged, schema)
         .hint("rebalance", partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
