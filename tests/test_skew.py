@@ -25,7 +25,8 @@ def dim(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_split_join(fact, dim, how):
     plain = fact.join(dim, ["key"], how)
-    split = skew.fact_dim_join(fact, dim, ["key"], how, ["id"], skew.Limits(100, 0, 0))
+    limits = skew.Limits(100, 0, 0)
+    split = skew.fact_dim_join(fact, dim, ["key"], how, ["id"], limits, skew.hot_keys(fact, ["key"], limits))
     assert split.columns == plain.columns
     assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
 
@@ -38,7 +39,8 @@ def test_hot_keys(fact):
 
 def test_planner_picks_the_join(fact, dim, capsys):
     skew.fact_dim_join(fact, dim, ["key"]).explain()
-    assert "BroadcastHashJoin" in capsys.readouterr().out
+    out = capsys.readouterr().out
+    assert "SortMergeJoin" in out and "_parts" not in out and "Expand" not in out
 
 
 @pytest.fixture(scope="module")
@@ -74,6 +76,23 @@ def test_split_lag_on_one_instant(spark):
     assert {(r.id, r.before) for r in split.collect()} == {(n, n - 1 if n else None) for n in range(100)}
 
 
+def test_a_burst_is_split_by_rows(spark):
+    """Nearly all rows within an hour, one long before."""
+    df = spark.range(20_001).selectExpr("1 as key", "cast(if(id = 0, 0, 1700000000 + id % 3600) as timestamp) as ts", "id")
+    cut, _ = skew._segments(df, ["key"], F.struct("ts", "id"), ["ts", "id"], skew.Limits(1000, 0, 0))
+    sizes = [r["count"] for r in cut.groupBy("_seg").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) <= 2000
+
+
+@pytest.mark.parametrize("group_rows", [40, 700])
+def test_carried(series, group_rows):
+    some = series.withColumn("value", F.when(F.col("id") % 7 == 0, F.col("value")))
+    plain = skew.carried(some, ["key"], "ts", "value", "last", ["id"])
+    split = skew.carried(some, ["key"], "ts", "value", "last", ["id"], skew.Limits(group_rows, 0, 0))
+    assert split.columns == plain.columns
+    assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+
+
 def test_latest_filters_before_the_shuffle(spark, tmp_path, capsys):
     spark.range(100).selectExpr("id % 3 as key", "id").write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))

@@ -1,6 +1,7 @@
 """Streams give what the batch functions give, also when batches are replayed."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from tidemark import schemas
 from tidemark.operators import geo
 from tidemark.plans import signals, views
 from tidemark.sources.edits import kafka_options, parse_edits, read_edit_stream, read_edits
-from tidemark.sources.sinks import as_messages, write_edits
+from tidemark.sources.sinks import as_messages, edit_store_schema, merge_batches, read_stored, write_edits
 from tidemark.streaming import edits as E
 from tidemark.streaming import prices as P
 from tidemark.streaming import windows as W
@@ -57,7 +58,7 @@ def test_edits_are_stored_once(spark, tmp_path, topics):
     assert _stored_ids(spark, stored) == list(range(55))
     # A new checkpoint reads everything again.
     run("two")
-    run("three", same_date=False)
+    run("three", same_date=True)
     assert _stored_ids(spark, stored) == list(range(55))
 
 
@@ -77,6 +78,27 @@ def test_replayed_batch_replaces_its_own_rows(spark, rows, tmp_path):
     assert _stored_ids(spark, path) == list(range(8))
 
 
+def test_replay_and_redelivery(spark, rows, tmp_path):
+    path = str(tmp_path / "stored")
+
+    def edits(data):
+        return rows(data, "meta_id string, raw string, day string").withColumn("dt", F.col("day").cast("timestamp")).drop("day")
+
+    write_edits(edits([("p", "r", "2024-01-01"), ("q", "r", "2024-01-02")]), path, "a_0")
+    # A replay under another dictionary keeps fewer rows: the others go.
+    write_edits(edits([("p", "r", "2024-01-01")]), path, "a_0")
+    schema = edit_store_schema(edits([]))
+    assert [r.meta_id for r in read_stored(spark, path, schema).collect()] == ["p"]
+    # An id that comes again under another date, or a stray one, is stored once.
+    write_edits(edits([("p", "r", "2024-01-03"), ("x", "r", "1970-01-01"), ("y", "r", None)]), path, "a_1")
+    write_edits(edits([("y", "r", "2100-01-01"), ("z", "r", "2024-01-01")]), path, "a_2")
+    assert sorted(r.meta_id for r in read_stored(spark, path, schema).collect()) == ["p", "x", "y", "z"]
+    merge_batches(spark, path, schema, str(tmp_path / "merged"))
+    write_edits(edits([("z", "r", "2024-01-01"), ("w", "r", "2024-01-01")]), str(tmp_path / "merged"), "b_0")
+    merged = read_stored(spark, str(tmp_path / "merged"), schema)
+    assert sorted(r.meta_id for r in merged.collect()) == ["p", "w", "x", "y", "z"]
+
+
 def test_enriched_messages(spark, rows, tmp_path):
     claims = rows([("p", "P17", 0, "Q30", None), ("Q30", "P297", 0, None, "US")], schemas.CLAIM)
     countries = geo.entity_countries(claims)
@@ -141,61 +163,80 @@ def test_late_bar_is_marked(rows):
             "ticker_id", F.timestamp_seconds("s").alias("ts_utc"), "close", "id"
         )
 
-    returns, last = P.batch_returns(bars([5, 20, 30]), bars([10]), ["id"])
+    returns = P.batch_returns(bars([5, 20, 30]), bars([10]), ["id"])
     assert {(r.id, r.prev_close, r.late) for r in returns.collect()} == {
         (5, None, True), (20, 10.0, False), (30, 20.0, False)
     }
-    assert [r.id for r in last.collect()] == [30]
 
 
-@pytest.fixture
-def edit_files(spark, rows, tmp_path):
+ORDERS = {"one batch": None, "in order": [0, 1, 2, 3], "shuffled": [2, 0, 3, 1]}
+
+
+def _files(spark, frame, folder, key, order):
+    """``frame`` as four files that a stream takes one by one in the given order, or all at once."""
+    for place, part in enumerate(order or [0, 1, 2, 3]):
+        frame.where(F.floor(F.col(key) / 100) == part).drop(key).coalesce(1).write.parquet(str(folder / f"p{place}"))
+        (file,) = (folder / f"p{place}").glob("*.parquet")
+        file.rename(folder / f"{place}.parquet")
+        # Files are taken by their time of change.
+        os.utime(folder / f"{place}.parquet", (1_600_000_000 + place, 1_600_000_000 + place))
+    schema = frame.drop(key).schema
+    paths = str(folder / "*.parquet")
+    return spark.read.schema(schema).parquet(paths), spark.readStream.schema(schema).option(
+        "maxFilesPerTrigger", "1" if order else "10"
+    ).parquet(paths)
+
+
+@pytest.fixture(params=ORDERS)
+def edit_files(request, spark, rows, tmp_path):
     data = [(n, 1_700_000_000 + 40 * n, "US" if n % 3 else "DE", ["a", "b"] if n % 5 == 0 else ["a"]) for n in range(400)]
+    data += [(n, 1_700_000_000 + 40 * n, "US", ["b"]) for n in range(150, 160) for _ in range(9)]
     frame = rows(data, "n int, s bigint, page_country_code string, topics array<string>").select(
         F.timestamp_seconds("s").alias("dt"), "page_country_code", "topics", "n"
     )
-    for part in range(4):
-        frame.where(F.floor(F.col("n") / 100) == part).drop("n").coalesce(1).write.mode("append").parquet(str(tmp_path / "edits"))
-    schema = "dt timestamp, page_country_code string, topics array<string>"
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(str(tmp_path / "edits"))
-    return spark.read.schema(schema).parquet(str(tmp_path / "edits")), stream
+    return *_files(spark, frame, tmp_path / "edits", "n", ORDERS[request.param]), request.param
+
+
+def _set(df, columns=None):
+    return {tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(*(columns or df.columns)).collect()}
 
 
 def test_window_counts(spark, edit_files, tmp_path):
-    batch, stream = edit_files
-    W.store_counts(W.country_windows(stream), str(tmp_path / "counts"), str(tmp_path / "ck")).awaitTermination()
-    got = W.stored_counts(spark, str(tmp_path / "counts"), ["ts_minute_utc", "iso2"])
+    batch, stream, order = edit_files
+    W.store_sums(stream, str(tmp_path / "o"), str(tmp_path / "ck"), W.country_counts).awaitTermination()
     wanted = views.country_minute(batch)
-    assert {tuple(r) for r in got.select(*wanted.columns).collect()} == {tuple(r) for r in wanted.collect()}
+    assert _set(W.stored_counts(spark, str(tmp_path / "o")), wanted.columns) == _set(wanted)
+    progress = spark.read.parquet(str(tmp_path / "o" / "progress"))
+    seen, late = progress.agg(F.sum("seen"), F.sum("late")).first()
+    assert seen == 490 and (late > 0) == (order == "shuffled")
 
 
 def test_alerts(spark, edit_files, tmp_path):
-    batch, stream = edit_files
-    counts = W.topic_windows(stream, 600, "10 minutes")
-    W.store_alerts(counts, str(tmp_path / "o"), str(tmp_path / "ck"), 4, 0.5).awaitTermination()
-    last = batch.agg(F.max(F.unix_seconds("dt"))).first()[0]
+    batch, stream, _ = edit_files
+    W.store_alerts(stream, str(tmp_path / "o"), str(tmp_path / "ck"), 600, 4).awaitTermination()
     steps = signals.surge_alerts(signals.topic_surges(signals.topic_counts(batch, 600), 4), 0.5)
-    wanted = {(r.topic, r.step, r.event_count) for r in steps.collect() if (r.step + 1) * 600 <= last - 600}
-    got = {(r.topic, r.step, r.event_count) for r in spark.read.parquet(str(tmp_path / "o" / "alerts")).collect()}
-    assert got == wanted and wanted
+    assert _set(W.stored_alerts(spark, str(tmp_path / "o"), 0.5), steps.columns) == _set(steps) != set()
 
 
 def test_joined_windows(spark, edit_files, rows, tmp_path):
-    batch, stream = edit_files
+    batch, stream, order = edit_files
     frame = rows(
-        [("US", 1_700_000_000 + 60 * n, float(n + 1), float(n or 1)) for n in range(0, 260, 2)],
-        "iso2 string, s bigint, close double, prev_close double",
-    ).select("iso2", F.timestamp_seconds("s").alias("ts_minute_utc"), "close", "prev_close")
-    frame.coalesce(1).write.parquet(str(tmp_path / "returns"))
-    returns = spark.readStream.schema(frame.schema).parquet(str(tmp_path / "returns"))
-    joined = W.joined_windows(stream, returns, "10 minutes")
-    query = (
-        joined.writeStream.format("parquet").outputMode("append").option("path", str(tmp_path / "joined"))
-        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    got = {tuple(r) for r in spark.read.parquet(str(tmp_path / "joined")).collect()}
-    both = views.joined_signals(views.country_return_minute(frame, "minute"), views.country_minute(batch))
-    wanted = {tuple(r) for r in both.select("iso2", "ts_minute_utc", "event_count", "avg_return_1m", "symbols_count").collect()}
-    # The newest windows are still open.
-    assert got <= wanted and len(got) > 0.8 * len(wanted)
+        [(n, "US", 1_700_000_000 + 40 * n, float(n + 1), float(n)) for n in range(0, 400, 2)],
+        "n int, iso2 string, s bigint, close double, prev_close double",
+    ).select("n", "iso2", F.timestamp_seconds("s").alias("ts_minute_utc"), "close", "prev_close")
+    returns, moves = _files(spark, frame, tmp_path / "returns", "n", ORDERS[order])
+    for name, source, sums, ts in (("e", stream, W.country_counts, "dt"), ("m", moves, W.country_moves, "ts_minute_utc")):
+        W.store_sums(source, str(tmp_path / name), str(tmp_path / f"{name}_ck"), sums, ts).awaitTermination()
+    got = W.joined_signals(spark, str(tmp_path / "e"), str(tmp_path / "m"))
+    both = views.joined_signals(views.country_return_minute(returns, "minute"), views.country_minute(batch))
+    assert _set(got) == _set(both, got.columns)
+
+
+@pytest.mark.parametrize("order", ORDERS)
+def test_previous_closes_in_any_order(spark, rows, tmp_path, order):
+    data = [(n, n % 3, 1_700_000_000 + 60 * (n // 4), float(n), n) for n in range(400)]
+    frame = rows(data, "n int, ticker_id int, s bigint, close double, id int").withColumn("ts_utc", F.timestamp_seconds("s")).drop("s")
+    batch, stream = _files(spark, frame, tmp_path / "bars", "n", ORDERS[order])
+    P.store_returns(stream, str(tmp_path / "out"), str(tmp_path / "ck"), ["id"]).awaitTermination()
+    got = P.stored_returns(spark, str(tmp_path / "out"), ["id"])
+    assert _set(got, ["id", "prev_close"]) == {(n, float(n - 3) if n >= 3 else None) for n in range(400)}

@@ -1,8 +1,9 @@
 """Joins and ordered look-backs that stay balanced when one key is hot.
 
 A key is *hot* when it has more than ``group_rows`` rows. N rows hold at most
-N / group_rows hot keys, so the table of hot keys is always small enough to
-broadcast, and each hot key is cut into ``ceil(rows / group_rows)`` parts.
+N / group_rows hot keys, and each is cut into about ``rows / group_rows`` parts.
+Tables of hot keys and of their parts are joined without a hint: adaptive
+execution broadcasts them while they are small.
 """
 
 from __future__ import annotations
@@ -64,23 +65,24 @@ def fact_dim_join(
     how: str = "inner",
     spread_by: list[str] | None = None,
     limits: Limits | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large table to one whose ``on`` columns are unique.
 
     A dimension the planner estimates below the limit is broadcast, unless rows
-    of it are generated, which the estimate leaves out. A larger one is shuffled,
-    with hot fact keys cut into parts and only the matching dimension rows
-    repeated, once per part. Without hot keys that is an ordinary shuffle join,
-    which AQE may still turn into a broadcast at run time.
-    ``spread_by`` names fact columns that tell rows of one key apart (by default
-    all of them). ``how`` is any of inner, left, left_semi and left_anti.
+    of it are generated, which the estimate leaves out. A larger one is shuffled;
+    adaptive execution splits partitions that come out skewed, at no further read
+    of the fact. Where that is not enough, ``hot`` names the hot keys, as
+    ``hot_keys`` counts them once for all joins of a fact: those are cut into parts
+    and only the matching dimension rows are repeated, once per part. ``spread_by``
+    then names fact columns that tell rows of one key apart (by default all).
+    ``how`` is any of inner, left, left_semi and left_anti.
     """
     limits = limits or LIMITS
     if at_most(dim, limits.broadcast_bytes) and not generates_rows(dim):
         return fact.join(F.broadcast(dim), on, how)
-    if fact.isStreaming or at_most(fact, limits.plain_bytes):
+    if hot is None:
         return fact.join(dim, on, how)
-    hot = F.broadcast(hot_keys(fact, on, limits))
     # The partition tells copies of a row apart and stays the same on a retry.
     spread = F.xxhash64(*(spread_by or fact.columns), F.spark_partition_id())
     keyless = F.lit(False)
@@ -99,8 +101,29 @@ def fact_dim_join(
     return left.join(right, [*on, "_part"], how).drop("_part")
 
 
-def _order_value(ts: str, ties: list[str]) -> Column:
-    return F.struct(ts, *ties) if ties else F.col(ts)
+# So many sampled places stand for the rows of one segment.
+SEGMENT_SAMPLES = 64
+
+
+def _segments(df: DataFrame, keys: list[str], place: Column, parts: list[str], limits: Limits) -> tuple[DataFrame, DataFrame]:
+    """(``df`` with ``_seg``, the hot keys): hot keys cut into about ``group_rows`` rows each.
+
+    The cuts are quantiles of a sample of each hot key's places, taken by the
+    place's hash, so segments hold like numbers of rows however these lie in time.
+    One read of the narrow columns counts and samples.
+    """
+    every = max(1, limits.group_rows // SEGMENT_SAMPLES)
+    step = max(1, limits.group_rows // every)
+    sampled = F.when(F.pmod(F.xxhash64(*parts), F.lit(every)) == 0, place)
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.collect_set(sampled).alias("_places"))
+    hot = counted.where(F.col("_rows") > limits.group_rows).select(*keys, F.sort_array("_places").alias("_places"))
+    places = F.when(F.size("_places") > step, F.sequence(F.lit(step), F.size("_places") - 1, F.lit(step)))
+    hot = hot.select(
+        *keys, F.coalesce(F.transform(places, lambda i: F.get("_places", i)), F.slice("_places", 1, 0)).alias("_cuts")
+    )
+    # Places at a cut and after it belong to the next segment.
+    segment = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut <= place)), F.lit(0))
+    return df.join(hot, keys, "left").withColumn("_seg", segment).drop("_cuts"), hot.drop("_cuts")
 
 
 def previous_values(
@@ -111,11 +134,11 @@ def previous_values(
     ties: list[str] | None = None,
     limits: Limits | None = None,
 ) -> DataFrame:
-    """``lag`` over ``keys`` in ``ts`` order that splits hot keys by time.
+    """``lag`` over ``keys`` in ``ts`` order that splits hot keys by rows.
 
     ``values`` maps each new column to the column it looks back at. Keys and
-    ``ts`` must not be null. A hot key is cut into time segments; the first row
-    of a segment takes the last row of the segment before it that has rows.
+    ``ts`` must not be null. The first row of a segment takes the last row of the
+    segment before it.
     """
     ties = ties or []
     limits = limits or LIMITS
@@ -124,31 +147,11 @@ def previous_values(
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({new: F.lag(old).over(window) for new, old in values.items()})
 
-    span = F.unix_micros(F.col(ts).cast("timestamp"))
-    spans = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(span).alias("_lo"), F.max(span).alias("_hi")
-    )
-    hot = F.broadcast(
-        spans.where(F.col("_rows") > limits.group_rows).select(
-            *keys,
-            "_lo",
-            # double: the two factors together may pass a long
-            ((F.col("_hi") - F.col("_lo") + 1) * (F.lit(float(limits.group_rows)) / F.col("_rows"))).alias("_width"),
-        )
-    )
-    segment = F.coalesce(F.floor((span - F.col("_lo")) / F.col("_width")), F.lit(0)).cast("long")
-    cut = df.join(hot, keys, "left").withColumn("_seg", segment).drop("_lo", "_width")
-
+    place = F.struct(ts, *ties)
+    cut, hot = _segments(df, keys, place, [ts, *ties], limits)
     columns = list(dict.fromkeys(values.values()))
-    ends = (
-        df.join(hot, keys, "inner")
-        .withColumn("_seg", segment)
-        .groupBy(*keys, "_seg")
-        .agg(F.max_by(F.struct(*columns), _order_value(ts, ties)).alias("_end"))
-    )
-    starts = F.broadcast(
-        ends.withColumn("_before", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_seg"))).drop("_end")
-    )
+    ends = cut.join(hot, keys, "left_semi").groupBy(*keys, "_seg").agg(F.max_by(F.struct(*columns), place).alias("_end"))
+    starts = ends.withColumn("_before", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_seg"))).drop("_end")
     window = Window.partitionBy(*keys, "_seg").orderBy(*order)
     looked = cut.withColumns(
         {
@@ -163,6 +166,28 @@ def previous_values(
     return looked.withColumns(filled).select(*df.columns, *values)
 
 
+def carried(
+    df: DataFrame, keys: list[str], ts: str, value: str, new: str, ties: list[str], limits: Limits | None = None
+) -> DataFrame:
+    """``df`` with ``new``: the last ``value`` that is not null at or before the row's place.
+
+    Hot keys are split by rows as in ``previous_values``.
+    """
+    limits = limits or LIMITS
+    order = [F.col(ts), *[F.col(t) for t in ties]]
+    if at_most(df, limits.plain_bytes):
+        return df.withColumn(new, F.last(value, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order)))
+    place = F.struct(ts, *ties)
+    cut, hot = _segments(df, keys, place, [ts, *ties], limits)
+    known = F.when(F.col(value).isNotNull(), place)
+    ends = cut.join(hot, keys, "left_semi").groupBy(*keys, "_seg").agg(F.max_by(value, known).alias("_end"))
+    before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.withColumn("_before", F.last("_end", ignorenulls=True).over(before)).drop("_end")
+    inside = F.last(value, ignorenulls=True).over(Window.partitionBy(*keys, "_seg").orderBy(*order))
+    looked = cut.withColumn("_inside", inside).join(starts, [*keys, "_seg"], "left")
+    return looked.withColumn(new, F.coalesce("_inside", "_before")).select(*df.columns, new)
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in ``order``.
 

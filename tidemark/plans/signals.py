@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import carried
+
 from tidemark.functions.numbers import pearson
 
 
@@ -48,15 +50,17 @@ def topic_counts(edits: DataFrame, step_seconds: int, ts: str = "dt") -> DataFra
     )
 
 
-def topic_surges(counts: DataFrame, baseline_steps: int) -> DataFrame:
+def topic_surges(counts: DataFrame, baseline_steps: int, first: str | None = None) -> DataFrame:
     """Each step's count against the mean and spread of the steps before it.
 
     Steps without edits count as zero from the topic's first step on. A step
     with no history has a null score, and so has one after a constant history.
+    ``first`` names a column with the topic's first step, for counts that begin later.
     """
     by_topic = Window.partitionBy("topic").orderBy("step")
     trailing = by_topic.rangeBetween(-baseline_steps, -1)
-    seen = F.least(F.col("step") - F.min("step").over(by_topic), F.lit(baseline_steps))
+    begin = F.col(first) if first else F.min("step").over(by_topic)
+    seen = F.least(F.col("step") - begin, F.lit(baseline_steps))
     total = F.coalesce(F.sum("event_count").over(trailing), F.lit(0))
     squares = F.coalesce(F.sum(F.col("event_count") * F.col("event_count")).over(trailing), F.lit(0))
     known = counts.select(
@@ -110,23 +114,11 @@ def country_topic_counts(edits: DataFrame) -> DataFrame:
 def as_of_returns(activity: DataFrame, country_returns: DataFrame) -> DataFrame:
     """Each activity row with the last return of its country at or before its time.
 
-    Both inputs have one row per country and time, so a country has at most as
-    many rows as there are minutes.
+    A country with very many rows is split by rows (see ``skew.carried``).
     """
-    returns = country_returns.select(
-        "iso2", "ts_minute_utc", F.lit(None).cast("int").alias("event_count"), "avg_return_1m",
-        F.col("ts_minute_utc").alias("return_ts"), F.lit(0).alias("_order"),
-    )
-    edits = activity.select(
-        "iso2", "ts_minute_utc", "event_count", F.lit(None).cast("double").alias("avg_return_1m"),
-        F.lit(None).cast(country_returns.schema["ts_minute_utc"].dataType).alias("return_ts"), F.lit(1).alias("_order"),
-    )
-    back = Window.partitionBy("iso2").orderBy("ts_minute_utc", "_order")
-    last = F.last(F.when(F.col("_order") == 0, F.struct("return_ts", "avg_return_1m")), ignorenulls=True).over(back)
-    return (
-        returns.unionByName(edits)
-        .withColumn("_last", last)
-        .where(F.col("_order") == 1)
-        .select("iso2", "ts_minute_utc", "event_count", "_last.return_ts", "_last.avg_return_1m")
-    )
-
+    found = F.struct(F.col("ts_minute_utc").alias("return_ts"), "avg_return_1m").alias("_return")
+    returns = country_returns.select("iso2", "ts_minute_utc", F.lit(None).cast("int").alias("event_count"), found, F.lit(0).alias("_order"))
+    kind = returns.schema["_return"].dataType
+    edits = activity.select("iso2", "ts_minute_utc", "event_count", F.lit(None).cast(kind).alias("_return"), F.lit(1).alias("_order"))
+    last = carried(returns.unionByName(edits), ["iso2"], "ts_minute_utc", "_return", "_last", ["_order"])
+    return last.where("_order = 1").select("iso2", "ts_minute_utc", "event_count", "_last.return_ts", "_last.avg_return_1m")

@@ -88,10 +88,8 @@ FROM edits WHERE page_country_code IS NOT NULL AND len(topics) > 0 GROUP BY 1, 2
 )
 def stream_country_minute(spark: SparkSession, folder: str) -> DataFrame:
     home = run_dir(spark, "counts")
-    counts = windows.country_windows(_edit_stream(spark, folder))
-    windows.store_counts(counts, f"{home}/counts", f"{home}/checkpoint").awaitTermination()
-    stored = windows.stored_counts(spark, f"{home}/counts", ["ts_minute_utc", "iso2"])
-    return stored.withColumn("ts_minute_utc", F.col("ts_minute_utc").cast("timestamp_ntz"))
+    windows.store_sums(_edit_stream(spark, folder), home, f"{home}/checkpoint", windows.country_counts).awaitTermination()
+    return windows.stored_counts(spark, home).withColumn("ts_minute_utc", F.col("ts_minute_utc").cast("timestamp_ntz"))
 
 
 @query(
@@ -104,10 +102,12 @@ WHERE page_country_code IS NOT NULL AND len(topics) > 0 GROUP BY 1, 2"""
 def stream_rolling_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Windows of three hours, a new one every hour."""
     home = run_dir(spark, "rolling")
-    counts = windows.country_windows(_edit_stream(spark, folder), length="3 hours", slide="1 hour")
-    windows.store_counts(counts, f"{home}/counts", f"{home}/checkpoint").awaitTermination()
-    stored = windows.stored_counts(spark, f"{home}/counts", ["ts_minute_utc", "iso2"])
-    return stored.withColumn("ts_minute_utc", F.col("ts_minute_utc").cast("timestamp_ntz"))
+
+    def rolling(edits: DataFrame) -> DataFrame:
+        return windows.country_counts(edits, "3 hours", "1 hour")
+
+    windows.store_sums(_edit_stream(spark, folder), home, f"{home}/checkpoint", rolling).awaitTermination()
+    return windows.stored_counts(spark, home).withColumn("ts_minute_utc", F.col("ts_minute_utc").cast("timestamp_ntz"))
 
 
 @query(
@@ -120,42 +120,20 @@ def stream_previous_close(spark: SparkSession, folder: str) -> DataFrame:
     bars = star.bars(spark, folder, star.table_stream(spark, folder, "events")).where("interval = '1m'")
     rows = bars.select("ticker_id", "ts_utc", "event_id", "close")
     stream_prices.store_returns(rows, home, f"{home}/checkpoint", ["event_id"]).awaitTermination()
-    return spark.read.parquet(f"{home}/returns").select("ticker_id", "ts_utc", "event_id", "close", "prev_close")
-
-
-# A step is finished when the newest event is a watermark past its end.
-_FINISHED = "(step + 1) * 3600 <= (SELECT epoch(max(dt)) - 3600 FROM edits)"
+    found = stream_prices.stored_returns(spark, home, ["event_id"])
+    return found.select("ticker_id", "ts_utc", "event_id", "close", "prev_close")
 
 
 @query(
     with_(EDITS, SURGES)
-    + f"""SELECT topic, step, event_count, round((event_count - baseline_mean) / nullif(baseline_stddev, 0), 6) AS score
-FROM surges WHERE present AND {_FINISHED} AND (event_count - baseline_mean) / nullif(baseline_stddev, 0) >= 2"""
+    + """SELECT topic, step, event_count, round((event_count - baseline_mean) / nullif(baseline_stddev, 0), 6) AS score
+FROM surges WHERE present AND (event_count - baseline_mean) / nullif(baseline_stddev, 0) >= 2"""
 )
 def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     home = run_dir(spark, "alerts")
-    counts = windows.topic_windows(_edit_stream(spark, folder), 3600)
-    windows.store_alerts(counts, home, f"{home}/checkpoint", BASELINE, 2.0).awaitTermination()
-    return spark.read.parquet(f"{home}/alerts").select(
-        "topic", "step", "event_count", F.round("score", 6).alias("score")
-    )
-
-
-_CLOSING = "2100-01-01 00:00:00"
-
-
-def _closed(stream: DataFrame, path: str, ts: str) -> DataFrame:
-    """The stream and one row far in the future, which ends every open window.
-
-    The row is the only one of its window, which stays open and is not shown.
-    """
-    spark = stream.sparkSession
-    row = {c: F.lit(None).cast(t) for c, t in stream.dtypes}
-    row |= {ts: F.lit(_CLOSING).cast("timestamp")}
-    row |= {c: F.lit("--") for c in ("iso2", "page_country_code") if c in row}
-    row |= {"topics": F.array(F.lit("--"))} if "topics" in row else {"prev_close": F.lit(1.0)}
-    spark.range(1).select(*[value.alias(c) for c, value in row.items()]).write.parquet(path)
-    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(path))
+    windows.store_alerts(_edit_stream(spark, folder), home, f"{home}/checkpoint", 3600, BASELINE).awaitTermination()
+    alerts = windows.stored_alerts(spark, home, 2.0)
+    return alerts.select("topic", "step", "event_count", F.round("score", 6).alias("score"))
 
 
 @query(
@@ -165,20 +143,23 @@ coalesce(event_count, 0) AS event_count, round(avg_return_1m, 6) AS avg_return_1
 FROM country_returns r FULL OUTER JOIN activity a ON r.iso2 = a.iso2 AND r.ts_minute_utc = a.ts_minute_utc"""
 )
 def stream_joined_signals(spark: SparkSession, folder: str) -> DataFrame:
-    """Two streams joined by window: edits, and returns that were stored before."""
+    """The stored sums of two streams joined by window: edits, and returns that were stored before."""
     home = run_dir(spark, "joined")
     returns = views.symbol_return(star.bars(spark, folder), star.tickers(spark, folder), ties=["event_id"])
     returns.select("iso2", F.col("ts_minute_utc").cast("timestamp").alias("ts_minute_utc"), "close", "prev_close").write.parquet(
         f"{home}/returns"
     )
     schema = spark.read.parquet(f"{home}/returns").schema
-    moves = spark.readStream.schema(schema).parquet(f"{home}/returns")
+    moves = spark.readStream.schema(schema).option("maxFilesPerTrigger", str(star.FILES_PER_BATCH)).parquet(f"{home}/returns")
     edits = _edit_stream(spark, folder).select("dt", "page_country_code", "topics")
-    joined = windows.joined_windows(
-        _closed(edits, f"{home}/last_edit", "dt"), _closed(moves, f"{home}/last_return", "ts_minute_utc"), length="1 hour"
-    )
-    query = joined.writeStream.outputMode("append").format("parquet").option("path", f"{home}/joined")
-    query.option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{home}/joined").withColumns(
+    runs = [
+        windows.store_sums(edits, f"{home}/edits", f"{home}/edits_ck", lambda rows: windows.country_counts(rows, "1 hour")),
+        windows.store_sums(
+            moves, f"{home}/moves", f"{home}/moves_ck", lambda rows: windows.country_moves(rows, "1 hour"), ts="ts_minute_utc"
+        ),
+    ]
+    for run in runs:
+        run.awaitTermination()
+    return windows.joined_signals(spark, f"{home}/edits", f"{home}/moves").withColumns(
         {"ts_minute_utc": F.col("ts_minute_utc").cast("timestamp_ntz"), "avg_return_1m": F.round("avg_return_1m", 6)}
     )

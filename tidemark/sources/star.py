@@ -15,6 +15,8 @@ from tidemark.functions.text import let, lookup
 from tidemark.operators.skew import fact_dim_join
 from tidemark.session import use_utc
 
+FILES_PER_BATCH = 64
+
 BAR_INTERVAL_OF = {"view": "1m", "purchase": "1m", "click": "5m", "signup": "1h", "error": "1d"}
 ZONES = [
     "America/New_York", "America/Toronto", "Europe/London", "Europe/Berlin",
@@ -29,9 +31,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, **options: str) -> DataFrame:
-    """The table's files as a stream; the braces make a single file a pattern too."""
+    """The table's files as a stream, so many per micro-batch; the braces make a single file a pattern too."""
     schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).options(**options).parquet(f"{folder}/{{{name}}}.parquet")
+    limited = {"maxFilesPerTrigger": str(FILES_PER_BATCH), **options}
+    return spark.readStream.schema(schema).options(**limited).parquet(f"{folder}/{{{name}}}.parquet")
 
 
 def nation_code(nation: Column) -> Column:

@@ -2,38 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.skew import fact_dim_join, latest_per_key, previous_values
-from tidemark.sources.sinks import read_stored, write_batch
+from tidemark.sources.sinks import BATCH, read_stored, write_batch
 from tidemark.streaming.batches import for_each_batch
 
 KEY, TS = "ticker_id", "ts_utc"
 
 
-def batch_returns(batch: DataFrame, last: DataFrame, ties: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(bars with their previous close, the new last bar of each ticker).
+def _place(ties: list[str]) -> Column:
+    return F.struct(TS, *ties)
 
-    ``last`` has the columns of ``batch`` and one row per ticker. A bar older
-    than its ticker's last one is marked late and gets no previous close; the
-    batch view over the stored bars has the exact answer for it.
+
+def batch_returns(batch: DataFrame, last: DataFrame, ties: list[str] | None = None) -> DataFrame:
+    """Bars with their previous close, and ``late`` for those before their ticker's last bar.
+
+    ``last`` has the columns of ``batch`` and one row per ticker. A late bar gets no
+    previous close here; ``stored_returns`` works it out from the store.
     """
     ties = ties or []
     rows = batch.withColumn("_new", F.lit(True)).unionByName(last.withColumn("_new", F.lit(False)))
-    last_ts = last.select(KEY, F.col(TS).alias("_last_ts"))
-    timed = fact_dim_join(rows, last_ts, [KEY], "left", [KEY, TS, *ties])
+    last_place = last.select(KEY, _place(ties).alias("_last"))
+    timed = fact_dim_join(rows, last_place, [KEY], "left", [KEY, TS, *ties])
     looked = previous_values(timed, [KEY], TS, {"prev_close": "close"}, ties)
-    late = F.coalesce(F.col(TS) < F.col("_last_ts"), F.lit(False))
-    returns = (
+    late = F.coalesce(_place(ties) < F.col("_last"), F.lit(False))
+    return (
         looked.where("_new")
         .withColumn("late", late)
         .withColumn("prev_close", F.when(~F.col("late"), F.col("prev_close")))
-        .drop("_new", "_last_ts")
+        .drop("_new", "_last")
     )
-    newest = [F.col(TS).desc(), *[F.col(t).desc() for t in ties]]
-    return returns, latest_per_key(rows, [KEY], newest).drop("_new")
 
 
 def store_returns(
@@ -41,9 +42,10 @@ def store_returns(
 ) -> StreamingQuery:
     """Store each bar with the previous close of its ticker.
 
-    Two slots hold the last bars in turn: a batch reads the slot of the batch
-    before and overwrites the other, so replaying it gives the same result. An
-    empty batch copies the slot. ``path`` belongs to one checkpoint.
+    The batch is worked out once; the new last bars are taken from what was
+    written. Two slots hold them in turn: a batch reads the slot of the batch before
+    and overwrites the other, so replaying it gives the same result. An empty batch
+    copies the slot. ``path`` belongs to one checkpoint.
     """
     schema = bars.schema
 
@@ -51,8 +53,22 @@ def store_returns(
         number = int(name.rsplit("_", 1)[1])
         spark: SparkSession = batch.sparkSession
         before = read_stored(spark, f"{path}/last_{(number - 1) % 2}", schema)
-        returns, last = batch_returns(batch, before, ties)
-        write_batch(returns, f"{path}/returns", name)
+        write_batch(batch_returns(batch, before, ties), f"{path}/returns", name)
+        written = spark.read.schema(schema).parquet(f"{path}/returns/{BATCH}={name}")
+        newest = [F.col(TS).desc(), *[F.col(t).desc() for t in ties or []]]
+        last = latest_per_key(before.unionByName(written), [KEY], newest)
         last.write.mode("overwrite").parquet(f"{path}/last_{number % 2}")
 
     return for_each_batch(bars, write, checkpoint, skip_empty=False, **trigger)
+
+
+def stored_returns(spark: SparkSession, path: str, ties: list[str] | None = None) -> DataFrame:
+    """All stored bars with their exact previous close.
+
+    The tickers that had a late bar are looked back at anew; all other rows are
+    as they were stored.
+    """
+    rows = spark.read.parquet(f"{path}/returns").drop(BATCH)
+    tickers = rows.where("late").select(KEY).distinct()
+    again = previous_values(rows.drop("prev_close").join(tickers, KEY, "left_semi"), [KEY], TS, {"prev_close": "close"}, ties)
+    return rows.join(tickers, KEY, "left_anti").unionByName(again.select(rows.columns))

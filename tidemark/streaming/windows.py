@@ -1,104 +1,153 @@
-"""Windowed counts, alerts and the join of both signals on streams."""
+"""Windowed counts, alerts and the join of both signals, kept in stores of partial sums.
+
+A micro-batch adds its own sums to a store and never waits for a watermark: a row
+that comes late changes the sums it belongs to, however late it is. Readers add up
+what is stored, so the answer does not depend on how the rows fell into batches.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.numbers import simple_return
 from tidemark.operators.skew import latest_per_key
-from tidemark.plans.signals import surge_alerts, topic_surges
-from tidemark.sources.sinks import BATCH, write_batch
+from tidemark.plans.signals import topic_surges
+from tidemark.sources.sinks import BATCH, read_stored, write_batch
 from tidemark.streaming.batches import for_each_batch
 
+PROGRESS = f"seen bigint, late bigint, newest timestamp, {BATCH} string"
 
-def country_windows(edits: DataFrame, watermark: str = "1 hour", length: str = "1 minute", slide: str | None = None) -> DataFrame:
-    """Edits per country and event-time window, overlapping ones with a ``slide``.
 
-    Rows later than ``watermark`` are left out.
-    """
+def country_counts(edits: DataFrame, length: str = "1 minute", slide: str | None = None) -> DataFrame:
+    """Edits per country and event-time window, overlapping ones with a ``slide``."""
     kept = edits.where(F.col("page_country_code").isNotNull() & (F.size("topics") > 0))
     return (
-        kept.withWatermark("dt", watermark)
-        .groupBy(F.window("dt", length, slide).alias("window"), F.left("page_country_code", F.lit(2)).alias("iso2"))
-        .agg(F.count(F.lit(1)).cast("int").alias("event_count"))
+        kept.groupBy(F.window("dt", length, slide).alias("window"), F.left("page_country_code", F.lit(2)).alias("iso2"))
+        .agg(F.count(F.lit(1)).alias("event_count"))
         .select(F.col("window.start").alias("ts_minute_utc"), "iso2", "event_count")
     )
 
 
-def store_counts(counts: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Store every change of a windowed count; ``stored_counts`` reads the last."""
-    return for_each_batch(counts, lambda batch, name: write_batch(batch, path, name), checkpoint, mode="update", **trigger)
+def country_moves(returns: DataFrame, length: str = "1 minute") -> DataFrame:
+    """Sums and counts of the returns per country and window, from iso2, ts_minute_utc, close and prev_close."""
+    move = simple_return(F.col("close"), F.col("prev_close"))
+    return (
+        returns.where(F.col("iso2").isNotNull() & F.col("prev_close").isNotNull())
+        .groupBy(F.window("ts_minute_utc", length).alias("window"), "iso2")
+        .agg(F.sum(move).alias("move_sum"), F.count(move).alias("moves"), F.count(F.lit(1)).alias("symbols_count"))
+        .select(F.col("window.start").alias("ts_minute_utc"), "iso2", "move_sum", "moves", "symbols_count")
+    )
 
 
-def stored_counts(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The last stored value of each count; one checkpoint's names sort by batch."""
-    rows = spark.read.parquet(path)
-    return latest_per_key(rows, keys, [F.col(BATCH).desc()]).drop(BATCH)
+def topic_steps(edits: DataFrame, step_seconds: int) -> DataFrame:
+    """Edits per topic and time step, numbered as in ``topic_counts``."""
+    step = F.floor(F.unix_seconds("dt") / step_seconds)
+    return edits.select(F.explode("topics").alias("topic"), step.alias("step")).groupBy("topic", "step").agg(
+        F.count(F.lit(1)).alias("event_count")
+    )
 
 
-def topic_windows(edits: DataFrame, step_seconds: int, watermark: str = "1 hour") -> DataFrame:
-    """Edits per topic and time step of a stream, numbered as in ``topic_counts``."""
-    length = f"{step_seconds} seconds"
-    return (
-        edits.withWatermark("dt", watermark)
-        .select("dt", F.explode("topics").alias("topic"))
-        .groupBy(F.window("dt", length).alias("window"), "topic")
-        .agg(F.count(F.lit(1)).alias("event_count"))
-        .select(
-            "topic", F.floor(F.unix_seconds("window.start") / step_seconds).alias("step"), "event_count"
-        )
+def _store_sums(batch: DataFrame, name: str, path: str, sums: Callable[[DataFrame], DataFrame], ts: str, lateness: str) -> None:
+    """Store a micro-batch's sums and, from the same pass, one row of progress."""
+    spark = batch.sparkSession
+    done = read_stored(spark, f"{path}/progress", T.StructType.fromDDL(PROGRESS)).where(F.col(BATCH) < name)
+    before = done.agg(F.max("newest")).first()[0]
+    observed = Observation()
+    late = F.lit(False) if before is None else F.col(ts).cast("timestamp") < F.lit(before) - F.expr(f"INTERVAL {lateness}")
+    rows = batch.observe(
+        observed, F.count(F.lit(1)).alias("seen"), F.count_if(late).alias("late"), F.max(F.col(ts).cast("timestamp")).alias("newest")
     )
+    write_batch(sums(rows), f"{path}/sums", name)
+    found = observed.get
+    row = spark.range(1).select(
+        *[F.lit(found[k]).cast(t).alias(k) for k, t in (("seen", "bigint"), ("late", "bigint"), ("newest", "timestamp"))]
+    )
+    write_batch(row, f"{path}/progress", name)
 
 
-def store_alerts(
-    counts: DataFrame, path: str, checkpoint: str, baseline_steps: int, min_score: float, **trigger
+def store_sums(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    sums: Callable[[DataFrame], DataFrame],
+    ts: str = "dt",
+    lateness: str = "1 hour",
+    **trigger,
 ) -> StreamingQuery:
-    """Judge each finished step against the stored steps before it.
+    """Store the sums of each micro-batch in a folder of its own.
 
-    Counts and alerts of a micro-batch lie in folders of its own. The history
-    is one row per topic and step. ``path`` belongs to one checkpoint.
+    ``path``/progress has rows seen, rows late (more than ``lateness`` behind the
+    newest row of the batches before) and the newest time of each batch. Late rows
+    are counted there and summed like all others. ``path`` belongs to one checkpoint.
     """
+    return for_each_batch(stream, lambda batch, name: _store_sums(batch, name, path, sums, ts, lateness), checkpoint, **trigger)
 
-    def write(batch: DataFrame, name: str) -> None:
-        spark = batch.sparkSession
-        write_batch(batch, f"{path}/counts", name)
-        history = spark.read.parquet(f"{path}/counts").where(F.col(BATCH) <= name)
-        steps = topic_surges(history.drop(BATCH), baseline_steps)
-        fresh = history.where(F.col(BATCH) == name).select("topic", "step")
-        write_batch(surge_alerts(steps.join(fresh, ["topic", "step"], "left_semi"), min_score), f"{path}/alerts", name)
 
-    return for_each_batch(counts, write, checkpoint, **trigger)
+def stored_sums(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """All that is stored, added up per key; sums keep their names."""
+    rows = spark.read.parquet(f"{path}/sums").drop(BATCH)
+    values = [c for c in rows.columns if c not in keys]
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in values])
 
 
-def joined_windows(
-    edits: DataFrame, returns: DataFrame, watermark: str = "1 hour", length: str = "1 minute"
-) -> DataFrame:
-    """Edits and mean return per country and window as two streams joined.
+def stored_counts(spark: SparkSession, path: str, keys: list[str] | None = None) -> DataFrame:
+    """Stored counts per country and window."""
+    counts = stored_sums(spark, path, keys or ["ts_minute_utc", "iso2"])
+    return counts.withColumn("event_count", F.col("event_count").cast("int"))
 
-    A window comes out once both streams are ``watermark`` past its end.
-    ``returns`` has iso2, ts_minute_utc, close and prev_close.
-    """
-    activity = (
-        edits.withWatermark("dt", watermark)
-        .where(F.col("page_country_code").isNotNull() & (F.size("topics") > 0))
-        .groupBy(F.window("dt", length).alias("window"), F.left("page_country_code", F.lit(2)).alias("iso2"))
-        .agg(F.count(F.lit(1)).cast("int").alias("event_count"))
-    )
-    moves = (
-        returns.withWatermark("ts_minute_utc", watermark)
-        .where(F.col("iso2").isNotNull() & F.col("prev_close").isNotNull())
-        .groupBy(F.window("ts_minute_utc", length).alias("window"), "iso2")
-        .agg(
-            F.avg(simple_return(F.col("close"), F.col("prev_close"))).alias("avg_return_1m"),
-            F.count(F.lit(1)).cast("int").alias("symbols_count"),
-        )
+
+def joined_signals(spark: SparkSession, edits_path: str, moves_path: str) -> DataFrame:
+    """Edits and mean return per country and window, from the stores of two streams."""
+    keys = ["ts_minute_utc", "iso2"]
+    moves = stored_sums(spark, moves_path, keys).select(
+        *keys,
+        F.try_divide("move_sum", "moves").alias("avg_return_1m"),
+        F.col("symbols_count").cast("int").alias("symbols_count"),
     )
-    return moves.join(activity, ["window", "iso2"], "full_outer").select(
-        "iso2",
-        F.col("window.start").alias("ts_minute_utc"),
-        F.coalesce("event_count", F.lit(0)).alias("event_count"),
-        "avg_return_1m",
-        "symbols_count",
+    return moves.join(stored_counts(spark, edits_path), keys, "full_outer").select(
+        "iso2", "ts_minute_utc", F.coalesce("event_count", F.lit(0)).alias("event_count"), "avg_return_1m", "symbols_count"
     )
+
+
+def store_alerts(
+    edits: DataFrame, path: str, checkpoint: str, step_seconds: int, baseline_steps: int, lateness: str = "1 hour", **trigger
+) -> StreamingQuery:
+    """Score the steps that a micro-batch changes against the stored steps before them.
+
+    Of the sums only steps from the batch's first one, less the baseline, are read;
+    the first step of each topic lies in two slots that batches use in turn. A late
+    row makes the steps after it be scored anew; ``stored_alerts`` reads the last
+    score of each. ``path`` belongs to one checkpoint.
+    """
+
+    def write(batch: DataFrame, name: str) -> None:
+        spark, number = batch.sparkSession, int(name.rsplit("_", 1)[1])
+        _store_sums(batch, name, path, lambda rows: topic_steps(rows, step_seconds), "dt", lateness)
+        sums = spark.read.parquet(f"{path}/sums").where(F.col(BATCH) <= name)
+        fresh = sums.where(F.col(BATCH) == name).groupBy("topic").agg(F.min("step").alias("since"))
+        schema = T.StructType.fromDDL("topic string, first bigint")
+        before = read_stored(spark, f"{path}/first_{(number - 1) % 2}", schema)
+        firsts = before.unionByName(fresh.select("topic", F.col("since").alias("first"))).groupBy("topic")
+        firsts.agg(F.min("first").alias("first")).write.mode("overwrite").parquet(f"{path}/first_{number % 2}")
+        known = spark.read.schema(schema).parquet(f"{path}/first_{number % 2}")
+        low = fresh.agg(F.min("since")).first()[0]
+        if low is None:
+            return
+        counts = sums.where(F.col("step") >= low - baseline_steps).join(fresh, "topic")
+        counts = counts.groupBy("topic", "step", "since").agg(F.sum("event_count").alias("event_count")).join(known, "topic")
+        scored = topic_surges(counts, baseline_steps, first="first").join(fresh, "topic").where("step >= since").drop("since")
+        write_batch(scored, f"{path}/scores", name)
+
+    # Slots are passed on by every batch, so none is skipped.
+    return for_each_batch(edits, write, checkpoint, skip_empty=False, **trigger)
+
+
+def stored_alerts(spark: SparkSession, path: str, min_score: float, min_count: int = 1) -> DataFrame:
+    """Steps whose last score is at least ``min_score``."""
+    scores = latest_per_key(spark.read.parquet(f"{path}/scores"), ["topic", "step"], [F.col(BATCH).desc()]).drop(BATCH)
+    return scores.where((F.col("score") >= min_score) & (F.col("event_count") >= min_count))
