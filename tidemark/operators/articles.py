@@ -21,7 +21,10 @@ def server() -> Column:
 
 
 def article_reason() -> Column:
-    """The first reason that applies, null for an article edit."""
+    """The first reason that applies, null for an article edit.
+
+    A null ``ns`` or ``namespace`` is taken as missing, and a missing one as 0.
+    """
     namespace = F.coalesce(F.col("ns"), F.col("namespace"), F.lit(0))
     return (
         F.when(~F.endswith(server(), F.lit(seeds.ARTICLE_HOST_SUFFIX)), "non-wikipedia")
