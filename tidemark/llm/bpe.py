@@ -24,17 +24,6 @@ def uneven(text: str) -> bool:
     return "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1].isspace() or bool(RARE.search(text))
 
 
-class Known(dict):
-    """Words with their ids; a word looked up in vain is noted."""
-
-    def __init__(self):
-        self.wanted: set[str] = set()
-
-    def __missing__(self, word: str) -> bytes:
-        self.wanted.add(word)
-        return b""
-
-
 class Encoder:
     """Encodes with one vocabulary; remembers at most ``limit`` words per process."""
 
@@ -44,7 +33,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.limit = limit
-        self.known = Known()
+        self.known: dict[str, bytes] = {}
         size = self.tokenizer.get_vocab_size()
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
 
@@ -56,7 +45,8 @@ class Encoder:
         out: dict[str, bytes] = {}
         for i in range(0, len(words), 2000):
             some = words[i : i + 2000]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u4")
+            joined = " " + " ".join(some)
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(self.opens[ids])
             if len(cuts) == len(some):
                 raw, ends = ids.tobytes(), [*(cuts[1:] * 4).tolist(), len(ids) * 4]
@@ -71,24 +61,18 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null is empty."""
         parts = [(CUT.split(t) if uneven(t) else t.split(" ")) if t else [] for t in texts]
-        known, get = self.known, self.known.__getitem__
+        known = self.known
+        more = self._words(list(set().union(*parts).difference(known)))
+        known.update(more)
         firsts = self.tokenizer.encode_batch_fast([p[0] if p else "" for p in parts], add_special_tokens=False)
-        out, again = [], []
-        for k, (first, part) in enumerate(zip(firsts, parts, strict=True)):
-            before = len(known.wanted)
-            out.append(np.array(first.ids, "<u4").tobytes() + b"".join(map(get, part[1:])))
-            if len(known.wanted) > before or known.wanted and not known.wanted.isdisjoint(part[1:]):
-                again.append(k)
-        if again:
-            more = self._words(list(known.wanted))
-            known.wanted = set()
-            if len(known) + len(more) <= self.limit:
-                known.update(more)
-                look = get
-            else:
-                look = lambda w: more[w] if w in more else known[w]
-            for k in again:
-                out[k] = np.array(firsts[k].ids, "<u4").tobytes() + b"".join(map(look, parts[k][1:]))
+        get = known.__getitem__
+        out = [
+            np.array(first.ids, "<u4").tobytes() + b"".join(map(get, part[1:]))
+            for first, part in zip(firsts, parts, strict=True)
+        ]
+        if len(known) > self.limit:
+            for word in more:
+                del known[word]
         return out
 
 

@@ -36,7 +36,8 @@ def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     for i in range(0, len(ranks), SLICE):
         r = np.ascontiguousarray(ranks[i : i + SLICE], "<u4")
         size = 1 + (r >= 1 << 8).astype(np.uint8) + (r >= 1 << 16) + (r >= 1 << 24)
-        data.append(r.view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]].tobytes())
+        most = int(size.max())
+        data.append(r.view(np.uint8).reshape(-1, 4)[:, :most][np.arange(most) < size[:, None]].tobytes())
         four = np.zeros(-(-len(r) // 4) * 4, np.uint8)
         four[: len(r)] = size - 1
         four = four.reshape(-1, 4)
@@ -60,11 +61,13 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
 def file_bytes(doc_ids: list[int | None], ids: list[bytes]) -> bytes:
     """One file of whole documents."""
     every = np.frombuffer(b"".join(ids), "<u4")
-    seen, codes, counts = np.unique(every, return_inverse=True, return_counts=True)
-    order = np.lexsort((seen, -counts))
-    rank = np.empty(len(seen), np.uint32)
-    rank[order] = np.arange(len(seen), dtype=np.uint32)
-    control, data = encode_ranks(rank[codes])
+    # Ids are below the vocabulary's size, so a table over them is small.
+    counts = np.bincount(every) if len(every) else np.zeros(0, np.int64)
+    seen = np.flatnonzero(counts)
+    order = np.lexsort((seen, -counts[seen]))
+    rank = np.zeros(len(counts), np.uint32)
+    rank[seen[order]] = np.arange(len(seen), dtype=np.uint32)
+    control, data = encode_ranks(rank[every])
     return b"".join(
         (
             MAGIC,
