@@ -16,6 +16,7 @@ from tidemark.llm import (
     packing,
     quality_rules,
     secrets,
+    sql,
     token_files,
     url_rules,
     warc,
@@ -101,3 +102,11 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op10_gru_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Log probabilities of all documents under a recurrent model and a smoothed unigram."""
     return gru_lm.language_scores(table(spark, folder, "documents"))
+
+
+SQL |= {
+    "op3_warc": sql.WARC,
+    "op4_url_rules": sql.url_verdicts(URL_RULES),
+    "op6_ngram_jaccard": sql.JACCARD,
+    "op8_decontamination": sql.DECONTAMINATION,
+}
