@@ -7,8 +7,8 @@ orders are used and a pair must pass all of them before it is verified:
 
 1. rare tokens first (by the count class of the commonest tokens, then by hash);
    this order's prefixes are joined;
-2. ascending hash;
-3. descending hash.
+2. ascending hash, of which longer prefixes must share more tokens;
+3. descending hash, likewise.
 
 Equal sets are folded into their smallest doc_id beforehand. A prefix token that
 many sets share isn't met by all their pairs: first each set meets only the one
@@ -173,42 +173,99 @@ def _may_link(a: str, b: str, threshold: int) -> Column:
     return (100 * low >= threshold * high) & ((100 + threshold) * most >= threshold * (low + high))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) that share a token under orders two and three and then are linked."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
+def _assigned(pairs: DataFrame, members: int = 200) -> DataFrame:
+    """(doc_id, center, part, role): what each set is needed for.
 
-    def first(name: str) -> Column:
-        n = F.size(name)
-        return F.slice(name, F.lit(1), n - F.ceil(threshold * n / 100).cast("int") + 1)
+    The members (role 1) of a center (role 0) are cut into parts of about
+    ``members``; the center's set goes to each of its parts.
+    """
+    hot = pairs.groupBy("center").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > members)
+    part = F.when(F.col("_n").isNotNull(), F.pmod(F.xxhash64("member"), F.ceil(F.col("_n") / members))).otherwise(0)
+    parted = pairs.join(hot, "center", "left").select("center", "member", part.cast("int").alias("part"))
+    centers = parted.select(F.col("center").alias("doc_id"), "center", "part", F.lit(0).alias("role")).distinct()
+    return centers.union(parted.select(F.col("member").alias("doc_id"), "center", "part", F.lit(1).alias("role")))
 
-    def last(name: str) -> Column:
-        n = F.size(name)
-        size = n - F.ceil(threshold * n / 100).cast("int") + 1
-        return F.slice(name, n - size + 1, size)
 
-    shared = F.size(F.array_intersect("x", "y"))
-    linked = (100 + threshold) * shared >= threshold * (F.size("x") + F.size("y"))
-    return both.where(
-        F.when(F.arrays_overlap(first("x"), first("y")) & F.arrays_overlap(last("x"), last("y")), linked).otherwise(False)
-    ).select("a", "b").distinct()
+def needed(n: int, m: int, threshold: int) -> int:
+    """The least intersection of linked sets of these sizes."""
+    return -(-threshold * (n + m) // (100 + threshold))
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame, width: int, most_sent: int) -> DataFrame:
-    """The sorted tokens of the documents named; ids are sent to the texts if they are few."""
+def share_prefix(x: np.ndarray, y: np.ndarray, n: int, m: int, threshold: int) -> bool:
+    """Whether two sets may be linked, from the first tokens of each under one order.
 
-    def run(batches: Batches) -> Batches:
+    Sets of n and m tokens that share ``need`` or more share at least k of their
+    first n - need + k and m - need + k tokens; k is as large as what is given allows.
+    """
+    need = needed(n, m, threshold)
+    k = min(len(x) - n, len(y) - m) + need
+    if need > min(n, m):
+        return False
+    if k < 1:
+        return True
+    return len(np.intersect1d(x[: n - need + k], y[: m - need + k], assume_unique=True)) >= k
+
+
+def _passed(pairs: DataFrame, rows: DataFrame, width: int, threshold: int, most_sent: int, whole: bool) -> DataFrame:
+    """Pairs (center, member) that pass orders two and three, or, with ``whole``, are linked.
+
+    Each set travels once for each center it is held against, and a center's once
+    for each part of its members; a task takes them in order, one at a time.
+    """
+    pairs = written(pairs, "pairs")
+    assigned = written(_assigned(pairs), "assigned")
+    few = assigned.count() <= most_sent
+    ids = assigned.select("doc_id").distinct()
+
+    def sets(batches: Batches) -> Batches:
         for keys, some in _slices(batches, 1 << 20):
-            found = [_as_long(s) for s in shingle_sets(some, width)]
-            offsets = pa.array(np.concatenate(([0], np.cumsum([len(f) for f in found]))), pa.int32())
-            values = pa.array(np.concatenate(found))
+            low, high, sizes = [], [], []
+            for s in shingle_sets(some, width):
+                size = len(s) if whole else min(len(s), max(32, len(s) // 5))
+                low.append(_as_long(s[:size]))
+                high.append(_as_long(s[::-1][:size].copy()) if not whole else _as_long(s[:0]))
+                sizes.append(len(s))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.ListArray.from_arrays(offsets, values)], names=["doc_id", "tokens"]
+                [pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), _lists(low), _lists(high)],
+                names=["doc_id", "n", "low", "high"],
             )
 
-    wanted = F.broadcast(ids) if ids.count() <= most_sent else ids
-    return in_arrow(docs.join(wanted, "doc_id", "left_semi"), run, "doc_id long, tokens array<long>")
+    def held(batches: Batches) -> Batches:
+        center, mine = None, []
+        for b in batches:
+            n, low, high = b.column(3).to_pylist(), b.column(4), b.column(5)
+            found = []
+            for i, (c, part, role) in enumerate(zip(*(b.column(j).to_pylist() for j in (0, 1, 2)), strict=True)):
+                this = (n[i], low[i].values.to_numpy(), high[i].values.to_numpy())
+                if (c, part) != center:
+                    center, mine = (c, part), []
+                if role == 0:
+                    mine.append(this)
+                elif any(test(this, other) for other in mine):
+                    found.append((c, b.column(6)[i].as_py()))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["center", "member"])
+
+    def test(a, b) -> bool:
+        if whole:
+            shared = len(np.intersect1d(a[1], b[1], assume_unique=True))
+            return shared >= needed(a[0], b[0], threshold)
+        return all(share_prefix(a[i], b[i], a[0], b[0], threshold) for i in (1, 2))
+
+    named = rows.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    made = in_arrow(named, sets, "doc_id long, n int, low array<long>, high array<long>")
+    placed = (
+        made.join(F.broadcast(assigned) if few else assigned, "doc_id")
+        .select("center", "part", "role", "n", "low", "high", "doc_id")
+        .repartition("center", "part")
+        .sortWithinPartitions("center", "part", "role")
+    )
+    return in_arrow(placed, held, "center long, member long").distinct()
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(a) for a in arrays])))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(arrays) if arrays else [], pa.int64()))
 
 
 def near_groups(
@@ -262,10 +319,9 @@ def near_groups(
         .drop("members")
     )
     shared = written(prefixes.join(buckets, "token"), "shared")
-    ordered = (F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b"))
     star = shared.where("doc_id <> pivot").where(_may_link("place", "pivot_place", threshold))
-    first_pairs = written(star.select(*ordered).distinct(), "pairs")
-    first_links = written(_checked(first_pairs, rows, width, threshold, most_sent), "links")
+    first_pairs = star.select(F.col("pivot").alias("center"), F.col("doc_id").alias("member")).distinct()
+    first_links = written(_linked(first_pairs, rows, width, threshold, most_sent), "links")
 
     labels = components(first_links).withColumnRenamed("node", "doc_id")
     labelled = written(
@@ -279,13 +335,8 @@ def near_groups(
     x = outside.select("token", F.col("doc_id").alias("u"), F.col("place").alias("u_place"), F.col("root").alias("u_root"))
     y = labelled.select("token", F.col("doc_id").alias("v"), F.col("place").alias("v_place"), F.col("root").alias("v_root"))
     met = x.join(y, "token").where("u_root <> v_root").where(_may_link("u_place", "v_place", threshold))
-    second_pairs = written(
-        met.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct().join(
-            first_pairs, ["a", "b"], "left_anti"
-        ),
-        "pairs",
-    )
-    second_links = _checked(second_pairs, rows, width, threshold, most_sent)
+    second_pairs = met.select(F.col("u").alias("center"), F.col("v").alias("member")).distinct()
+    second_links = _linked(second_pairs, rows, width, threshold, most_sent)
     links = first_links.union(second_links).union(copies.select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
     found = components(links).select(F.col("node").alias("doc_id"), "root")
     return each.join(found, "doc_id", "left").select(
@@ -293,9 +344,11 @@ def near_groups(
     )
 
 
-def _checked(pairs: DataFrame, rows: DataFrame, width: int, threshold: int, most_sent: int) -> DataFrame:
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    return _verified(pairs, _sets_of(rows, ids, width, most_sent), threshold)
+def _linked(pairs: DataFrame, rows: DataFrame, width: int, threshold: int, most_sent: int) -> DataFrame:
+    """Links (a, b) among pairs: first by the prefixes of orders two and three, then by whole sets."""
+    left = _passed(pairs, rows, width, threshold, most_sent, whole=False)
+    links = _passed(left, rows, width, threshold, most_sent, whole=True)
+    return links.select(F.col("center").alias("a"), F.col("member").alias("b"))
 
 
 def one_of_each(docs: DataFrame, most_sent: int = 500_000, **options) -> DataFrame:
