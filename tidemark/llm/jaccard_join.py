@@ -62,14 +62,17 @@ def shingle_sets(some: list[bytes], width: int) -> Iterator[np.ndarray]:
 
 def _slices(batches: Batches, size: int = 8 << 20):
     """Ids and texts of runs of rows with about so many bytes of text."""
+    ids, some, held = [], [], 0
     for batch in batches:
-        ids, all_texts = batch.column(0).to_pylist(), texts(batch)
-        begin, held = 0, 0
-        for i, t in enumerate(all_texts):
+        for key, t in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
+            ids.append(key)
+            some.append(t)
             held += len(t)
-            if held >= size or i + 1 == len(all_texts):
-                yield ids[begin : i + 1], all_texts[begin : i + 1]
-                begin, held = i + 1, 0
+            if held >= size:
+                yield ids, some
+                ids, some, held = [], [], 0
+    if some:
+        yield ids, some
 
 
 def _as_long(x: np.ndarray) -> np.ndarray:
@@ -83,7 +86,8 @@ def summaries(docs: DataFrame, width: int, local_count: int) -> DataFrame:
     """
 
     def run(batches: Batches) -> Batches:
-        for ids, some in _slices(batches):
+        # Long slices: a token's local count says more.
+        for ids, some in _slices(batches, 32 << 20):
             sets = list(shingle_sets(some, width))
             n = np.array([len(s) for s in sets], np.int64)
             every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
@@ -114,14 +118,21 @@ def summaries(docs: DataFrame, width: int, local_count: int) -> DataFrame:
 def common_tokens(summary: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """The commonest tokens, sorted, at most ``limit``, and the classes of their counts.
 
-    They only shape the first order: whichever tokens are in it, no link is lost.
+    A class is a count's binary length; as many of the highest classes are taken as
+    fit. They only shape the first order: whichever tokens are in it, no link is lost.
     """
     counts = summary.where("token is not null").groupBy("token").agg(F.sum("df").alias("df"))
-    rows = counts.orderBy(F.desc("df"), "token").limit(limit).collect()
-    tokens = np.array([r.token for r in rows], np.int64).view(np.uint64)
-    classes = np.array([int(r.df).bit_length() for r in rows], np.uint64)
+    counts = written(counts.select("token", F.ceil(F.log2(F.col("df") + 1)).cast("int").alias("class")), "common")
+    least, held = 100, 0
+    for r in sorted(counts.groupBy("class").count().collect(), key=lambda r: -r["class"]):
+        held += r["count"]
+        if held > limit:
+            break
+        least = r["class"]
+    rows = counts.where(F.col("class") >= least).toArrow()
+    tokens = rows.column("token").to_numpy().view(np.uint64)
     by = np.argsort(tokens)
-    return tokens[by], classes[by]
+    return tokens[by], rows.column("class").to_numpy()[by].astype(np.uint8)
 
 
 def first_order(tokens: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -130,7 +141,7 @@ def first_order(tokens: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np
     if not len(known):
         return tokens
     at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-    rank = np.where(known[at] == tokens, classes[at], np.uint64(0))
+    rank = np.where(known[at] == tokens, classes[at], np.uint8(0))
     return tokens[np.argsort(rank, kind="stable")]
 
 
@@ -272,8 +283,8 @@ def near_groups(
     docs: DataFrame,
     width: int = 3,
     threshold: int = 90,
-    common_limit: int = 65_536,
-    local_count: int = 4,
+    common_limit: int = 1_000_000,
+    local_count: int = 2,
     most_sent: int = 500_000,
 ) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of ``docs`` (doc_id, text).
