@@ -229,17 +229,21 @@ def quality_report(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **
     return found.select("doc_id", *BASE, base_failed().alias("base_failed"), "kept")
 
 
-def good_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **options) -> DataFrame:
+def good_documents(
+    docs: DataFrame, labels: DataFrame, stratum: str = "lang", most_sent: int = 500_000, **options
+) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged.
 
-    The counts are worked out twice, once to calibrate and once beside the texts,
-    so that no text is shuffled.
+    The counts are worked out twice, once on labelled documents to calibrate and once
+    beside the texts; no text is shuffled while at most ``most_sent`` ids are labelled.
     """
     narrow = docs.select("doc_id", F.col(stratum).alias("stratum"), "text")
-    known = labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").alias("_id")).distinct()
-    stats = written(
-        text_statistics(narrow.join(known, F.col("doc_id") == F.col("_id"), "left_semi")).drop("text"), "quality-statistics"
+    known = written(
+        labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").alias("_id")).distinct(), "labelled"
     )
+    known = F.broadcast(known) if known.count() <= most_sent else known
+    labelled = narrow.join(known, F.col("doc_id") == F.col("_id"), "left_semi")
+    stats = written(text_statistics(labelled).drop("text"), "quality-statistics")
     chosen = cutoffs(stats, labels, "stratum", **options)
     prefix, kept = spare("q__", docs.columns), spare("kept", docs.columns)
     judged = judge(text_statistics(docs, prefix=prefix), chosen, stratum, prefix, kept)
