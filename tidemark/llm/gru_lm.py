@@ -9,7 +9,7 @@ ones, so that all texts together have probability one.
 
 Training runs truncated backpropagation in each task over its share of the
 documents and averages the tasks' weights, round by round. Scoring carries the
-state through the whole document, window by window.
+state through the whole document; a window's places share one output pass.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from tidemark.session import written
 CLASS = 64
 END = np.uint64(0x9E3779B97F4A7C15)  # stands for the end of a text
 LN10 = np.log(10.0)
+SPELLED = 50_000  # words whose bytes are laid out at once
 
 
 def tokenise(some: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray]:
@@ -43,13 +44,13 @@ def spelled_codes(buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[
 
     Also the first row of each word, and the number of rows.
     """
-    data = np.frombuffer(buffer + b"\n", np.uint8).astype(np.int64)
+    data = np.frombuffer(buffer, np.uint8)
     length = ends - starts + 1
     rows = np.concatenate(([0], np.cumsum(length)))
-    inside = np.arange(rows[-1]) - np.repeat(rows[:-1], length)
+    inside = (np.arange(rows[-1]) - np.repeat(rows[:-1], length)).astype(np.int32)
     at = np.repeat(starts, length) + inside
-    out = np.full((len(at), 3), 256, np.int64)
-    out[:, 2] = np.where(at < np.repeat(ends, length), data[at], 256)
+    out = np.full((len(at), 3), 256, np.int32)
+    out[:, 2] = np.where(inside < np.repeat(length - 1, length), data[np.minimum(at, len(data) - 1)], 256)
     out[:, 1] = np.where(inside >= 1, data[at - 1], 256)
     out[:, 0] = np.where(inside >= 2, data[at - 2], 256)
     return out, rows
@@ -79,6 +80,9 @@ class Chain:
 
     def spell(self, buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """log10 probability of each word's spelling, its end included."""
+        if len(starts) > SPELLED:
+            parts = range(0, len(starts), SPELLED)
+            return np.concatenate([self.spell(buffer, starts[i : i + SPELLED], ends[i : i + SPELLED]) for i in parts])
         codes, rows = spelled_codes(buffer, starts, ends)
         k = self.code[codes]
         each = self.log[k[:, 0], k[:, 1], k[:, 2]] - np.where(k[:, 2] == len(self.log) - 1, self.other, 0.0)
@@ -114,9 +118,10 @@ def count_tokens(rows: DataFrame) -> DataFrame:
             yield batch(0, found.view(np.int64), n)
             yield batch(0, np.array([END]).view(np.int64), np.array([len(some)]))
             # Each distinct word once: new words are spelled like rare ones.
-            codes, _ = spelled_codes(buffer, starts[first], ends[first])
-            triples, m = np.unique(codes[:, 0] * 66_049 + codes[:, 1] * 257 + codes[:, 2], return_counts=True)
-            yield batch(1, triples, m)
+            for i in range(0, len(first), SPELLED):
+                codes, _ = spelled_codes(buffer, starts[first[i : i + SPELLED]], ends[first[i : i + SPELLED]])
+                triples, m = np.unique((codes[:, 0] * 257 + codes[:, 1]) * 257 + codes[:, 2], return_counts=True)
+                yield batch(1, triples.astype(np.int64), m)
 
     def batch(kind: int, token, n) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -127,7 +132,7 @@ def count_tokens(rows: DataFrame) -> DataFrame:
     return written(counted.groupBy("kind", "token").agg(F.sum("n").alias("n")), "token-counts")
 
 
-def slices(batches: Batches, take, size: int = 24 << 20):
+def slices(batches: Batches, take, size: int = 16 << 20):
     """Lists of about so many bytes of text, over the batches of a task."""
     held, total = [], 0
     for b in batches:
@@ -304,7 +309,7 @@ def end_id(words: Words) -> int:
     return int(look_up(words, np.array([END]))[0][0])
 
 
-def score_texts(net: Net, words: Words, ids: np.ndarray, bounds: np.ndarray, window: int = 32) -> np.ndarray:
+def score_texts(net: Net, words: Words, ids: np.ndarray, bounds: np.ndarray, window: int = 1 << 15) -> np.ndarray:
     """log10 probability of each text's ids and its end, the state carried through the text."""
     lengths = np.diff(bounds)
     order = np.argsort(-lengths, kind="stable")
@@ -314,24 +319,22 @@ def score_texts(net: Net, words: Words, ids: np.ndarray, bounds: np.ndarray, win
     h = np.zeros((len(order), net["wh"].shape[0]), np.float32)
     total = np.zeros(len(order))
     last = np.full(len(order), end)
-    done = 0
-    while len(order) and done <= lengths[0]:
-        states, targets, who = [], [], []
-        for t in range(done, min(done + window, int(lengths[0]) + 1)):
-            # Texts are in falling length: those with a token or their end at t come first.
-            live = int(np.searchsorted(-lengths, -t, "right"))
-            h[:live], _ = cell(table[last[:live]], h[:live], net["wh"])
-            at_end = lengths[:live] == t
-            target = np.where(at_end, end, ids[np.minimum(begins[:live] + t, max(0, len(ids) - 1))] if len(ids) else end)
-            states.append(h[:live].copy())
-            targets.append(target)
-            who.append(np.arange(live))
-            last[:live] = target
-        states, targets, who = np.concatenate(states), np.concatenate(targets), np.concatenate(who)
-        for i in range(0, len(who), 1 << 15):
-            part = slice(i, i + (1 << 15))
-            total += np.bincount(who[part], output(net, states[part], targets[part]), minlength=len(order))
-        done += window
+    states, targets, who, held = [], [], [], 0
+    for t in range(int(lengths[0]) + 1 if len(order) else 0):
+        # Texts are in falling length: those with a token or their end at t come first.
+        live = int(np.searchsorted(-lengths, -t, "right"))
+        h[:live], _ = cell(table[last[:live]], h[:live], net["wh"])
+        target = np.where(lengths[:live] == t, end, ids[np.minimum(begins[:live] + t, len(ids) - 1)] if len(ids) else end)
+        last[:live] = target
+        states.append(h[:live].copy())
+        targets.append(target)
+        who.append(np.arange(live))
+        held += live
+        # A window ends when it holds enough places for the output to be worked out at once.
+        if held >= window or t == lengths[0]:
+            logp = output(net, np.concatenate(states), np.concatenate(targets))
+            total += np.bincount(np.concatenate(who), logp, minlength=len(order))
+            states, targets, who, held = [], [], [], 0
     out = np.empty(len(order))
     out[order] = total / LN10
     return out
@@ -404,7 +407,7 @@ def language_scores(
     common: int = 131_072,
     hidden: int = 24,
     rounds: int = 3,
-    one_in: int = 16,
+    one_in: int = 32,
 ) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): counts, an add-one base score and the model's score.
 
