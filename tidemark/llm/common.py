@@ -7,20 +7,17 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from functools import reduce
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import run_dir, written
 
+#: Translates A-Z to lower case and leaves all other bytes.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-BLANKS = bytes([0x20, *range(0x09, 0x0E)])
-#: Lower-cases A-Z; ``bytes.split()`` then cuts at space and 0x09 to 0x0D.
-LOWER_TABLE = LOWER
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -59,13 +56,6 @@ def in_arrow(df: DataFrame, function: Callable[[Batches], Batches], schema: str)
     return df.mapInArrow(function, schema)
 
 
-def as_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [v if isinstance(v, pa.Array) else pa.array(v, f.type) for f, v in zip(schema, columns.values(), strict=True)],
-        schema=schema,
-    )
-
-
 def poly_hash(words: np.ndarray, width: int) -> np.ndarray:
     """64-bit hash of every run of ``width`` word hashes."""
     out = np.zeros(max(0, len(words) - width + 1), np.uint64)
@@ -208,24 +198,17 @@ def new_folder(df: DataFrame, name: str) -> str:
     return run_dir(df.sparkSession, name)
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda x, y: x | y, conditions, F.lit(False))
-
-
 def put_file(folder: str, name: str, content: bytes) -> str:
     """Write one file so that a repeated or lost task leaves a whole file or none.
 
     The content goes to a name of its own and is then moved to its place.
     """
-    from pyarrow import fs
-
     store, path = file_system(folder)
     store.create_dir(path, recursive=True)
     draft = f"{path}/.{uuid.uuid4().hex}"
     with store.open_output_stream(draft, compression=None) as out:
         out.write(content)
     store.move(draft, f"{path}/{name}")
-    assert isinstance(store, fs.FileSystem)
     return f"{path}/{name}"
 
 
