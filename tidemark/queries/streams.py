@@ -24,7 +24,7 @@ from tidemark.queries.registry import (
 )
 from tidemark.session import run_dir
 from tidemark.sources import star
-from tidemark.sources.edits import parse_edits
+from tidemark.sources.edits import messages, parse_edits
 from tidemark.streaming import edits as stream_edits
 from tidemark.streaming import prices as stream_prices
 from tidemark.streaming import windows
@@ -76,6 +76,38 @@ def stream_enriched_events(spark: SparkSession, folder: str) -> DataFrame:
     return sent.select(F.col("meta.id").alias("meta_id"), *geo.GEO_COLUMNS)
 
 
+@query(
+    with_(ENTITIES, PLACED)
+    + """SELECT date_trunc('minute', ts) AS ts_minute_utc, page_country_code AS iso2, CAST(count(*) AS INTEGER) AS event_count
+FROM placed JOIN events ON CAST(event_id AS VARCHAR) = meta_id
+WHERE skip_reason IS NULL AND event_type IN ('click', 'view', 'purchase') GROUP BY 1, 2"""
+)
+def stream_feed_to_minutes(spark: SparkSession, folder: str) -> DataFrame:
+    """End to end: a feed of two kinds, placed, sent as text, tagged, stored once and counted per minute."""
+    home = run_dir(spark, "pipeline")
+    countries = geo.entity_countries(star.claims(spark, folder))
+    pages = (
+        geo.place_pages(star.page_entities(spark, folder), countries),
+        geo.place_pages(star.sitelinks(spark, folder), countries),
+    )
+    feed = star.feed(spark, folder, star.table_stream(spark, folder, "events"))
+    kinds = feed.withColumn("kind", F.explode(F.array(F.lit("message"), F.lit("ping"))))
+    stream_edits.enrich_stream(
+        messages(kinds).select("value"), lambda: pages, f"{home}/sent", f"{home}/sent_ck"
+    ).awaitTermination()
+    sent = spark.readStream.schema("value string, batch_id string").parquet(f"{home}/sent").select("value")
+
+    def topics() -> DataFrame:
+        rows = [("attention", "Attention", True, ["click", "VIEW"]), ("trade", "Trade", True, ["purchase"])]
+        return spark.createDataFrame(rows, "key string, label string, enabled boolean, keywords array<string>")
+
+    stream_edits.store_edits(
+        sent, topics, f"{home}/stored", f"{home}/stored_ck", quarantine=f"{home}/keyless"
+    ).awaitTermination()
+    counts = views.country_minute(spark.read.parquet(f"{home}/stored"))
+    return counts.select(F.col("ts_minute_utc").cast("timestamp_ntz").alias("ts_minute_utc"), "iso2", "event_count")
+
+
 def _edit_stream(spark: SparkSession, folder: str) -> DataFrame:
     edits = star.edits(spark, folder, star.table_stream(spark, folder, "events"))
     return edits.withColumn("dt", F.col("dt").cast("timestamp"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.articles import edit_rows, mark_articles, with_country
-from tidemark.operators.dedup import one_per_id
+from tidemark.operators.dedup import one_per_id, split_keyless
 from tidemark.operators.geo import resolve_country
 from tidemark.operators.topics import keyword_pairs, tag_topics
 from tidemark.sources.edits import parse_edits, parse_raw_edits
@@ -43,6 +43,7 @@ def store_edits(
     checkpoint: str,
     same_date: bool = False,
     ingested_at: Column | None = None,
+    quarantine: str | None = None,
     report: Report = log_counts,
     **options,
 ) -> StreamingQuery:
@@ -50,7 +51,8 @@ def store_edits(
 
     ``topics`` is called for every micro-batch, so changes to the dictionary
     take effect without a restart. ``ingested_at`` stamps the rows, for example
-    with ``current_timestamp()``. ``report`` gets the counts of each batch.
+    with ``current_timestamp()``. ``report`` gets the counts of each batch. Events
+    without an id can't be stored once; ``quarantine`` names a folder that takes them.
     """
 
     def write(batch: DataFrame, name: str) -> None:
@@ -64,6 +66,8 @@ def store_edits(
         if ingested_at is not None:
             tagged = tagged.withColumn("ingested_at", ingested_at)
         write_edits(tagged, path, name, same_date=same_date)
+        if quarantine is not None:
+            write_batch(split_keyless(edit_rows(parse_edits(batch)))[1], quarantine, name)
         report(name, counts.get)
 
     return for_each_batch(feed, write, checkpoint, **options)
