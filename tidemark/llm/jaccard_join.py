@@ -218,65 +218,71 @@ def share_prefix(x: np.ndarray, y: np.ndarray, n: int, m: int, threshold: int) -
 
 
 def _passed(pairs: DataFrame, rows: DataFrame, width: int, threshold: int, most_sent: int, whole: bool) -> DataFrame:
-    """Pairs (center, member) that pass orders two and three, or, with ``whole``, are linked.
+    """Pairs (center, member) that pass order two, or, with ``whole``, order three and are linked.
 
     Each set travels once for each center it is held against, and a center's once
-    for each part of its members; a task takes them in order, one at a time.
+    for each part of its members; a task takes them in order, one at a time. For
+    order two a fifth of each set travels, and of its tokens the upper halves:
+    those agree wherever the tokens do, so no link is lost.
     """
     pairs = written(pairs, "pairs")
     assigned = written(_assigned(pairs), "assigned")
     few = assigned.count() <= most_sent
     ids = assigned.select("doc_id").distinct()
+    kind = "long" if whole else "int"
 
     def sets(batches: Batches) -> Batches:
         for keys, some in _slices(batches, 1 << 20):
-            low, high, sizes = [], [], []
+            sizes, sent = [], []
             for s in shingle_sets(some, width):
-                size = len(s) if whole else min(len(s), max(32, len(s) // 5))
-                low.append(_as_long(s[:size]))
-                high.append(_as_long(s[::-1][:size].copy()) if not whole else _as_long(s[:0]))
                 sizes.append(len(s))
+                sent.append(_as_long(s) if whole else (s[: _fifth(len(s))] >> np.uint64(32)).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), _lists(low), _lists(high)],
-                names=["doc_id", "n", "low", "high"],
+                [pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), _lists(sent, pa.int64() if whole else pa.int32())],
+                names=["doc_id", "n", "tokens"],
             )
 
     def held(batches: Batches) -> Batches:
         center, mine = None, []
         for b in batches:
-            n, low, high = b.column(3).to_pylist(), b.column(4), b.column(5)
-            found = []
+            n, tokens, found = b.column(3).to_pylist(), b.column(4), []
             for i, (c, part, role) in enumerate(zip(*(b.column(j).to_pylist() for j in (0, 1, 2)), strict=True)):
-                this = (n[i], low[i].values.to_numpy(), high[i].values.to_numpy())
+                this = (n[i], tokens[i].values.to_numpy())
                 if (c, part) != center:
                     center, mine = (c, part), []
                 if role == 0:
                     mine.append(this)
                 elif any(test(this, other) for other in mine):
-                    found.append((c, b.column(6)[i].as_py()))
+                    found.append((c, b.column(5)[i].as_py()))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["center", "member"])
 
     def test(a, b) -> bool:
-        if whole:
-            shared = len(np.intersect1d(a[1], b[1], assume_unique=True))
-            return shared >= needed(a[0], b[0], threshold)
-        return all(share_prefix(a[i], b[i], a[0], b[0], threshold) for i in (1, 2))
+        (n, x), (m, y) = a, b
+        if not whole:
+            return share_prefix(x, y, n, m, threshold)
+        if not share_prefix(x[::-1][: _fifth(n)], y[::-1][: _fifth(m)], n, m, threshold):
+            return False
+        return len(np.intersect1d(x, y, assume_unique=True)) >= needed(n, m, threshold)
 
     named = rows.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    made = in_arrow(named, sets, "doc_id long, n int, low array<long>, high array<long>")
+    made = in_arrow(named, sets, f"doc_id long, n int, tokens array<{kind}>")
     placed = (
         made.join(F.broadcast(assigned) if few else assigned, "doc_id")
-        .select("center", "part", "role", "n", "low", "high", "doc_id")
+        .select("center", "part", "role", "n", "tokens", "doc_id")
         .repartition("center", "part")
         .sortWithinPartitions("center", "part", "role")
     )
     return in_arrow(placed, held, "center long, member long").distinct()
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+def _fifth(n: int) -> int:
+    return min(n, max(32, n // 5))
+
+
+def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     offsets = np.concatenate(([0], np.cumsum([len(a) for a in arrays])))
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(arrays) if arrays else [], pa.int64()))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(arrays) if arrays else [], kind))
 
 
 def near_groups(
@@ -356,7 +362,7 @@ def near_groups(
 
 
 def _linked(pairs: DataFrame, rows: DataFrame, width: int, threshold: int, most_sent: int) -> DataFrame:
-    """Links (a, b) among pairs: first by the prefixes of orders two and three, then by whole sets."""
+    """Links (a, b) among pairs: first by the prefixes of order two, then by order three and whole sets."""
     left = _passed(pairs, rows, width, threshold, most_sent, whole=False)
     links = _passed(left, rows, width, threshold, most_sent, whole=True)
     return links.select(F.col("center").alias("a"), F.col("member").alias("b"))
