@@ -10,10 +10,13 @@ slower pattern ``CUT``. The ids equal those of the whole text.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
 
+from tidemark.llm.common import keep
+
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: White space other than a blank or a line feed.
 RARE = re.compile(r"[^\S \n]")
@@ -76,18 +79,10 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[tuple[str, int], Encoder] = {}
-
-
 def encoder(path: str, limit: int = 1_000_000) -> Encoder:
     """The encoder of this process for a vocabulary file."""
-    if (path, limit) not in _ENCODERS:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _ENCODERS.clear()
-        _ENCODERS[path, limit] = Encoder(path, limit)
-    return _ENCODERS[path, limit]
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return keep(f"encoder {limit} {path}", lambda: Encoder(path, limit))
 
 
 def in_slices(texts: list[str | None], characters: int = 4_000_000):

@@ -50,10 +50,35 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def in_arrow(df: DataFrame, function: Callable[[Batches], Batches], schema: str) -> DataFrame:
-    """``mapInArrow``: one pass, no shuffle."""
+_KEPT: dict[str, object] = {}
+
+
+def keep(name: str, make: Callable[[], object]):
+    """What a worker process keeps from task to task, one thing at a time."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def forget() -> None:
+    _KEPT.clear()
+
+
+def in_arrow(df: DataFrame, function: Callable[[Batches], Batches], schema: str, keeps: bool = False) -> DataFrame:
+    """``mapInArrow``: one pass, no shuffle.
+
+    Workers are used again by later stages; one whose task ``keeps`` nothing gives
+    back what an earlier operator's tasks have kept.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Batches) -> Batches:
+        if not keeps:
+            forget()
+        yield from function(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def poly_hash(words: np.ndarray, width: int) -> np.ndarray:

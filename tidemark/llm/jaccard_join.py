@@ -86,8 +86,8 @@ def summaries(docs: DataFrame, width: int, local_count: int) -> DataFrame:
     """
 
     def run(batches: Batches) -> Batches:
-        # Long slices: a token's local count says more.
-        for ids, some in _slices(batches, 32 << 20):
+        held: list[np.ndarray] = []
+        for ids, some in _slices(batches):
             sets = list(shingle_sets(some, width))
             n = np.array([len(s) for s in sets], np.int64)
             every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
@@ -98,12 +98,20 @@ def summaries(docs: DataFrame, width: int, local_count: int) -> DataFrame:
                 return _as_long(total[edges[1:]] - total[edges[:-1]])
 
             yield batch(ids, n, sums(mix(every + np.uint64(1))), sums(mix(every ^ np.uint64(0x5851F42D4C957F2D))), None, None)
-            every.sort()
-            heads = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1]))) if len(every) else np.zeros(0, int)
-            counts = np.diff(np.append(heads, len(every)))
-            often = counts >= local_count
-            if often.any():
-                yield batch(None, None, None, None, _as_long(every[heads[often]]), counts[often])
+            # Tokens are counted over many slices: a larger share says more.
+            held.append(every)
+            if sum(map(len, held)) >= 4_000_000:
+                yield from common(held)
+        yield from common(held)
+
+    def common(held: list[np.ndarray]) -> Batches:
+        every = np.sort(np.concatenate(held)) if held else np.zeros(0, np.uint64)
+        held.clear()
+        heads = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1]))) if len(every) else np.zeros(0, int)
+        counts = np.diff(np.append(heads, len(every)))
+        often = counts >= local_count
+        if often.any():
+            yield batch(None, None, None, None, _as_long(every[heads[often]]), counts[often])
 
     def batch(*columns) -> pa.RecordBatch:
         size = max(len(c) for c in columns if c is not None)

@@ -186,4 +186,4 @@ def pack(
         if out:
             yield batch()
 
-    return in_arrow(docs.select("doc_id", F.col("text").cast("string").alias("text")), run, ddl)
+    return in_arrow(docs.select("doc_id", F.col("text").cast("string").alias("text")), run, ddl, keeps=True)

@@ -143,7 +143,7 @@ def write_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0,
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     placed = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    return written(in_arrow(placed, run, "ordinal long, path string, docs long, ids long"), "token-list")
+    return written(in_arrow(placed, run, "ordinal long, path string, docs long, ids long", keeps=True), "token-list")
 
 
 def read_files(files: DataFrame, folder: str, with_ids: bool = False) -> DataFrame:
