@@ -108,6 +108,22 @@ def test_training_learns_order():
     assert after > before * 0.75
 
 
+def test_rounds_train_on_every_training_document_once(documents, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm, "train_round", lambda rows, net, words: seen.extend(r.doc_id for r in rows.collect()) or net)
+    lm.language_scores(documents)
+    assert sorted(seen) == sorted(r.doc_id for r in documents.collect() if not held(r.doc_id))
+
+
+@pytest.mark.parametrize("n", [1, 31, 97, 1000])
+def test_every_id_is_trained_on(monkeypatch, n):
+    seen, window = [], lm.train_window
+    monkeypatch.setattr(lm, "train_window", lambda net, x, y, h, end: seen.extend(y.ravel()) or window(net, x, y, h, end))
+    ids = np.arange(n) % 150
+    lm.train(lm.new_net(np.ones(150), 4), ids, 7, streams=9, steps=5)
+    assert sorted(seen) == sorted(ids)
+
+
 def test_spelling_sums_to_one():
     """Over words of two bytes at most, with what longer words have taken off."""
     words = [b"ab", b"ba", b"a", b"abc", b"b", b"aab"]

@@ -281,12 +281,16 @@ def train(net: Net, ids: np.ndarray, end: int, streams: int = 96, steps: int = 1
     net = {k: v.copy() for k, v in net.items()}
     squares = {k: np.full_like(v, 1.0) for k, v in net.items()}
     streams = max(1, min(streams, len(ids) // (2 * steps)))
-    length = len(ids) // streams
-    y = ids[: streams * length].reshape(streams, length)
+    # The first ``more`` streams are longer by one id, so that every id is in one.
+    length, more = divmod(len(ids), streams)
+    longer, plain = np.split(ids, [more * (length + 1)])
+    y = np.full((streams, length + 1), end)
+    y[:more], y[more:, :length] = longer.reshape(more, length + 1), plain.reshape(-1, length)
     x = np.concatenate((np.full((streams, 1), end), y[:, :-1]), 1)
     h = np.zeros((streams, net["wh"].shape[0]), np.float32)
-    for t in range(0, length, steps):
-        grads, h, _ = train_window(net, x[:, t : t + steps], y[:, t : t + steps], h, end)
+    windows = [(streams, t, min(t + steps, length)) for t in range(0, length, steps)]
+    for live, t, to in [*windows, (more, length, length + 1)] if more else windows:
+        grads, h, _ = train_window(net, x[:live, t:to], y[:live, t:to], h[:live], end)
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         scale = min(1.0, 50.0 / (norm + 1e-9))
         for k, g in grads.items():
@@ -406,16 +410,15 @@ def language_scores(
     vocabulary: int = 4096,
     common: int = 131_072,
     hidden: int = 24,
-    rounds: int = 3,
-    one_in: int = 32,
+    one_in: int = 3,
 ) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): counts, an add-one base score and the model's score.
 
     Words are cut at space and 0x09-0x0D, A-Z lower-cased; each text ends with one
     more token. Documents whose crc32(doc_id as text) mod 7 is 2 are held out;
     all others are counted in full (a null id counts as the text ""). Each round
-    trains on one in ``one_in`` of them, by the hash of the id: a share, so the
-    training grows with the corpus.
+    trains on one in ``one_in`` of them, by the hash of the id, and there are
+    ``one_in`` rounds: together they train on every one of them once.
 
     Only ``common`` tokens, the net and the byte chain are sent to tasks. All other
     tokens of a text meet their counts in a join on the token. Null texts are
@@ -427,7 +430,7 @@ def language_scores(
     counts = count_tokens(rows.select("doc_id", "held_out", "text"))
     words = learn_words(counts, vocabulary, common)
     net = new_net(words.vocabulary, hidden)
-    for r in range(rounds):
+    for r in range(one_in):
         # Integer division by 7 keeps the share independent of the held-out rest.
         share = rows.where(~F.col("held_out") & (F.floor(F.col("crc") / 7) % one_in == r))
         net = train_round(share.select("doc_id", "held_out", "text"), net, words)
