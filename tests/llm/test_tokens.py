@@ -35,6 +35,12 @@ def test_words_encoded_apart_give_the_whole_texts_ids(vocabulary, plain):
         assert [list(np.frombuffer(b, "<u4")) for b in small.encode(some)] == [plain(t) for t in some]
 
 
+def test_added_tokens_are_those_of_the_plain_call(vocabulary, plain):
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|>b  c\n", "one two", None, "<|endoftext|> <|endoftext|>", "<|endoftext |>"]
+    got = [list(np.frombuffer(b, "<u4")) for b in Encoder(vocabulary).encode(texts)]
+    assert got == [plain(t) for t in texts] and got[0] == [505, 220, 50256, 734]
+
+
 def test_best_fill_is_the_best():
     rng = random.Random(1)
     for _ in range(200):

@@ -5,7 +5,8 @@ start a piece or belong to a run of white space. So a single blank between two
 characters that aren't white space always starts a new piece, and what follows
 is encoded independently of what went before. Words between such blanks are
 encoded once and remembered; texts with other runs of blanks are cut by the
-slower pattern ``CUT``. The ids equal those of the whole text.
+slower pattern ``CUT``. Texts that hold an added token, such as <|endoftext|>, are
+encoded whole. The ids equal those of the plain call on the whole text.
 """
 
 from __future__ import annotations
@@ -34,12 +35,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.limit = limit
         self.known: dict[str, bytes] = {}
         size = self.tokenizer.get_vocab_size()
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
 
+    def _holds_added(self, text: str) -> bool:
+        return any(a in text for a in self.added)
+
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -51,7 +55,7 @@ class Encoder:
             joined = " " + " ".join(some)
             ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(self.opens[ids])
-            if len(cuts) == len(some):
+            if len(cuts) == len(some) and not self._holds_added(joined):
                 raw, ends = ids.tobytes(), [*(cuts[1:] * 4).tolist(), len(ids) * 4]
                 begin = 0
                 for word, end in zip(some, ends, strict=True):
@@ -63,15 +67,18 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null is empty."""
-        parts = [(CUT.split(t) if uneven(t) else t.split(" ")) if t else [] for t in texts]
+        whole = {k: self._plain(t) for k, t in enumerate(texts) if t and self._holds_added(t)}
+        parts = [
+            (CUT.split(t) if uneven(t) else t.split(" ")) if t and k not in whole else [] for k, t in enumerate(texts)
+        ]
         known = self.known
         more = self._words(list(set().union(*parts).difference(known)))
         known.update(more)
         firsts = self.tokenizer.encode_batch_fast([p[0] if p else "" for p in parts], add_special_tokens=False)
         get = known.__getitem__
         out = [
-            np.array(first.ids, "<u4").tobytes() + b"".join(map(get, part[1:]))
-            for first, part in zip(firsts, parts, strict=True)
+            whole[k] if k in whole else np.array(first.ids, "<u4").tobytes() + b"".join(map(get, part[1:]))
+            for k, (first, part) in enumerate(zip(firsts, parts, strict=True))
         ]
         if len(known) > self.limit:
             for word in more:
