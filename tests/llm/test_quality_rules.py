@@ -71,6 +71,24 @@ def test_cutoffs_bound_false_rejections(spark):
     assert qr.judge(stats, qr.cutoffs(stats, known.limit(0))).where("not kept").count() == 0
 
 
+def test_few_labels_are_enough_and_small_strata_are_pooled(spark):
+    """450 good labels certify a clean rule in "a"; "b" and "c" have too few alone, not together; "d" has a bad rule."""
+    sizes = {"a": 450, "b": 250, "c": 250, "d": 450}
+    assert sizes["b"] < qr.labels_needed(4) <= 450
+    rows, labels = [], []
+    for lang, n in sizes.items():
+        for k in range(n + 60):
+            noisy = k >= n or (lang == "d" and k % 10 == 0)
+            rows.append((len(rows), lang, 100, 500, 100 if noisy else 0, 0, 0, 10, 90))
+            labels.append((len(labels), int(k < n)))
+    stats = spark.createDataFrame(
+        rows, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+        "n_repeat_words long, n_lines long, n_distinct long"
+    )
+    chosen = qr.cutoffs(stats, spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert {r.stratum: r.cutoff for r in chosen.collect()} == {x: {"symbols": 0.12} for x in "abc"}
+
+
 def test_report_and_filter_agree(spark, folder, documents, awkward):
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     for docs in (documents, awkward, awkward.limit(0)):

@@ -1,11 +1,13 @@
 """Quality rules whose cutoffs are chosen under a bound on false rejections.
 
 Each rule is a score (higher is worse) and a fixed ladder of cutoffs. Labelled
-documents give, per stratum and cutoff, how many good ones would be rejected. A
-cutoff may be used only if the exact binomial test rejects "it refuses at least
-``risk / rules`` of the good documents", with Holm's correction over all strata,
-rules and cutoffs. So with probability 1 - ``error`` all the rules used together
-refuse at most ``risk`` of the good documents of each stratum.
+documents give, per stratum, set of rules and place on the ladders, how many good
+ones the set together would reject. A set may be used at a place only if the exact
+binomial test rejects "it refuses at least ``risk`` of the good documents". A set's
+rejections are nested from the safest place on, so its tests are a fixed sequence
+and share one level, ``error`` / (strata x sets). So with probability 1 - ``error``
+the rules used refuse at most ``risk`` of the good documents of each stratum; strata
+with too few labels for any test to pass are one, and bounded as one.
 
 Everything is DataFrame expressions. Values that several later expressions need
 are generated (one-row ``explode``), so that they are worked out once.
@@ -13,7 +15,9 @@ are generated (one-row ``explode``), so that they are worked out once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import spare
@@ -149,10 +153,12 @@ def cutoffs(
     """One row per stratum: ``stratum`` and ``cutoff``, a map from rule to cutoff.
 
     ``labels`` (doc_id, quality): 1 is good, anything else but null is bad; a
-    document with labels of both kinds is bad. Of the cutoffs that pass the test,
-    a rule takes the one that refuses most bad less good documents, the highest
-    of equals, and none if it refuses no more bad ones than good ones. A null
-    stratum is a stratum. Without labels there are no rows.
+    document with labels of both kinds is bad. Of the sets of rules and places that
+    pass the test, a stratum takes what refuses most bad less good documents, of
+    equals the fewest rules and the highest cutoffs, and none if it refuses no more
+    bad ones than good ones. A null stratum is a stratum. Strata with fewer than
+    ``labels_needed`` good labels take what they pass together. Without labels there
+    are no rows.
     """
     judged = (
         labels.where("doc_id is not null and quality is not null")
@@ -164,37 +170,51 @@ def cutoffs(
         "doc_id", F.col(stratum).cast("string").alias("stratum"), *[c.alias(f"r_{r}") for r, c in score.items()]
     )
     held = named.join(judged.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"))
+    # A rule's level is the number of its cutoffs that the score is above.
+    levels = {r: sum((F.col(f"r_{r}") > c).cast("int") for c in ladder).alias(f"l_{r}") for r, ladder in LADDERS.items()}
     good = F.col("good") == 1
-    tests = [(r, c, i) for r, ladder in LADDERS.items() for i, c in enumerate(ladder)]
-    sums = []
-    for r, c, i in tests:
-        above = F.col(f"r_{r}") > c
-        sums += [F.count_if(above & good).alias(f"g_{r}_{i}"), F.count_if(above & ~good).alias(f"b_{r}_{i}")]
-    counted = held.groupBy("stratum").agg(F.count_if(good).alias("n"), *sums)
-    each = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(r).alias("rule"), F.lit(c).alias("at"), F.col(f"g_{r}_{i}").alias("k"), F.col(f"b_{r}_{i}").alias("bad")
-                )
-                for r, c, i in tests
-            ]
+    counted = held.select("stratum", "good", *levels.values()).groupBy("stratum", *[f"l_{r}" for r in LADDERS])
+    counted = written(counted.agg(F.count_if(good).alias("g"), F.count_if(~good).alias("b")), "quality-levels")
+    sizes = written(counted.groupBy("stratum").agg(F.sum("g").alias("n")), "quality-strata")
+    strata = sizes.count()
+    small = F.col("n") < labels_needed(strata, risk, error)
+    sizes = sizes.withColumn("rest", small).withColumn("group", F.when(~small, F.col("stratum")))
+    # A set of rules is a number with a bit per rule; it rejects at a place below its rules' highest level.
+    sets = [
+        F.struct(
+            F.lit(s).alias("rules"),
+            F.array_max(F.array(*[F.col(f"l_{r}") for j, r in enumerate(LADDERS) if s >> j & 1])).alias("level"),
         )
-    )
-    tested = counted.select("stratum", "n", each.alias("e")).select("stratum", "n", "e.*")
-    tested = _once(tested, p=binomial_tail(F.col("k"), F.col("n"), risk / len(LADDERS)))
-    # Holm: the i-th smallest p of m must be within error / (m - i + 1), and all before it too.
-    tested = written(tested, "quality-tests")
-    everything = Window.partitionBy()
-    by_p = Window.orderBy("p", "stratum", "rule", "at")
-    ranked = tested.withColumn("_i", F.row_number().over(by_p)).withColumn("_m", F.count(F.lit(1)).over(everything))
-    ranked = ranked.withColumn("_fails", (F.col("p") > error / (F.col("_m") - F.col("_i") + 1)).cast("int"))
-    so_far = by_p.rowsBetween(Window.unboundedPreceding, 0)
-    passed = ranked.withColumn("_worst", F.max("_fails").over(so_far)).where("_worst = 0")
-    best = passed.where("bad > k").groupBy("stratum", "rule").agg(
-        F.max(F.struct((F.col("bad") - F.col("k")).alias("gain"), "at"))["at"].alias("at")
-    )
-    return best.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "at"))).alias("cutoff"))
+        for s in range(1, 1 << len(LADDERS))
+    ]
+    named_sizes = sizes.select(F.col("stratum").alias("_stratum"), "rest", "group")
+    each = counted.join(named_sizes, F.col("stratum").eqNullSafe(F.col("_stratum")))
+    each = each.select("rest", "group", "g", "b", F.explode(F.array(*sets)).alias("s")).where("s.level > 0")
+    each = each.select("rest", "group", "g", "b", "s.rules", F.explode(F.sequence(F.lit(0), F.col("s.level") - 1)).alias("place"))
+    each = each.groupBy("rest", "group", "rules", "place").agg(F.sum("g").alias("k"), F.sum("b").alias("bad"))
+    groups = sizes.groupBy(F.col("rest").alias("_rest"), F.col("group").alias("_group")).agg(F.sum("n").alias("n"))
+    same = (F.col("rest") == F.col("_rest")) & F.col("group").eqNullSafe(F.col("_group"))
+    tested = _once(each.join(groups, same), p=binomial_tail(F.col("k"), F.col("n"), risk))
+    # A place's rejections hold those of all safer ones, so these have passed if it passes.
+    passed = tested.where((F.col("p") <= _level(strata, error)) & (F.col("bad") > F.col("k")))
+    gain = F.struct((F.col("bad") - F.col("k")).alias("gain"), (-F.bit_count("rules")).alias("few"), "place", (-F.col("rules")).alias("set"))
+    best = passed.groupBy("_rest", "_group").agg(F.max(gain).alias("best")).select("_rest", "_group", "best.place", (-F.col("best.set")).alias("rules"))
+    at = [
+        x
+        for j, (r, ladder) in enumerate(LADDERS.items())
+        for x in (F.lit(r), F.when(F.col("rules").bitwiseAND(1 << j) > 0, F.get(F.array(*map(F.lit, ladder)), F.col("place"))))
+    ]
+    cutoff = F.map_filter(F.create_map(*at), lambda _, x: x.isNotNull())
+    return sizes.join(best, same).select("stratum", cutoff.alias("cutoff"))
+
+
+def _level(strata: int, error: float) -> float:
+    return error / (max(1, strata) * ((1 << len(LADDERS)) - 1))
+
+
+def labels_needed(strata: int, risk: float = 0.02, error: float = 0.05) -> int:
+    """Good labels past the base that a stratum needs for a set without false rejections to pass."""
+    return math.ceil(math.log(_level(strata, error)) / math.log1p(-risk))
 
 
 def judge(stats: DataFrame, chosen: DataFrame, stratum: str = "lang", prefix: str = "", kept: str = "kept") -> DataFrame:
