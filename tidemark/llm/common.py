@@ -11,7 +11,8 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import run_dir, written
@@ -81,6 +82,59 @@ def in_arrow(df: DataFrame, function: Callable[[Batches], Batches], schema: str,
     return df.mapInArrow(run, schema)
 
 
+def with_columns(
+    df: DataFrame, source: Column, added: dict[str, str], function: Callable[[pa.Array], list[pa.Array]], keeps: bool = False,
+    most: int = 4_000_000,
+) -> DataFrame:
+    """``df`` with the columns ``added`` (name to type), which ``function`` makes from slices of ``source``.
+
+    A slice holds rows of at most ``most`` bytes or entries in total, or one larger
+    row. Columns of ``df`` with an added name are replaced, others pass through.
+    """
+    new = {name.lower() for name in added}
+    rest = [c for c in df.columns if c.lower() not in new]
+    # Names of their own: Spark's Python operators don't take all names that columns may have.
+    given = [f"c{i}" for i in range(len(rest))]
+    made = [f"d{i}" for i in range(len(added))]
+    rows = df.select(*(F.col(f"`{c}`").alias(g) for c, g in zip(rest, given, strict=True)), source.alias("given"))
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            column = batch.column(batch.num_columns - 1)
+            length = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
+            for begin, end in row_runs(np.asarray(length(column).fill_null(0)), most):
+                some = batch.slice(begin, end - begin)
+                columns = [*some.columns[:-1], *function(some.column(some.num_columns - 1))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*given, *made])
+
+    kinds = [*(f.dataType.simpleString() for f in rows.schema.fields[:-1]), *added.values()]
+    ddl = ", ".join(f"{name} {kind}" for name, kind in zip([*given, *made], kinds, strict=True))
+    return in_arrow(rows, run, ddl, keeps).toDF(*rest, *added)
+
+
+def row_runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(begin, end) of runs of rows of at most ``most`` in total size; a row larger than that is alone."""
+    begin, total = 0, 0
+    for k, n in enumerate(sizes.tolist()):
+        if k > begin and total + n > most:
+            yield begin, k
+            begin, total = k, 0
+        total += n
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
+def summed(parts: DataFrame, column: str, size: int) -> np.ndarray:
+    """The sum of the tasks' arrays of ``size`` numbers, place by place.
+
+    Spark adds the places up, so no task or group holds more than its own array.
+    """
+    each = parts.select(F.posexplode(column).alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+    out = np.zeros(size)
+    out[each.column("at").to_numpy()] = each.column("v").to_numpy()
+    return out
+
+
 def poly_hash(words: np.ndarray, width: int) -> np.ndarray:
     """64-bit hash of every run of ``width`` word hashes."""
     out = np.zeros(max(0, len(words) - width + 1), np.uint64)

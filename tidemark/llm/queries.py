@@ -14,12 +14,15 @@ from tidemark.llm import (
     jaccard_join,
     language_id,
     packing,
+    periodic_runs,
+    piece_codec,
     quality_rules,
     secrets,
     sql,
     token_files,
     url_rules,
     warc,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +107,36 @@ def op10_gru_scores(spark: SparkSession, folder: str) -> DataFrame:
     return gru_lm.language_scores(table(spark, folder, "documents"))
 
 
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The embeddings' four leading whitened components."""
+    rows = whitening.whitened(table(spark, folder, "embeddings").select("vec_id", "embedding"), "embedding", 4)
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c")
+    return rows.select("*", each).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error"
+    )
+
+
+@query
+def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of all documents and the texts they stand for, as digests."""
+    encoded = piece_codec.encode(table(spark, folder, "documents").select("doc_id", "text"), PIECES)
+    return piece_codec.decode(encoded.drop("text"), PIECES).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of repeated words in all documents, every tenth of them made periodic first."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text", periodic_runs.planted(F.col("doc_id"), F.col("text")))
+    return periodic_runs.find_runs(docs).select("doc_id", *periodic_runs.digest())
+
+
 SQL |= {
     "op3_warc": sql.WARC,
     "op4_url_rules": sql.url_verdicts(URL_RULES),
