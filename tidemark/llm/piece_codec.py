@@ -209,7 +209,7 @@ class Pieces:
 class Encoder:
     """Encodes with one vocabulary; remembers at most about ``limit`` words."""
 
-    def __init__(self, pieces: Pieces, limit: int = 500_000):
+    def __init__(self, pieces: Pieces, limit: int = 250_000):
         self.pieces, self.limit = pieces, limit
         self.known: dict[str, bytes] = {}
 
@@ -243,7 +243,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     columns pass through unchanged, but for one named like ``ids``, which is replaced.
     Long texts are sent to the merge rounds alone, so memory follows the longest text.
     """
-    return with_columns(docs, F.col(f"`{text}`").cast("string"), {ids: "array<int>"}, lambda c: [_encoded(c, path)], keeps=True)
+    return with_columns(docs, F.col(f"`{text}`").cast("string"), {ids: "array<int>"}, lambda c: [_encoded(c, path)], keeps=True, most=1 << 20)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -253,7 +253,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     become U+FFFD one by one. Null ids give an empty text. A null id in the array, or
     one outside the vocabulary, raises. Other columns pass through as in ``encode``.
     """
-    return with_columns(rows, F.col(f"`{ids}`"), {text: "string"}, lambda c: [_decoded(c, path)], keeps=True)
+    return with_columns(rows, F.col(f"`{ids}`"), {text: "string"}, lambda c: [_decoded(c, path)], keeps=True, most=1 << 18)
 
 
 def _encoder(path: str) -> Encoder:
