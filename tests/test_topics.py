@@ -90,3 +90,13 @@ def test_both_plans_tag_the_same_rows(rows, pairs):
     for mode in T.MODES:
         found = [sorted(map(repr, T.tag_topics(edits, pairs, mode=mode, literal_pairs=n).collect())) for n in (100, 0)]
         assert found[0] == found[1] and len(found[0]) == 5
+
+
+def test_texts_are_hashed_once(rows, capsys):
+    """Digest and terms come from one generator; above the terms' own no digest is worked out."""
+    edits = rows([("a", "one two")], "title string, comment string")
+    T.tag_topics(edits, rows([("t", "two")], "topic string, keyword string"), literal_pairs=0).explain("extended")
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    lines = [line.strip(" :+-") for line in plan.splitlines()]
+    at = next(i for i, line in enumerate(lines) if "Generate explode(_terms" in line)
+    assert "sha2" not in lines[at - 1] and any(line.startswith("Generate inline") and "sha2" in line for line in lines[at:])

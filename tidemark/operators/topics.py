@@ -119,8 +119,10 @@ def _tag_by_join(edits, pairs, columns, mode, longest) -> DataFrame:
     """
     text = T.joined_lower(*columns)
     digest = F.sha2(text.cast("binary"), 256)
-    texts = edits.select(digest.alias("_text_id"), F.explode(F.array_distinct(_terms(text, mode, longest))).alias("keyword"))
-    exploded = texts.dropDuplicates()
+    # Generating digest and terms together hashes a text once; projected, the digest
+    # would be worked out above the terms, once for each of them.
+    bound = F.struct(digest.alias("_text_id"), F.array_distinct(_terms(text, mode, longest)).alias("_terms"))
+    exploded = edits.select(F.inline(F.array(bound))).select("_text_id", F.explode("_terms").alias("keyword")).dropDuplicates()
     # One row per keyword, so that the dictionary side is unique.
     topics_of = pairs.groupBy("keyword").agg(F.collect_set("topic").alias("_topics"))
     found = (
