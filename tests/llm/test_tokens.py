@@ -5,9 +5,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import packing, token_files
 from tidemark.llm.bpe import Encoder
+from tidemark.llm.common import new_folder
 
 
 @pytest.fixture(scope="module")
@@ -118,3 +120,10 @@ def test_awkward_files(awkward, vocabulary, plain):
     assert rows.doc_id.tolist()[1:] == [1, 2, 3, 4, 5, 5, 7]
     assert rows.n_tokens.tolist()[1:3] == [1, 1]
     assert rows.start.tolist() == [0, *np.cumsum(rows.n_tokens)[:-1]]
+
+
+def test_every_token_file_is_read_by_a_task_of_its_own(documents, vocabulary):
+    home = new_folder(documents, "tokens")
+    files = token_files.write_files(documents, vocabulary, home, 0, 2_000)
+    tasks = token_files.read_files(files, home).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == files.count() > 10

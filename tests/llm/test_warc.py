@@ -2,8 +2,10 @@ import base64
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import warc
+from tidemark.llm.common import new_folder
 
 
 def sha(text):
@@ -34,6 +36,16 @@ def test_pages(spark, folder):
     assert got(warc.archived(pages)) == brute([tuple(r) for r in pages.select("page_id", "url", "html").collect()])
 
 
+def test_every_archive_is_read_by_a_task_of_its_own(spark, folder):
+    """Also under adaptive execution, which would merge the parts of a short list."""
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    home = new_folder(pages, "warc")
+    files = warc.write_warc(pages, home, file_bytes=5_000)
+    tasks = warc.read_warc(files, home).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == files.count() > 10
+
+
 @pytest.mark.parametrize("least", [0, 5])
 def test_awkward_pages(spark, least):
     rows = [

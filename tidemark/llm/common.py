@@ -273,6 +273,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
+def one_by_one(files: DataFrame, count: int, key: str = "path", most: int = 20_000) -> DataFrame:
+    """A list of ``count`` files dealt out so that tasks get one file each, or an equal share of very many.
+
+    Ranges of so few keys are cut exactly; adaptive execution leaves a stated number
+    of partitions as it is, where it would merge those of a short list.
+    """
+    return files.repartitionByRange(max(1, min(count, most)), key)
+
+
 def new_folder(df: DataFrame, name: str) -> str:
     return run_dir(df.sparkSession, name)
 

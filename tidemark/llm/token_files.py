@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import encoder, in_slices
-from tidemark.llm.common import Batches, file_system, in_arrow, new_folder, put_file, start_totals
+from tidemark.llm.common import Batches, file_system, in_arrow, new_folder, one_by_one, put_file, start_totals
 from tidemark.session import written
 
 MAGIC = b"TIDEIDS1"
@@ -172,8 +172,7 @@ def read_files(files: DataFrame, folder: str, with_ids: bool = False) -> DataFra
                 yield pa.RecordBatch.from_pydict(found | ({"ids": pa.array(parts, pa.binary())} if with_ids else {}))
 
     based = start_totals(files, "ordinal", "ids", "base", block=1 << 26).select("path", "base")
-    # Every file is a task's worth of work: they are dealt out again one by one.
-    return in_arrow(based.repartition(F.xxhash64("path")), run, columns)
+    return in_arrow(one_by_one(based, files.count()), run, columns)
 
 
 def token_files(docs: DataFrame, vocabulary: str, end_id: int = 0, file_ids: int = 8_000_000) -> DataFrame:

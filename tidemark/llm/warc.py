@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Batches, file_system, in_arrow, new_folder, put_file
+from tidemark.llm.common import Batches, file_system, in_arrow, new_folder, one_by_one, put_file
 from tidemark.session import written
 
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -206,7 +206,7 @@ def read_warc(files: DataFrame, folder: str, with_payload: bool = False, piece:
             [pa.array([r[i] for r in rows], kinds[i]) for i in range(kept)], names=names[:kept]
         )
 
-    return in_arrow(files.select("path").repartition(F.xxhash64("path")), run, columns)
+    return in_arrow(one_by_one(files.select("path"), files.count()), run, columns)
 
 
 def archived(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
