@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,21 +9,10 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.operators.dedup import absent_from, one_per_id
 from tidemark.operators.upsert import upsert
+from tidemark.sources.id_index import store_ids
+from tidemark.sources.stored import BATCH, read_stored
 
-EDIT_DATE, BATCH = "edit_date", "batch_id"
-
-
-def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored table, empty before the first write.
-
-    Spark adds the partition columns; naming them keeps their types fixed.
-    """
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+EDIT_DATE = "edit_date"
 
 
 def edit_store_schema(edits: DataFrame) -> T.StructType:
@@ -42,29 +30,36 @@ def write_edits(
 
     ``batch`` must be unique to checkpoint and micro-batch, and the same when the
     micro-batch is replayed: it owns a folder, which a replay replaces whole, and
-    its own earlier output is not among the rows an id counts as stored in. Only
-    the ids of the store are read to find redelivered ones. ``same_date=True``
-    reads only the dates that the batch has, for feeds that always redeliver an id
-    with its first time. The batch is worked out once, into a folder that the next
-    one reuses.
+    its own earlier output is not among the rows an id counts as stored in. An index
+    of ids tells which are redelivered; it is built when a store has none (see
+    ``IdIndex``). ``same_date=True`` asks the rows of the batch's dates instead, for
+    feeds that always redeliver an id with its first time. The batch is worked out
+    once, into a folder that the next one reuses.
     """
     spark = edits.sparkSession
     # A leading underscore hides the folder from readers of the store.
     staged = f"{path}/_staged/{batch.rsplit('_', 1)[0]}"
     one_per_id(edits, ties=ties).withColumn(EDIT_DATE, F.to_date("dt")).write.mode("overwrite").parquet(staged)
     fresh = spark.read.schema(T.StructType([*edits.schema, T.StructField(EDIT_DATE, T.DateType())])).parquet(staged)
-    stored = read_stored(spark, path, edit_store_schema(edits)).where(F.col(BATCH) != batch)
+    schema = edit_store_schema(edits)
+    index = store_ids(spark, path, schema)
     if same_date:
         dates = fresh.select(F.col(EDIT_DATE).alias("_date")).distinct()
+        stored = read_stored(spark, path, schema).where(F.col(BATCH) != batch)
         stored = stored.join(dates, F.col(EDIT_DATE).eqNullSafe(F.col("_date")), "left_semi")
+    else:
+        stored = index.held(fresh, batch)
+    home = f"{path}/{BATCH}={batch}"
     (
         absent_from(fresh, stored)
         .hint("rebalance", EDIT_DATE)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(EDIT_DATE)
-        .parquet(f"{path}/{BATCH}={batch}")
+        .parquet(home)
     )
+    # Last: a write that is cut short before is replayed, and takes the batch's ids anew.
+    index.add(batch, read_stored(spark, home, fresh.schema))
 
 
 def merge_batches(spark: SparkSession, path: str, schema: T.StructType, merged: str) -> None:
