@@ -1,6 +1,7 @@
 """Streams give what the batch functions give, also when batches are replayed."""
 
 import json
+import math
 import os
 
 import pytest
@@ -10,6 +11,7 @@ from tidemark import schemas
 from tidemark.operators import geo
 from tidemark.plans import signals, views
 from tidemark.sources.edits import kafka_options, parse_edits, read_edit_stream, read_edits
+from tidemark.sources.levels import Levels
 from tidemark.sources.sinks import as_messages, edit_store_schema, merge_batches, read_stored, write_edits
 from tidemark.streaming import edits as E
 from tidemark.streaming import prices as P
@@ -240,3 +242,30 @@ def test_previous_closes_in_any_order(spark, rows, tmp_path, order):
     P.store_returns(stream, str(tmp_path / "out"), str(tmp_path / "ck"), ["id"]).awaitTermination()
     got = P.stored_returns(spark, str(tmp_path / "out"), ["id"])
     assert _set(got, ["id", "prev_close"]) == {(n, float(n - 3) if n >= 3 else None) for n in range(400)}
+
+
+def test_windows_of_panes(rows, edit_files, capsys):
+    batch, _, order = edit_files
+    if order != "in order":
+        return
+    for length, slide in ((1800, 60), (1800, 600), (1500, 600), (60, 60), (90, 60)):
+        pane = math.gcd(length, slide)
+        got = W.rolling_counts(W.country_counts(batch, f"{pane} seconds"), length, slide)
+        assert _set(got) == _set(W.country_counts(batch, f"{length} seconds", f"{slide} seconds"), got.columns)
+    got.explain("extended")
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0].splitlines()
+    # From the top: the windows' sums, their copies, the panes' sums, and no copies of edits below.
+    kinds = [k for line in plan for k in ("Aggregate", "Generate", "Expand") if line.strip(" :+-").startswith(k)]
+    assert kinds == ["Aggregate", "Generate", "Aggregate"]
+
+
+def test_sums_of_many_batches_are_few_folders(spark, rows, tmp_path):
+    """A replay after the sums were stored changes nothing; every batch opens few runs."""
+    home = str(tmp_path / "o")
+    for number in [*range(20), 19]:
+        dt = F.timestamp_seconds(F.lit(1_700_000_000 + 60 * (number % 4)))
+        batch = rows([("US", ["a"])], "page_country_code string, topics array<string>").withColumn("dt", dt).coalesce(1)
+        W._store_sums(batch, f"q_{number:012d}", home, W.country_counts, list(W.WINDOW_KEYS), "dt", "1 hour")
+    assert sorted(r.event_count for r in W.stored_counts(spark, home).collect()) == [5, 5, 5, 5]
+    assert len(Levels(spark, f"{home}/sums").runs()) <= 9
+    assert len({f.rsplit("/", 2)[1] for f in W.stored_sums(spark, home, list(W.WINDOW_KEYS)).inputFiles()}) <= 9

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.skew import fact_dim_join, latest_per_key
 
 
-def _last_first(df: DataFrame, keys: list[str], order_by: list[str]) -> list[Column]:
+def last_first(df: DataFrame, keys: list[str], order_by: list[str]) -> list[Column]:
     """Newest first by ``order_by``, then by every other column to be certain."""
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     return [F.col(c).desc_nulls_last() for c in [*order_by, *rest]]
@@ -26,7 +26,7 @@ def upsert(
     Of several updates to a key the newest by ``order_by`` counts. A null in an
     update overwrites. ``target`` must be unique in ``keys``; the result is.
     """
-    newest = latest_per_key(updates.select(target.columns), keys, _last_first(target, keys, order_by))
+    newest = latest_per_key(updates.select(target.columns), keys, last_first(target, keys, order_by))
     old = target.select(F.lit(True).alias("_old"), F.struct(*target.columns).alias("_o"), *keys)
     new = newest.select(F.lit(True).alias("_new"), F.struct(*target.columns).alias("_n"), *keys)
 

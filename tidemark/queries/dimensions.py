@@ -11,7 +11,7 @@ from tidemark.operators.bars import bar_defaults
 from tidemark.operators.skew import fact_dim_join, latest_per_key
 from tidemark.queries.registry import TICKERS, query, with_
 from tidemark.session import run_dir
-from tidemark.sources import sinks, star
+from tidemark.sources import deltas, sinks, star
 
 _ITEM_KEY = ["l_orderkey", "l_linenumber"]
 _NEWEST = "l_shipdate DESC, l_partkey DESC, l_quantity DESC, l_extendedprice DESC, l_returnflag DESC"
@@ -68,6 +68,19 @@ def upsert_stored(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.read_stored(spark, f"{home}/table", items.schema).select(*items.columns)
 
 
+@query(with_(_ITEMS) + _MERGED)
+def upsert_merged_on_read(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by added updates: a batch of first rows and four of later ones, merged on reading."""
+    path, items = f"{run_dir(spark, 'deltas')}/table", _items(spark, folder)
+    parts = [items.where("l_returnflag = 'N'")]
+    # Each key's updates are in one batch, as the newest of all of them counts.
+    later = items.where("l_returnflag <> 'N'")
+    parts += [later.where(F.pmod(F.xxhash64(*_ITEM_KEY), F.lit(4)) == n) for n in range(4)]
+    for number, updates in enumerate(parts):
+        deltas.add_updates(updates, path, f"items_{number}", _ITEM_KEY, _ITEM_UPDATES, ["l_shipdate"], fan=3)
+    return deltas.merged_table(spark, path, _ITEM_KEY, items.columns)
+
+
 @query("""
 WITH seen AS (
   SELECT l_partkey, l_extendedprice, row_number() OVER (

@@ -134,12 +134,30 @@ WHERE page_country_code IS NOT NULL AND len(topics) > 0 GROUP BY 1, 2"""
 def stream_rolling_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Windows of three hours, a new one every hour."""
     home = run_dir(spark, "rolling")
+    panes = lambda edits: windows.country_counts(edits, "1 hour")
+    windows.store_sums(_edit_stream(spark, folder), home, f"{home}/checkpoint", panes).awaitTermination()
+    return _rolling(spark, home, 3 * 3600, 3600)
 
-    def rolling(edits: DataFrame) -> DataFrame:
-        return windows.country_counts(edits, "3 hours", "1 hour")
 
-    windows.store_sums(_edit_stream(spark, folder), home, f"{home}/checkpoint", rolling).awaitTermination()
-    return windows.stored_counts(spark, home).withColumn("ts_minute_utc", F.col("ts_minute_utc").cast("timestamp_ntz"))
+def _rolling(spark: SparkSession, home: str, length: int, slide: int) -> DataFrame:
+    rows = windows.rolling_counts(windows.stored_counts(spark, home), length, slide)
+    return rows.select(
+        F.col("ts_minute_utc").cast("timestamp_ntz").alias("ts_minute_utc"), "iso2", F.col("event_count").cast("int").alias("event_count")
+    )
+
+
+@query(
+    with_(EDITS)
+    + """SELECT date_trunc('minute', dt) - to_minutes(back) AS ts_minute_utc, page_country_code AS iso2,
+CAST(count(*) AS INTEGER) AS event_count
+FROM edits, (SELECT unnest(range(0, 30)) AS back)
+WHERE page_country_code IS NOT NULL AND len(topics) > 0 GROUP BY 1, 2"""
+)
+def stream_rolling_half_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of thirty minutes, a new one every minute, from one-minute panes."""
+    home = run_dir(spark, "half-hours")
+    windows.store_sums(_edit_stream(spark, folder), home, f"{home}/checkpoint", windows.country_counts).awaitTermination()
+    return _rolling(spark, home, 30 * 60, 60)
 
 
 @query(

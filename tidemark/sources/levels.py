@@ -99,13 +99,17 @@ class Levels:
         self.spark.createDataFrame(rows, LIST).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_list/slot_{version % 2}")
         self.known = version, sorted(runs, key=lambda run: (-run.level, run.batches)), gone
 
-    def add(self, batch: str, rows: DataFrame, note: int | None = None) -> Run:
-        """Add a batch's rows as a run of level 0; an earlier one of the same batch is replaced."""
+    def add(self, batch: str, rows: DataFrame, note: Callable[[], int | None] = lambda: None) -> Run:
+        """Add a batch's rows as a run of level 0; an earlier one of the same batch is replaced.
+
+        ``note`` is asked for when the rows are written.
+        """
         version, runs, dead = self._load()
         owner, number = split_name(batch)
         # A folder of its own: what readers of the old list read stays as it is.
-        run = Run(0, f"{self.path}/run-{batch}-{version + 1}", ((owner, number, number),), note)
+        run = Run(0, f"{self.path}/run-{batch}-{version + 1}", ((owner, number, number),))
         self.save(rows, run.folder, 0)
+        run = replace(run, note=note())
         old = [r for r in runs if r.level == 0 and r.holds(batch)]
         self.swap(version + 1, [*(r for r in runs if r not in old), run], [*dead, *old])
         return run

@@ -17,12 +17,11 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.numbers import simple_return
 from tidemark.operators.skew import latest_per_key
 from tidemark.plans.signals import topic_surges
-from tidemark.sources.sinks import BATCH, read_stored, write_batch
+from tidemark.sources.levels import Levels, Run
+from tidemark.sources.sinks import write_batch
+from tidemark.sources.stored import BATCH, read_stored
 from tidemark.streaming.batches import for_each_batch
 
-PROGRESS = f"seen bigint, late bigint, newest timestamp, {BATCH} string"
-
-
 def country_counts(edits: DataFrame, length: str = "1 minute", slide: str | None = None) -> DataFrame:
     """Edits per country and event-time window, overlapping ones with a ``slide``."""
     kept = edits.where(F.col("page_country_code").isNotNull() & (F.size("topics") > 0))
@@ -52,22 +51,59 @@ def topic_steps(edits: DataFrame, step_seconds: int) -> DataFrame:
     )
 
 
-def _store_sums(batch: DataFrame, name: str, path: str, sums: Callable[[DataFrame], DataFrame], ts: str, lateness: str) -> None:
-    """Store a micro-batch's sums and, from the same pass, one row of progress."""
+def rolling_counts(panes: DataFrame, length: int, slide: int) -> DataFrame:
+    """Overlapping windows of ``length`` seconds, one every ``slide``, from counts per country and pane.
+
+    Panes are windows without overlap whose length divides both. An edit is counted
+    into its pane once; only the panes' sums go to the length / slide windows they are
+    part of. Windows begin at multiples of ``slide`` since 1970.
+    """
+    at = F.unix_seconds("ts_minute_utc")
+    last = at - F.pmod(at, F.lit(slide))
+    starts = F.sequence(F.lit(0), F.lit(-(-length // slide) - 1))
+    begin = last - F.col("_back") * slide
+    copies = panes.withColumn("_back", F.explode(starts)).where(begin + length > at)
+    return copies.groupBy(F.timestamp_seconds(begin).alias("ts_minute_utc"), "iso2").agg(F.sum("event_count").alias("event_count"))
+
+
+def _merged_sums(rows: DataFrame, keys: list[str]) -> DataFrame:
+    values = [c for c in rows.columns if c not in keys]
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in values])
+
+
+def _newest(runs: list[Run]) -> int | None:
+    return max((r.note for r in runs if r.note is not None), default=None)
+
+
+def _store_sums(
+    batch: DataFrame, name: str, path: str, sums: Callable[[DataFrame], DataFrame], keys: list[str], ts: str, lateness: str
+) -> Levels:
+    """Store a micro-batch's sums and, from the same pass, one row of progress.
+
+    A run's note is the newest time in it (microseconds). Full levels are merged.
+    """
     spark = batch.sparkSession
-    done = read_stored(spark, f"{path}/progress", T.StructType.fromDDL(PROGRESS)).where(F.col(BATCH) < name)
-    before = done.agg(F.max("newest")).first()[0]
+    store = Levels(spark, f"{path}/sums")
+    before = _newest([r for r in store.runs() if not r.holds(name)])
     observed = Observation()
-    late = F.lit(False) if before is None else F.col(ts).cast("timestamp") < F.lit(before) - F.expr(f"INTERVAL {lateness}")
+    time = F.col(ts).cast("timestamp")
+    late = F.lit(False) if before is None else time < F.timestamp_micros(F.lit(before)) - F.expr(f"INTERVAL {lateness}")
     rows = batch.observe(
-        observed, F.count(F.lit(1)).alias("seen"), F.count_if(late).alias("late"), F.max(F.col(ts).cast("timestamp")).alias("newest")
+        observed, F.count(F.lit(1)).alias("seen"), F.count_if(late).alias("late"), F.max(F.unix_micros(time)).alias("newest")
     )
-    write_batch(sums(rows), f"{path}/sums", name)
+    store.add(name, sums(rows), lambda: observed.get["newest"])
     found = observed.get
     row = spark.range(1).select(
-        *[F.lit(found[k]).cast(t).alias(k) for k, t in (("seen", "bigint"), ("late", "bigint"), ("newest", "timestamp"))]
+        F.lit(found["seen"]).cast("bigint").alias("seen"),
+        F.lit(found["late"]).cast("bigint").alias("late"),
+        F.timestamp_micros(F.lit(found["newest"])).alias("newest"),
     )
     write_batch(row, f"{path}/progress", name)
+    store.compact(lambda rows: _merged_sums(rows, keys), _newest)
+    return store
+
+
+WINDOW_KEYS = ("ts_minute_utc", "iso2")
 
 
 def store_sums(
@@ -77,22 +113,26 @@ def store_sums(
     sums: Callable[[DataFrame], DataFrame],
     ts: str = "dt",
     lateness: str = "1 hour",
+    keys: tuple[str, ...] = WINDOW_KEYS,
     **trigger,
 ) -> StreamingQuery:
-    """Store the sums of each micro-batch in a folder of its own.
+    """Add the sums of each micro-batch to a levelled store, so that n batches leave about log(n) runs.
 
     ``path``/progress has rows seen, rows late (more than ``lateness`` behind the
     newest row of the batches before) and the newest time of each batch. Late rows
-    are counted there and summed like all others. ``path`` belongs to one checkpoint.
+    are counted there and summed like all others. ``keys`` are the columns that are
+    no sums. ``path`` belongs to one checkpoint.
     """
-    return for_each_batch(stream, lambda batch, name: _store_sums(batch, name, path, sums, ts, lateness), checkpoint, **trigger)
+
+    def write(batch: DataFrame, name: str) -> None:
+        _store_sums(batch, name, path, sums, list(keys), ts, lateness)
+
+    return for_each_batch(stream, write, checkpoint, **trigger)
 
 
 def stored_sums(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """All that is stored, added up per key; sums keep their names."""
-    rows = spark.read.parquet(f"{path}/sums").drop(BATCH)
-    values = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in values])
+    return _merged_sums(Levels(spark, f"{path}/sums").read(), keys)
 
 
 def stored_counts(spark: SparkSession, path: str, keys: list[str] | None = None) -> DataFrame:
@@ -127,9 +167,12 @@ def store_alerts(
 
     def write(batch: DataFrame, name: str) -> None:
         spark, number = batch.sparkSession, int(name.rsplit("_", 1)[1])
-        _store_sums(batch, name, path, lambda rows: topic_steps(rows, step_seconds), "dt", lateness)
-        sums = spark.read.parquet(f"{path}/sums").where(F.col(BATCH) <= name)
-        fresh = sums.where(F.col(BATCH) == name).groupBy("topic").agg(F.min("step").alias("since"))
+        steps = lambda rows: topic_steps(rows, step_seconds)
+        store = _store_sums(batch, name, path, steps, ["topic", "step"], "dt", lateness)
+        sums = store.read()
+        # The newest batch is still a run of its own.
+        own = store.read([r for r in store.runs() if r.level == 0 and r.holds(name)])
+        fresh = own.groupBy("topic").agg(F.min("step").alias("since"))
         schema = T.StructType.fromDDL("topic string, first bigint")
         before = read_stored(spark, f"{path}/first_{(number - 1) % 2}", schema)
         firsts = before.unionByName(fresh.select("topic", F.col("since").alias("first"))).groupBy("topic")
