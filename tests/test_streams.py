@@ -14,6 +14,7 @@ from tidemark.sources.edits import kafka_options, parse_edits, read_edit_stream,
 from tidemark.sources.levels import Levels
 from tidemark.sources.sinks import as_messages, edit_store_schema, merge_batches, read_stored, write_edits
 from tidemark.streaming import edits as E
+from tidemark.streaming import finals as N
 from tidemark.streaming import prices as P
 from tidemark.streaming import windows as W
 
@@ -269,3 +270,38 @@ def test_sums_of_many_batches_are_few_folders(spark, rows, tmp_path):
     assert sorted(r.event_count for r in W.stored_counts(spark, home).collect()) == [5, 5, 5, 5]
     assert len(Levels(spark, f"{home}/sums").runs()) <= 9
     assert len({f.rsplit("/", 2)[1] for f in W.stored_sums(spark, home, list(W.WINDOW_KEYS)).inputFiles()}) <= 9
+
+
+def test_finals_and_corrections(spark, edit_files, tmp_path):
+    """Late rows take back a final row and add the right one; open windows are in the state."""
+    batch, stream, order = edit_files
+    home, ck, sums = str(tmp_path / "o"), str(tmp_path / "ck"), str(tmp_path / "s")
+    N.store_finals(stream, home, ck, "1 minute").awaitTermination()
+    W.store_sums(stream, sums, str(tmp_path / "sck"), W.country_counts).awaitTermination()
+    wanted = views.country_minute(batch)
+    final = spark.read.parquet(f"{home}/final")
+    assert final.count() == final.select(*W.WINDOW_KEYS).distinct().count() > 0
+    changes = N.store_corrections(spark, home, sums, ck, "first_0")
+    signs = {r.sign for r in changes.collect()}
+    assert (1 in signs) == (order == "shuffled")
+    rows = N.all_counts(spark, home, ck)
+    assert rows.where("NOT final").count() > 0
+    assert _set(rows.drop("final"), wanted.columns) == _set(wanted)
+    # Nothing came since: no correction is made twice.
+    assert N.store_corrections(spark, home, sums, ck, "second_0").count() == 0
+
+
+def test_stream_join(spark, edit_files, rows, tmp_path):
+    batch, stream, order = edit_files
+    frame = rows(
+        [(n, "US" if n % 4 else None, 1_700_000_000 + 40 * n, float(n + 1), float(n)) for n in range(0, 400, 2)],
+        "n int, iso2 string, s bigint, close double, prev_close double",
+    ).select("n", "iso2", F.timestamp_seconds("s").alias("ts_minute_utc"), "close", "prev_close")
+    returns, moves = _files(spark, frame, tmp_path / "returns", "n", ORDERS[order])
+    home, ck = str(tmp_path / "o"), str(tmp_path / "ck")
+    N.store_joined(stream, moves, home, ck, "1 day" if order == "shuffled" else "5 minutes").awaitTermination()
+    both = views.joined_signals(views.country_return_minute(returns, "minute"), views.country_minute(batch))
+    got = N.stored_joined(spark, home, ck)
+    assert got.count() == both.count() and _set(got, both.columns) == _set(both)
+    if order == "in order":
+        assert spark.read.parquet(f"{home}/joined").count() > 100

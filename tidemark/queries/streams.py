@@ -26,6 +26,7 @@ from tidemark.session import run_dir
 from tidemark.sources import star
 from tidemark.sources.edits import messages, parse_edits
 from tidemark.streaming import edits as stream_edits
+from tidemark.streaming import finals
 from tidemark.streaming import prices as stream_prices
 from tidemark.streaming import windows
 
@@ -186,22 +187,36 @@ def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return alerts.select("topic", "step", "event_count", F.round("score", 6).alias("score"))
 
 
-@query(
+_JOINED = (
     with_(EDITS, BARS, TICKERS, RETURNS, COUNTRY_RETURNS_HOUR, ACTIVITY_HOUR)
     + """SELECT coalesce(r.iso2, a.iso2) AS iso2, coalesce(r.ts_minute_utc, a.ts_minute_utc) AS ts_minute_utc,
 coalesce(event_count, 0) AS event_count, round(avg_return_1m, 6) AS avg_return_1m, symbols_count
 FROM country_returns r FULL OUTER JOIN activity a ON r.iso2 = a.iso2 AND r.ts_minute_utc = a.ts_minute_utc"""
 )
-def stream_joined_signals(spark: SparkSession, folder: str) -> DataFrame:
-    """The stored sums of two streams joined by window: edits, and returns that were stored before."""
-    home = run_dir(spark, "joined")
+
+
+def _both_streams(spark: SparkSession, folder: str, home: str) -> tuple[DataFrame, DataFrame]:
+    """Edits, and returns that were stored before, as streams."""
     returns = views.symbol_return(star.bars(spark, folder), star.tickers(spark, folder), ties=["event_id"])
     returns.select("iso2", F.col("ts_minute_utc").cast("timestamp").alias("ts_minute_utc"), "close", "prev_close").write.parquet(
         f"{home}/returns"
     )
     schema = spark.read.parquet(f"{home}/returns").schema
     moves = spark.readStream.schema(schema).option("maxFilesPerTrigger", str(star.FILES_PER_BATCH)).parquet(f"{home}/returns")
-    edits = _edit_stream(spark, folder).select("dt", "page_country_code", "topics")
+    return _edit_stream(spark, folder).select("dt", "page_country_code", "topics"), moves
+
+
+def _rounded(joined: DataFrame) -> DataFrame:
+    return joined.withColumns(
+        {"ts_minute_utc": F.col("ts_minute_utc").cast("timestamp_ntz"), "avg_return_1m": F.round("avg_return_1m", 6)}
+    )
+
+
+@query(_JOINED)
+def stream_joined_signals(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored sums of two streams joined by window."""
+    home = run_dir(spark, "joined")
+    edits, moves = _both_streams(spark, folder, home)
     runs = [
         windows.store_sums(edits, f"{home}/edits", f"{home}/edits_ck", lambda rows: windows.country_counts(rows, "1 hour")),
         windows.store_sums(
@@ -210,6 +225,35 @@ def stream_joined_signals(spark: SparkSession, folder: str) -> DataFrame:
     ]
     for run in runs:
         run.awaitTermination()
-    return windows.joined_signals(spark, f"{home}/edits", f"{home}/moves").withColumns(
-        {"ts_minute_utc": F.col("ts_minute_utc").cast("timestamp_ntz"), "avg_return_1m": F.round("avg_return_1m", 6)}
+    return _rounded(windows.joined_signals(spark, f"{home}/edits", f"{home}/moves"))
+
+
+@query(_JOINED)
+def stream_join_of_streams(spark: SparkSession, folder: str) -> DataFrame:
+    """Two windowed streams with watermarks joined in one query; open windows come from its state."""
+    home = run_dir(spark, "stream-join")
+    edits, moves = _both_streams(spark, folder, home)
+    # The tables' files are in no order of time: nothing is late within their span.
+    finals.store_joined(edits, moves, home, f"{home}/checkpoint", "100 days", "1 hour").awaitTermination()
+    return _rounded(finals.stored_joined(spark, home, f"{home}/checkpoint"))
+
+
+@query(
+    with_(EDITS)
+    + """SELECT date_trunc('minute', dt) AS ts_minute_utc, page_country_code AS iso2, CAST(count(*) AS INTEGER) AS event_count
+FROM edits WHERE page_country_code IS NOT NULL AND len(topics) > 0 GROUP BY 1, 2"""
+)
+def stream_final_minutes(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows given out once by a watermark, corrected for late edits, with the open ones from the state."""
+    home = run_dir(spark, "finals")
+    edits = _edit_stream(spark, folder).select("dt", "page_country_code", "topics")
+    runs = [
+        finals.store_finals(edits, home, f"{home}/checkpoint", "10 minutes"),
+        windows.store_sums(edits, f"{home}/sums", f"{home}/sums_ck", windows.country_counts),
+    ]
+    for run in runs:
+        run.awaitTermination()
+    finals.store_corrections(spark, home, f"{home}/sums", f"{home}/checkpoint", "first_0")
+    return finals.all_counts(spark, home, f"{home}/checkpoint").select(
+        F.col("ts_minute_utc").cast("timestamp_ntz").alias("ts_minute_utc"), "iso2", F.col("event_count").cast("int").alias("event_count")
     )
