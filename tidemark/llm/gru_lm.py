@@ -22,12 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, SPACED, Batches, in_arrow, texts, word_hashes
+from tidemark.llm.common import LOWER, SPACED, Batches, in_arrow, summed, texts, word_hashes
 from tidemark.session import written
 
 CLASS = 64
 END = np.uint64(0x9E3779B97F4A7C15)  # stands for the end of a text
 LN10 = np.log(10.0)
+BOUND = 1 / 30  # of a window's gradient norm, for each of its ids
 SPELLED = 50_000  # words whose bytes are laid out at once
 
 
@@ -56,19 +57,27 @@ def spelled_codes(buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[
     return out, rows
 
 
+def codes_of(seen: np.ndarray, codes: int) -> np.ndarray:
+    """The code of each byte: 1 and on for the commonest, 0 for the edge, the last for all others."""
+    top = np.argsort(-seen[:256], kind="stable")[: codes - 2]
+    code = np.full(257, codes - 1)
+    code[top] = np.arange(1, len(top) + 1)
+    code[256] = 0
+    return code
+
+
 class Chain:
     """Spelling probabilities: byte triples over the commonest bytes, mixed with byte pairs.
 
     Bytes beyond the ``codes`` - 2 commonest share a code and one even chance each.
     """
 
-    def __init__(self, triples: np.ndarray, counts: np.ndarray, codes: int = 96):
-        seen = np.bincount(triples % 257, counts, minlength=257)
-        seen[256] = 0
-        top = np.argsort(-seen[:256], kind="stable")[: codes - 2]
-        self.code = np.full(257, codes - 1)
-        self.code[top] = np.arange(1, len(top) + 1)
-        self.code[256] = 0
+    def __init__(self, triples: np.ndarray, counts: np.ndarray, codes: int = 96, seen: np.ndarray | None = None):
+        """From triples of bytes (or sums of triples with equal codes) and their counts.
+
+        ``seen`` has the count of every byte, if ``triples`` are such sums.
+        """
+        self.code = codes_of(np.bincount(triples % 257, counts, minlength=257) if seen is None else seen, codes)
         a, b, c = (self.code[x] for x in (triples // 66_049, triples // 257 % 257, triples % 257))
         table = np.bincount((a * codes + b) * codes + c, counts, minlength=codes**3).reshape(codes, codes, codes)
         pairs = table.sum(0) + 0.05
@@ -146,8 +155,8 @@ def slices(batches: Batches, take, size: int = 16 << 20):
         yield held
 
 
-def learn_words(counts: DataFrame, vocabulary: int, common: int, triple_limit: int = 262_144) -> Words:
-    """The tables that are sent to all tasks: at most ``common`` tokens and ``triple_limit`` byte triples."""
+def learn_words(counts: DataFrame, vocabulary: int, common: int) -> Words:
+    """The tables that are sent to all tasks: at most ``common`` tokens, and the spelling chain of a fixed size."""
     tokens = counts.where("kind = 0")
     sums = tokens.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"), F.count_if(F.col("n") == 1).alias("once")).first()
     # The end token comes first, however rare it is.
@@ -160,8 +169,7 @@ def learn_words(counts: DataFrame, vocabulary: int, common: int, triple_limit: i
     known = n[: vocabulary - 1]
     rest = total - int(known.sum())
     once = min(int(sums.once), rest)
-    triples = counts.where("kind = 1").orderBy(F.desc("n"), "token").limit(triple_limit).collect()
-    chain = Chain(np.array([r.token for r in triples], np.int64), np.array([r.n for r in triples], np.int64))
+    chain = learn_chain(counts.where("kind = 1"))
     by = np.argsort(hashes)
     return Words(
         hashes[by], n[by], ids[by], np.concatenate(([rest], known)), total, distinct,
@@ -170,6 +178,25 @@ def learn_words(counts: DataFrame, vocabulary: int, common: int, triple_limit: i
     )
 
 
+def learn_chain(triples: DataFrame, codes: int = 96) -> Chain:
+    """The chain of all counted byte triples (token, n).
+
+    Spark adds up triples with the same codes first, so at most codes**3 sums come to
+    the driver, whatever the corpus.
+    """
+    seen = np.zeros(257)
+    for r in triples.groupBy((F.col("token") % 257).alias("byte")).agg(F.sum("n").alias("n")).collect():
+        seen[r["byte"]] = r["n"]
+    seen[256] = 0
+    code = codes_of(seen, codes)
+    # The first byte with a code stands for all that share it.
+    stand = np.array([int(np.flatnonzero(code == c)[0]) for c in code])
+    like = F.array(*[F.lit(int(b)) for b in stand])
+    a, b, c = (F.get(like, x.cast("int")) for x in (F.floor(F.col("token") / 66_049), F.floor(F.col("token") / 257) % 257, F.col("token") % 257))
+    sums = triples.groupBy(((a * 257 + b) * 257 + c).cast("long").alias("token")).agg(F.sum("n").alias("n")).toArrow()
+    return Chain(sums.column("token").to_numpy(), sums.column("n").to_numpy(), codes, seen)
+
+
 # The network: a dict of arrays, so that averages and updates are loops over it.
 
 Net = dict[str, np.ndarray]
@@ -196,40 +223,72 @@ def new_net(vocabulary: np.ndarray, hidden: int, seed: int = 1) -> Net:
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
-
-
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+    with np.errstate(over="ignore"):
+        x = np.exp(-x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def tanh(x: np.ndarray) -> np.ndarray:
+    """By one exponential, which numpy has faster than the function itself."""
+    x = sigmoid(x + x)
+    x += x
+    x -= 1
+    return x
+
+
+def softmax(x: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """ln probability of each row's chosen place, the rows' exponentials and the inverse of their sums."""
+    ones = np.ones(x.shape[1], x.dtype)
+    with np.errstate(over="ignore"):
+        e = np.exp(x)
+    total = e @ ones
+    # Rows out of the exponential's range are moved to their greatest entry.
+    far = np.flatnonzero(~((total > 1e-25) & (total < 1e25)))
+    if len(far):
+        x = x.copy()
+        x[far] -= x[far].max(1, keepdims=True)
+        e[far] = np.exp(x[far])
+        total[far] = e[far] @ ones
+    return x[np.arange(len(x)), chosen] - np.log(total), e, 1 / total
 
 
 def output(net: Net, h: np.ndarray, target: np.ndarray, backward: bool = False):
-    """ln probabilities of the targets; with ``backward`` also the gradients of their negative sum."""
+    """ln probabilities of the targets; with ``backward`` also the gradients of their negative sum.
+
+    Places are put in the order of their classes once, so each class is a slice.
+    """
+    order = np.argsort(target, kind="stable")
+    h, target = h[order], target[order]
     kind, inner = target // CLASS, target % CLASS
     rows = np.arange(len(h))
-    lc = log_softmax(h @ net["cw"] + net["cb"])
-    logp = lc[rows, kind]
-    grads, dh = {}, None
-    if backward:
-        dc = np.exp(lc)
-        dc[rows, kind] -= 1
-        grads["cw"], grads["cb"] = h.T @ dc, dc.sum(0)
-        grads["ow"], grads["ob"] = np.zeros_like(net["ow"]), np.zeros_like(net["ob"])
-        dh = dc @ net["cw"].T
-    order = np.argsort(kind, kind="stable")
-    edges = np.searchsorted(kind[order], np.arange(len(net["cb"]) + 1))
-    for c in np.flatnonzero(np.diff(edges)):
-        some = order[edges[c] : edges[c + 1]]
-        lo = log_softmax(h[some] @ net["ow"][c] + net["ob"][c])
-        at = np.arange(len(some))
-        logp[some] += lo[at, inner[some]]
-        if backward:
-            do = np.exp(lo)
-            do[at, inner[some]] -= 1
-            grads["ow"][c], grads["ob"][c] = h[some].T @ do, do.sum(0)
-            dh[some] += do @ net["ow"][c].T
-    return (logp, grads, dh) if backward else logp
+    logp, dc, over = softmax(h @ net["cw"] + net["cb"], kind)
+    edges = np.searchsorted(kind, np.arange(len(net["cb"]) + 1))
+    do = np.empty((len(h), CLASS), h.dtype)
+    used = np.flatnonzero(np.diff(edges))
+    for c in used:
+        some = slice(edges[c], edges[c + 1])
+        np.matmul(h[some], net["ow"][c], out=do[some])
+        do[some] += net["ob"][c]
+    within, do, inner_over = softmax(do, inner)
+    logp = logp + within
+    out = np.empty(len(h), logp.dtype)
+    out[order] = logp
+    if not backward:
+        return out
+    dc *= over[:, None]
+    do *= inner_over[:, None]
+    dc[rows, kind] -= 1
+    do[rows, inner] -= 1
+    grads = {"cw": h.T @ dc, "cb": dc.sum(0), "ow": np.zeros_like(net["ow"]), "ob": np.zeros_like(net["ob"])}
+    dh = dc @ net["cw"].T
+    for c in used:
+        some = slice(edges[c], edges[c + 1])
+        grads["ow"][c], grads["ob"][c] = h[some].T @ do[some], do[some].sum(0)
+        dh[some] += do[some] @ net["ow"][c].T
+    back = np.empty_like(dh)
+    back[order] = dh
+    return out, grads, back
 
 
 def cell(table_row: np.ndarray, h: np.ndarray, wh: np.ndarray):
@@ -238,48 +297,68 @@ def cell(table_row: np.ndarray, h: np.ndarray, wh: np.ndarray):
     hw = h @ wh
     gates = sigmoid(table_row[:, : 2 * n] + hw[:, : 2 * n])
     z, r = gates[:, :n], gates[:, n:]
-    new = np.tanh(table_row[:, 2 * n :] + r * hw[:, 2 * n :])
+    new = tanh(table_row[:, 2 * n :] + r * hw[:, 2 * n :])
     return new + z * (h - new), (z, r, new, hw[:, 2 * n :])
 
 
 def train_window(net: Net, x: np.ndarray, y: np.ndarray, h: np.ndarray, end: int):
-    """Loss gradients of one window of streams (streams, steps) and the state after it."""
-    steps, states, kept, inputs = x.shape[1], [], [], []
+    """Loss gradients of one window of streams (streams, steps) and the state after it.
+
+    The ids' input rows are worked out once for the window, and the rows' gradients
+    are added up by id before they go back through the input weights.
+    """
+    steps, b = x.shape[1], len(x)
+    states, kept, inputs = [], [], []
+    ids, place = np.unique(x.T.ravel(), return_inverse=True)
+    table = net["embed"][ids] @ net["wx"] + net["b"]
+    place = place.reshape(steps, b)
+    live = (x != end).astype(h.dtype).T[:, :, None]
     for t in range(steps):
         # A text starts from an empty state.
-        h = h * (x[:, t] != end)[:, None]
-        row = net["embed"][x[:, t]] @ net["wx"] + net["b"]
+        h = h * live[t]
         inputs.append(h)
-        h, more = cell(row, h, net["wh"])
+        h, more = cell(table[place[t]], h, net["wh"])
         kept.append(more)
         states.append(h)
-    flat = np.concatenate(states)
-    logp, grads, dflat = output(net, flat, y.T.ravel(), backward=True)
-    for k in ("embed", "wx", "wh", "b"):
-        grads[k] = np.zeros_like(net[k])
-    dh, b = np.zeros_like(h), len(h)
+    logp, grads, dflat = output(net, np.concatenate(states), y.T.ravel(), backward=True)
+    dh, wh_t = np.zeros_like(h), net["wh"].T.copy()
+    n = h.shape[1]
+    drows = np.empty((steps, b, 3 * n), h.dtype)
+    dhws = np.empty((steps, b, 3 * n), h.dtype)
     for t in reversed(range(steps)):
         dh = dh + dflat[t * b : (t + 1) * b]
         z, r, new, hn = kept[t]
-        before = inputs[t]
         dnew = dh * (1 - z) * (1 - new * new)
-        dz = dh * (before - new) * z * (1 - z)
-        dr = dnew * hn * r * (1 - r)
-        drow = np.concatenate((dz, dr, dnew), 1)
-        dhw = np.concatenate((dz, dr, dnew * r), 1)
-        grads["wh"] += before.T @ dhw
-        e = net["embed"][x[:, t]]
-        grads["wx"] += e.T @ drow
-        grads["b"] += drow.sum(0)
-        np.add.at(grads["embed"], x[:, t], drow @ net["wx"].T)
-        dh = (dh * z + dhw @ net["wh"].T) * (x[:, t] != end)[:, None]
-    return grads, h, float(logp.sum())
-
-
-def train(net: Net, ids: np.ndarray, end: int, streams: int = 96, steps: int = 16, rate: float = 0.05) -> Net:
-    """One pass of truncated backpropagation over a run of texts, each closed by ``end``."""
+        drow, dhw = drows[t], dhws[t]
+        drow[:, :n] = dh * (inputs[t] - new) * z * (1 - z)
+        drow[:, n : 2 * n] = dnew * hn * r * (1 - r)
+        drow[:, 2 * n :] = dnew
+        dhw[:, : 2 * n] = drow[:, : 2 * n]
+        dhw[:, 2 * n :] = dnew * r
+        dh = (dh * z + dhw @ wh_t) * live[t]
+    grads["wh"] = np.concatenate(inputs).T @ dhws.reshape(-1, 3 * n)
+    drows, order = drows.reshape(-1, 3 * n), np.argsort(place.ravel(), kind="stable")
+    firsts = np.searchsorted(place.ravel()[order], np.arange(len(ids)))
+    dtable = np.add.reduceat(drows[order], firsts, axis=0)
+    grads["b"] = dtable.sum(0)
+    grads["wx"] = net["embed"][ids].T @ dtable
+    grads["embed"] = np.zeros_like(net["embed"])
+    grads["embed"][ids] = dtable @ net["wx"].T
+    return {k: grads[k] for k in net}, h, float(logp.sum())
+
+
+def train(
+    net: Net, ids: np.ndarray, end: int, streams: int = 1024, steps: int = 16, rate: float = 0.2, squares: Net | None = None
+) -> Net:
+    """One pass of truncated backpropagation over a run of texts, each closed by ``end``.
+
+    Gradients are summed over a window's ids and bounded in proportion to their
+    number. ``squares`` carries AdaGrad's sums from run to run; it is changed.
+    """
     net = {k: v.copy() for k, v in net.items()}
-    squares = {k: np.full_like(v, 1.0) for k, v in net.items()}
+    squares = {} if squares is None else squares
+    for k, v in net.items():
+        squares.setdefault(k, np.full_like(v, 1.0))
     streams = max(1, min(streams, len(ids) // (2 * steps)))
     # The first ``more`` streams are longer by one id, so that every id is in one.
     length, more = divmod(len(ids), streams)
@@ -291,10 +370,11 @@ def train(net: Net, ids: np.ndarray, end: int, streams: int = 96, steps: int = 1
     windows = [(streams, t, min(t + steps, length)) for t in range(0, length, steps)]
     for live, t, to in [*windows, (more, length, length + 1)] if more else windows:
         grads, h, _ = train_window(net, x[:live, t:to], y[:live, t:to], h[:live], end)
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-        scale = min(1.0, 50.0 / (norm + 1e-9))
+        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
+        bound = max(50.0, live * (to - t) * BOUND)
+        scale = net["b"].dtype.type(min(1.0, bound / (norm + 1e-9)))
         for k, g in grads.items():
-            g = g * scale
+            g *= scale
             squares[k] += g * g
             net[k] -= rate * g / np.sqrt(squares[k])
     return net
@@ -356,53 +436,26 @@ def _net_of(vector: np.ndarray, like: Net) -> Net:
     return {k: p.reshape(v.shape).astype(np.float32) for (k, v), p in zip(like.items(), np.split(vector, cuts), strict=True)}
 
 
-def train_round(rows: DataFrame, net: Net, words: Words, block: int = 32_768) -> Net:
-    """Every task trains on its documents from ``net``; the weights are averaged by tokens.
-
-    Averages go in two levels of groups, so no group has more than about the
-    64th part of the tasks' blocks.
-    """
+def train_round(rows: DataFrame, net: Net, words: Words) -> Net:
+    """Every task trains on its documents from ``net``; the weights are averaged by tokens."""
     sent = rows.sparkSession.sparkContext.broadcast((net, words))
 
     def run(batches: Batches) -> Batches:
         mine, known = sent.value
-        end, tokens = end_id(known), 0
+        end, tokens, squares = end_id(known), 0, {}
         for some in slices(batches, texts, 4 << 20):
             hashes, bounds, *_ = tokenise(some)
             ids = look_up(known, hashes)[0]
             ids = np.insert(ids, bounds[1:], end)
-            mine = train(mine, ids, end)
+            mine = train(mine, ids, end, squares=squares)
             tokens += len(ids)
         if tokens:
-            vector, task = _blocks(mine).astype(np.float64) * tokens, TaskContext.get().partitionId()
-            cuts = range(0, len(vector), block)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "lane": pa.array([task % 64] * len(cuts), pa.int32()),
-                    "block": pa.array(list(cuts), pa.int32()),
-                    "weight": pa.array([float(tokens)] * len(cuts)),
-                    "sums": pa.array([vector[i : i + block] for i in cuts], pa.list_(pa.float64())),
-                }
-            )
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(v.values.to_numpy() for v in table.column("sums"))
-        weight = sum(table.column("weight").to_pylist())
-        return pa.table(
-            {
-                "lane": pa.array([table.column("lane")[0].as_py()], pa.int32()),
-                "block": pa.array([table.column("block")[0].as_py()], pa.int32()),
-                "weight": pa.array([weight]),
-                "sums": pa.array([total], pa.list_(pa.float64())),
-            }
-        )
+            part = np.append(_blocks(mine).astype(np.float64) * tokens, tokens)
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.list_(pa.float64()))], names=["part"])
 
-    ddl = "lane int, block int, weight double, sums array<double>"
-    lanes = in_arrow(rows, run, ddl).groupBy("lane", "block").applyInArrow(add, ddl)
-    found = sorted(lanes.groupBy("block").applyInArrow(add, ddl).collect(), key=lambda r: r.block)
-    if not found:
-        return net
-    return _net_of(np.concatenate([np.array(r.sums) / r.weight for r in found]), net)
+    size = sum(v.size for v in net.values())
+    total = summed(in_arrow(rows, run, "part array<double>"), "part", size + 1)
+    return _net_of(total[:-1] / total[-1], net) if total[-1] else net
 
 
 def language_scores(
