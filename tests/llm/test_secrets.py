@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tidemark.llm import secrets as sec
 
@@ -97,3 +98,12 @@ def test_awkward(spark, awkward):
     kept = {r.doc_id: (r.text, r.n_chars) for r in clean.collect()}
     assert kept[8] == ("password=[SECRET]", 17) and kept[1] == (None, 5) and kept[2] == ("", 0)
     assert sec.secret_report(docs.limit(0)).count() == sec.without_secrets(docs.limit(0)).count() == 0
+
+
+def test_word_counts_do_not_depend_on_partitions(documents):
+    def counts(parts):
+        rows = sec.scan(documents.repartition(parts)).where("word is not null")
+        return dict(rows.groupBy("word").agg(F.sum("n")).collect())
+
+    few = counts(1)
+    assert few == counts(7) and min(few.values()) == 1

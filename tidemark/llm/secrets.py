@@ -230,8 +230,11 @@ class Judge:
 CANDIDATE = "struct<start:int,end:int,key:string,value:string,before:string,after:string>"
 
 
-def scan(docs: DataFrame, least: int = 8, local_count: int = 3) -> DataFrame:
-    """A row per document with its candidates, and per common word of a task's share with its count."""
+def scan(docs: DataFrame, least: int = 8) -> DataFrame:
+    """A row per document with its candidates, and per word of a task's share with its count there.
+
+    All words are given, so their sums are those of the corpus however it is partitioned.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
     one = pa.struct([("start", pa.int32()), ("end", pa.int32()), *((k, pa.string()) for k in ("key", "value", "before", "after"))])
     names = ["doc_id", "found", "word", "n"]
@@ -254,9 +257,8 @@ def scan(docs: DataFrame, least: int = 8, local_count: int = 3) -> DataFrame:
         yield words(counts, id_type)
 
     def words(counts: Counter, id_type: pa.DataType) -> pa.RecordBatch:
-        often = [(w, k) for w, k in counts.items() if k >= local_count]
-        size = len(often)
-        columns = [pa.nulls(size, id_type), pa.nulls(size, pa.list_(one)), pa.array([w for w, _ in often], pa.string()), pa.array([k for _, k in often], pa.int64())]
+        size = len(counts)
+        columns = [pa.nulls(size, id_type), pa.nulls(size, pa.list_(one)), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     ddl = f"doc_id {kind}, found array<{CANDIDATE}>, word string, n long"
