@@ -36,6 +36,35 @@ def test_sum_over_segmentations(toy):
             assert got == pytest.approx(math.log(by_hand(b" " + w, table)), rel=1e-9)
 
 
+def test_long_words_are_summed_over_the_parts_borders(toy):
+    """Words around and beyond the length worked on at once, against one pass over the whole word."""
+    strings, pieces, p = toy
+    rng = np.random.default_rng(3)
+    words = [bytes(rng.choice(list(b"abc"), n)) for n in (254, 255, 256, 257, 300, 511, 512, 513, 2000, 7)]
+    buffer = li.joined(words)
+    starts = np.cumsum([1, *[len(w) + 1 for w in words[:-1]]])
+    logs = li.word_logs(pieces, p, buffer, starts, starts + [len(w) for w in words])
+    for k in range(2):
+        table = dict(zip(strings, p[:, k], strict=True))
+        for word, got in zip(words, logs[:, k], strict=True):
+            w, sums, scale = b" " + word, [1.0], 0.0
+            for i in range(1, len(w) + 1):
+                # Sums over the last places, with what was taken out of them in ``scale``.
+                sums.append(sum(sums[-n] * table.get(w[i - n : i], 0.0) for n in range(1, min(i, 8) + 1)))
+                if sums[-1] < 1e-200:
+                    sums = [x * 1e200 for x in sums[-10:]]
+                    scale -= math.log(1e200)
+            assert got == pytest.approx(math.log(sums[-1]) + scale, rel=1e-9)
+
+
+def test_no_piece_is_left_out():
+    from sentencepiece import SentencePieceProcessor
+
+    model = SentencePieceProcessor(model_file=PIECES)
+    longest = max(len(model.id_to_piece(i).replace("▁", " ").encode()) for i in range(259, model.get_piece_size()))
+    assert longest > 16 and max(map(len, li.piece_strings(PIECES))) == longest
+
+
 def test_expected_counts(toy):
     """The expected counts are p times the slope of the log probability."""
     strings, pieces, p = toy

@@ -20,8 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import SPACED, Batches, in_arrow, texts, word_hashes
 from tidemark.session import written
 
-LONGEST = 16  # bytes of a piece
-RUN = 256  # longer words are cut at so many bytes
+RUN = 256  # bytes of a word that are worked on at once
 MULTIPLIER = np.uint64(0x100000001B3)
 SCALE = 24.0  # keeps products of byte-wise probabilities near one
 
@@ -35,7 +34,7 @@ def piece_strings(path: str) -> list[bytes]:
     for i in range(model.get_piece_size()):
         if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)):
             piece = model.id_to_piece(i).replace("▁", " ").encode()
-            if 0 < len(piece) <= LONGEST:
+            if piece:
                 found[piece] = None
     return list(found)
 
@@ -45,6 +44,7 @@ class Pieces:
 
     def __init__(self, strings: list[bytes]):
         self.strings = strings
+        self.longest = max(map(len, strings))
         ids: dict[bytes, int] = {}
         for i, s in enumerate(strings):
             for n in range(1, len(s)):
@@ -86,13 +86,13 @@ class Pieces:
             at[left] = (at[left] + 1) % len(self.keys)
         return begins, value
 
-    def edges(self, words: np.ndarray, lengths: np.ndarray) -> list[list[tuple[int, np.ndarray, np.ndarray]]]:
-        """For each place, the pieces that start there: (bytes, words, piece ids)."""
+    def edges(self, words: np.ndarray, lengths: np.ndarray, places: int | None = None) -> list[list[tuple[int, np.ndarray, np.ndarray]]]:
+        """For each place, or the first ``places``, the pieces that start there: (bytes, words, piece ids)."""
         out = []
-        for i in range(words.shape[1]):
+        for i in range(min(words.shape[1], places or words.shape[1])):
             live = np.flatnonzero(lengths > i)
             h, here = np.zeros(len(live), np.uint64), []
-            for n in range(1, min(LONGEST, words.shape[1] - i) + 1):
+            for n in range(1, min(self.longest, words.shape[1] - i) + 1):
                 ok = lengths[live] >= i + n
                 live, h = live[ok], h[ok]
                 if not len(live):
@@ -145,15 +145,56 @@ def word_logs(pieces: Pieces, p: np.ndarray, buffer: bytes, starts: np.ndarray,
     """ln probability of each word under each language; ``buffer`` has a blank before each word."""
     data = np.frombuffer(buffer, np.uint8)
     out = np.zeros((len(starts), p.shape[1]))
-    for rows, edges, lengths, width in _groups(pieces, data, starts, ends, p.shape[1]):
+    long = ends - starts + 1 > RUN
+    short = np.flatnonzero(~long)
+    for rows, edges, lengths, width in _groups(pieces, data, starts[short], ends[short], p.shape[1]):
         alpha = forward(edges, p, lengths, width)
-        logs = np.log(np.maximum(alpha[np.arange(len(rows)), lengths], 1e-300)) - (lengths * np.log(SCALE))[:, None]
-        np.add.at(out, rows, logs)
+        out[short[rows]] = np.log(np.maximum(alpha[np.arange(len(rows)), lengths], 1e-300)) - (lengths * np.log(SCALE))[:, None]
+    rows = np.flatnonzero(long)
+    for i in range(0, len(rows), 1024):
+        some = rows[i : i + 1024]
+        out[some] = _long_logs(pieces, p, data, starts[some] - 1, ends[some])
+    return out
+
+
+def _long_logs(pieces: Pieces, p: np.ndarray, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The same for long words, ``RUN`` bytes at a time.
+
+    Pieces may reach over a part's end: the forward values there are carried into the
+    next part, with the logarithm of the greatest taken out, so all segmentations count.
+    """
+    reach = pieces.longest
+    logs, out = np.zeros((len(begins), p.shape[1])), np.zeros((len(begins), p.shape[1]))
+    carried = np.zeros((len(begins), reach + 1, p.shape[1]))
+    carried[:, 0] = 1
+    live = np.arange(len(begins))
+    while len(live):
+        left = ends[live] - begins[live]
+        lengths = np.minimum(left, RUN + reach)
+        words = matrix(data, begins[live], lengths)
+        alpha = np.zeros((len(live), RUN + reach + 1, p.shape[1]))
+        alpha[:, : reach + 1] = carried
+        for i, here in enumerate(pieces.edges(words, lengths, RUN)):
+            for n, w, piece in here:
+                alpha[w, i + n] += alpha[w, i] * p[piece] * SCALE**n
+        done = left <= RUN
+        at = np.flatnonzero(done)
+        out[live[at]] = logs[live[at]] + np.log(np.maximum(alpha[at, left[at]], 1e-300)) - np.log(SCALE) * left[at][:, None]
+        live, alpha = live[~done], alpha[~done]
+        carried = alpha[:, RUN:]
+        greatest = np.maximum(carried.max(1), 1e-300)
+        carried = carried / greatest[:, None]
+        logs[live] += np.log(greatest) - RUN * np.log(SCALE)
+        begins = begins.copy()
+        begins[live] += RUN
     return out
 
 
 def _groups(pieces: Pieces, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, languages: int):
-    """Words of like length together, those beyond ``RUN`` bytes in runs: rows, edges, lengths, width."""
+    """Words of like length together: rows, edges, lengths, width.
+
+    For fitting, words beyond ``RUN`` bytes are cut into runs; scores never are.
+    """
     begins, rows = starts - 1, np.arange(len(starts))
     lengths = ends - begins
     if len(lengths) and lengths.max() > RUN:
