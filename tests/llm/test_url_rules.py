@@ -1,7 +1,11 @@
 import re
+from urllib.parse import urljoin
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.llm import sql
 from tidemark.llm import url_rules as ur
 from tidemark.llm.queries import URL_RULES
 
@@ -80,3 +84,45 @@ def test_hosts_and_paths(linked):
     got = {(r.host, r.path) for r in ur.judged(linked, RULES).collect()}
     assert got == {split(r.url) for r in linked.collect()}
     assert ur.judged(linked.limit(0), RULES).count() == 0
+
+
+TARGETS = [
+    "next.html", "./next.html", "../up", "../../top/x", "../../../../over", "dir/", "dir/../x?y=1", "?x=1&amp;y=2", "#part", ".", "..",
+    "/root/../a", "//other.org/z", "https://full.org/p", "mailto:a@b.org", "javascript:void(0)", "a?b=../c", "x#y", "/", "a:b", "a/./b",
+]
+
+
+def resolved(target, base):
+    """By the standard library, whose rules are those of the web."""
+    target = target.replace("&amp;", "&")
+    if re.match(r"[A-Za-z][A-Za-z0-9+.\-]*:(?!//)", target):
+        return None
+    return urljoin(base, target)
+
+
+def test_relative_targets(spark):
+    bases = ["http://h.org/a/b/c.html?q=1#f", "http://h.org", "http://h.org/", "https://h.org/a/b/", "http://h.org/x"]
+    rows = [(b, t) for b in bases for t in TARGETS]
+    html = F.concat(F.lit('<link rel="canonical" href="'), F.col("t"), F.lit('">'))
+    df = spark.createDataFrame(rows, "b string, t string").withColumn("x", F.explode(ur.named_targets(html)))
+    forms = df.select("b", "t", ur.normal_form(ur.absolute(F.col("x"), F.col("b"))).alias("got")).collect()
+    wanted = {(b, t): resolved(t, b) for b, t in rows}
+    given = spark.createDataFrame([(*k, v) for k, v in wanted.items()], "b string, t string, v string")
+    expected = {(r.b, r.t): r.v for r in given.select("b", "t", ur.normal_form(F.col("v")).alias("v")).collect()}
+    assert len(forms) == len(rows) and {(r.b, r.t): r.got for r in forms} == expected
+
+
+def test_all_links_are_edges_as_in_sql(spark, linked):
+    """Several canonical links and refreshes on a page, relative and escaped ones; the SQL gives the same verdicts."""
+    two = page("http://left.org/") + page("../y?z=1&amp;k=2") + page(refresh="other/../x")
+    rows = [
+        (20, "http://bad.org/s/t", two), (21, "http://bad.org/y?z=1&k=2", None), (22, "http://bad.org/s/x", None),
+        (23, "http://free.org/d/e", page("f") + page("//bad.org/s/t")), (24, "http://free.org/d/f", None),
+    ]
+    pages = linked.select("page_id", "url", "html").unionByName(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = sorted((tuple(r) for r in ur.judged(pages, RULES).collect()), key=repr)
+    verdicts = {r[0]: r[4] for r in got}
+    assert verdicts[6] == verdicts[23] == verdicts[24] == "block"
+    connection = duckdb.connect()
+    connection.register("pages", pages.toArrow())
+    assert sorted(connection.sql(sql.url_verdicts(RULES)).fetchall(), key=repr) == got

@@ -107,14 +107,29 @@ WITH RECURSIVE p AS (SELECT *, {form} AS form FROM ({parts("(SELECT page_id, url
 ruled AS (SELECT *, CASE{cases} END AS rule FROM p),
 own AS (SELECT *, CASE rule{verdicts} END AS own FROM ruled),
 named AS (
-  SELECT form AS s, host AS h, unnest([
-    regexp_extract(regexp_extract(html, '(?is)(<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>)', 1), '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1),
-    regexp_extract(regexp_extract(html, '(?is)(<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>)', 1), '(?is)\\burl\\s*=\\s*["'']?([^"''\\s>;]+)', 1)
-  ]) AS t FROM p WHERE form IS NOT NULL
+  SELECT form AS s, host AS h, path AS p, u AS page, unnest(list_concat(
+    list_transform(coalesce(regexp_extract_all(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>'), []),
+      lambda x: replace(regexp_extract(x, '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1), '&amp;', '&')),
+    list_transform(coalesce(regexp_extract_all(html, '(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>'), []),
+      lambda x: replace(regexp_extract(x, '(?is)\\burl\\s*=\\s*["'']?([^"''\\s>;]+)', 1), '&amp;', '&'))
+  )) AS t FROM p WHERE form IS NOT NULL
+),
+cut AS (
+  SELECT *, regexp_extract(t, '^[^?#]*') AS c,
+         CASE WHEN starts_with(t, '/') THEN '' WHEN p = '' THEN '/' ELSE regexp_replace(p, '[^/]*$', '') END AS folder
+  FROM named WHERE t <> ''
+),
+joined AS (
+  SELECT *, substr(t, length(c) + 1) AS tail,
+         array_to_string(list_reduce(list_transform(string_split(folder || c, '/'), lambda x: [x]),
+           lambda a, b: CASE b[1] WHEN '.' THEN a WHEN '..' THEN a[:greatest(len(a) - 1, 1)] ELSE list_concat(a, b) END), '/') AS whole
+  FROM cut
 ),
 targets AS (
   SELECT s, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN 'http:' || t
-                 WHEN starts_with(t, '/') THEN 'http://' || h || t END AS u FROM named WHERE t <> ''
+                 WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN NULL
+                 WHEN starts_with(t, '?') THEN 'http://' || h || p || t WHEN starts_with(t, '#') THEN page
+                 ELSE 'http://' || h || whole || tail END AS u FROM joined
 ),
 edges AS (SELECT s, {form} AS t FROM ({parts("targets")})),
 links AS (SELECT s AS a, t AS b FROM edges WHERE t IS NOT NULL UNION SELECT t, s FROM edges WHERE t IS NOT NULL),

@@ -50,20 +50,50 @@ def normal_form(url: Column) -> Column:
 
 
 def named_targets(html: Column) -> Column:
-    """Addresses that a page names canonical or refreshes to; elements may be null."""
-    canonical = F.regexp_extract(html, r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)", 1)
-    refresh = F.regexp_extract(html, r"(?is)(<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>)", 1)
-    href = F.regexp_extract(canonical, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    target = F.regexp_extract(refresh, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)", 1)
-    return F.array(*[F.when(x != "", x) for x in (href, target)])
+    """All addresses that a page's links name canonical or its refreshes lead to, with ``&amp;`` read as ``&``."""
+
+    def found(tag: str, value: str) -> Column:
+        tags = F.regexp_extract_all(html, F.lit(tag), F.lit(0))
+        return F.transform(tags, lambda t: F.replace(F.regexp_extract(t, value, 1), F.lit("&amp;"), F.lit("&")))
+
+    hrefs = found(r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)")
+    targets = found(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)")
+    return F.filter(F.concat(hrefs, targets), lambda t: t != "")
+
+
+def _without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` segments resolved; the root has no parent."""
+    return F.array_join(
+        F.reduce(
+            F.split(path, "/"),
+            F.array().cast("array<string>"),
+            lambda kept, part: F.when(part == ".", kept)
+            .when(part == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1))))
+            .otherwise(F.concat(kept, F.array(part))),
+        ),
+        "/",
+    )
 
 
 def absolute(target: Column, url: Column) -> Column:
-    """A target seen from the page's address; null if it can't be told."""
+    """A target seen from the page's address; null if it can't be told.
+
+    Relative ones replace what follows the last slash of the page's path, a bare
+    query the page's query; a bare fragment is the page itself. Targets with another
+    scheme than ``x://`` (``mailto:`` and the like) can't be told.
+    """
+    host, path = F.concat(F.lit("http://"), host_of(url)), path_of(url)
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, r"[^/]*$", ""))
+    cut = F.regexp_extract(target, r"^(?s:[^?#]*)", 0)
+    rest = F.substring(target, F.length(cut) + 1, F.length(target))
+    whole = F.when(F.startswith(target, F.lit("/")), cut).otherwise(F.concat(folder, cut))
     return (
         F.when(F.instr(target, "://") > 0, target)
         .when(F.startswith(target, F.lit("//")), F.concat(F.lit("http:"), target))
-        .when(F.startswith(target, F.lit("/")), F.concat(F.lit("http://"), host_of(url), target))
+        .when(F.regexp_like(target, F.lit(r"^[A-Za-z][A-Za-z0-9+.\-]*:")), F.lit(None).cast("string"))
+        .when(F.startswith(target, F.lit("?")), F.concat(host, path, target))
+        .when(F.startswith(target, F.lit("#")), url)
+        .otherwise(F.concat(host, _without_dots(whole), rest))
     )
 
 
