@@ -237,58 +237,58 @@ def tanh(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def softmax(x: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """ln probability of each row's chosen place, the rows' exponentials and the inverse of their sums."""
-    ones = np.ones(x.shape[1], x.dtype)
-    with np.errstate(over="ignore"):
-        e = np.exp(x)
-    total = e @ ones
-    # Rows out of the exponential's range are moved to their greatest entry.
-    far = np.flatnonzero(~((total > 1e-25) & (total < 1e25)))
-    if len(far):
-        x = x.copy()
-        x[far] -= x[far].max(1, keepdims=True)
-        e[far] = np.exp(x[far])
-        total[far] = e[far] @ ones
-    return x[np.arange(len(x)), chosen] - np.log(total), e, 1 / total
-
-
-def output(net: Net, h: np.ndarray, target: np.ndarray, backward: bool = False):
+def softmax(x: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """ln probability of each row's chosen place, and the inverse of the rows' sums; ``x`` becomes its exponentials."""
+    if x.max() > 60 or x.min() < -60:
+        x -= x.max(1, keepdims=True)
+    picked = x[np.arange(len(x)), chosen]
+    np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)
+    return picked - np.log(total), 1 / total
+
+
+def output(net: Net, h: np.ndarray, target: np.ndarray, backward: bool = False, part: int = 4096):
     """ln probabilities of the targets; with ``backward`` also the gradients of their negative sum.
 
-    Places are put in the order of their classes once, so each class is a slice.
+    Places are put in the order of their classes once, so each class is a slice, and
+    worked on a ``part`` at a time, so that a part's tables stay in the cache.
     """
     order = np.argsort(target, kind="stable")
-    h, target = h[order], target[order]
-    kind, inner = target // CLASS, target % CLASS
-    rows = np.arange(len(h))
-    logp, dc, over = softmax(h @ net["cw"] + net["cb"], kind)
-    edges = np.searchsorted(kind, np.arange(len(net["cb"]) + 1))
-    do = np.empty((len(h), CLASS), h.dtype)
-    used = np.flatnonzero(np.diff(edges))
-    for c in used:
-        some = slice(edges[c], edges[c + 1])
-        np.matmul(h[some], net["ow"][c], out=do[some])
-        do[some] += net["ob"][c]
-    within, do, inner_over = softmax(do, inner)
-    logp = logp + within
-    out = np.empty(len(h), logp.dtype)
-    out[order] = logp
-    if not backward:
-        return out
-    dc *= over[:, None]
-    do *= inner_over[:, None]
-    dc[rows, kind] -= 1
-    do[rows, inner] -= 1
-    grads = {"cw": h.T @ dc, "cb": dc.sum(0), "ow": np.zeros_like(net["ow"]), "ob": np.zeros_like(net["ob"])}
-    dh = dc @ net["cw"].T
-    for c in used:
-        some = slice(edges[c], edges[c + 1])
-        grads["ow"][c], grads["ob"][c] = h[some].T @ do[some], do[some].sum(0)
-        dh[some] += do[some] @ net["ow"][c].T
-    back = np.empty_like(dh)
-    back[order] = dh
-    return out, grads, back
+    kind, inner = np.divmod(target[order], CLASS)
+    out = np.empty(len(h), h.dtype)
+    grads = {k: np.zeros_like(net[k]) for k in ("cw", "cb", "ow", "ob")} if backward else {}
+    back = np.empty_like(h)
+    cw_t = net["cw"].T.copy()
+    for begin in range(0, len(h), part):
+        at = order[begin : begin + part]
+        hs, k, i = h[at], kind[begin : begin + part], inner[begin : begin + part]
+        rows = np.arange(len(at))
+        dc = hs @ net["cw"]
+        dc += net["cb"]
+        logp, over = softmax(dc, k)
+        edges = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1], [True])))
+        do = np.empty((len(at), CLASS), h.dtype)
+        slices = [(int(k[a]), slice(a, b)) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        for c, some in slices:
+            np.matmul(hs[some], net["ow"][c], out=do[some])
+            do[some] += net["ob"][c]
+        within, inner_over = softmax(do, i)
+        out[at] = logp + within
+        if not backward:
+            continue
+        dc *= over[:, None]
+        do *= inner_over[:, None]
+        dc[rows, k] -= 1
+        do[rows, i] -= 1
+        grads["cw"] += hs.T @ dc
+        grads["cb"] += dc.sum(0)
+        dh = dc @ cw_t
+        for c, some in slices:
+            grads["ow"][c] += hs[some].T @ do[some]
+            grads["ob"][c] += do[some].sum(0)
+            dh[some] += do[some] @ net["ow"][c].T
+        back[at] = dh
+    return (out, grads, back) if backward else out
 
 
 def cell(table_row: np.ndarray, h: np.ndarray, wh: np.ndarray):
@@ -393,29 +393,29 @@ def end_id(words: Words) -> int:
     return int(look_up(words, np.array([END]))[0][0])
 
 
-def score_texts(net: Net, words: Words, ids: np.ndarray, bounds: np.ndarray, window: int = 1 << 15) -> np.ndarray:
+def score_texts(net: Net, words: Words, ids: np.ndarray, bounds: np.ndarray, window: int = 1 << 14) -> np.ndarray:
     """log10 probability of each text's ids and its end, the state carried through the text."""
-    lengths = np.diff(bounds)
-    order = np.argsort(-lengths, kind="stable")
-    lengths, begins = lengths[order], bounds[:-1][order]
     end = end_id(words)
+    ids, lengths = np.insert(ids, bounds[1:], end), np.diff(bounds) + 1
+    order = np.argsort(-lengths, kind="stable")
+    begins = (np.cumsum(lengths) - lengths)[order]
+    longest = int(lengths.max(initial=0))
+    # Texts are in falling length: those with a token at t come first.
+    lives = len(order) - np.searchsorted(np.sort(lengths), np.arange(longest), "right")
     table = net["embed"] @ net["wx"] + net["b"]
     h = np.zeros((len(order), net["wh"].shape[0]), np.float32)
-    total = np.zeros(len(order))
+    total, rows = np.zeros(len(order)), np.arange(len(order))
     last = np.full(len(order), end)
     states, targets, who, held = [], [], [], 0
-    for t in range(int(lengths[0]) + 1 if len(order) else 0):
-        # Texts are in falling length: those with a token or their end at t come first.
-        live = int(np.searchsorted(-lengths, -t, "right"))
-        h[:live], _ = cell(table[last[:live]], h[:live], net["wh"])
-        target = np.where(lengths[:live] == t, end, ids[np.minimum(begins[:live] + t, len(ids) - 1)] if len(ids) else end)
-        last[:live] = target
-        states.append(h[:live].copy())
-        targets.append(target)
-        who.append(np.arange(live))
+    for t, live in enumerate(lives.tolist()):
+        h, _ = cell(table[last[:live]], h[:live], net["wh"])
+        last = ids[begins[:live] + t]
+        states.append(h)
+        targets.append(last)
+        who.append(rows[:live])
         held += live
         # A window ends when it holds enough places for the output to be worked out at once.
-        if held >= window or t == lengths[0]:
+        if held >= window or t == longest - 1:
             logp = output(net, np.concatenate(states), np.concatenate(targets))
             total += np.bincount(np.concatenate(who), logp, minlength=len(order))
             states, targets, who, held = [], [], [], 0
@@ -492,7 +492,7 @@ def language_scores(
     def run(batches: Batches) -> Batches:
         known_net, known = sent.value
         task, row = TaskContext.get().partitionId(), 0
-        for some in slices(batches, _Rows):
+        for some in slices(batches, _Rows, 24 << 20):
             found = [s.text for s in some]
             hashes, bounds, buffer, starts, ends = tokenise(found)
             ids, seen = look_up(known, hashes)
