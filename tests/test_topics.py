@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +102,46 @@ def test_texts_are_hashed_once(rows, capsys):
     lines = [line.strip(" :+-") for line in plan.splitlines()]
     at = next(i for i, line in enumerate(lines) if "Generate explode(_terms" in line)
     assert "sha2" not in lines[at - 1] and any(line.startswith("Generate inline") and "sha2" in line for line in lines[at:])
+
+
+def test_phrase_tree_gives_the_rows_of_the_literal_plan(rows):
+    rnd = random.Random(4)
+    words = ["a", "b", "c", "dd", "é"]
+    phrases = sorted({" ".join(rnd.choices(words, k=rnd.randint(1, 6))) for _ in range(300)})
+    pairs = rows([(f"t{n % 7}", p) for n, p in enumerate(phrases)], "topic string, keyword string")
+    texts = [(str(n), " ".join(rnd.choices([*words, "x", "y", "z"], k=rnd.randint(0, 12)))) for n in range(150)]
+    texts += [("0", None), (None, None), (None, "a b"), ("7", texts[7][1])]
+    literal = {k: v for k, v in _tag(rows, texts, pairs, mode="phrase").items()}
+    assert len(literal) > 50 and _tag(rows, texts, pairs, mode="phrase", literal_pairs=0) == literal
+
+
+def test_phrase_tree_makes_no_other_runs(rows):
+    """Runs are made only at places whose two words begin a phrase, of the lengths that follow them."""
+    edits = rows([("a", "one two three"), ("b", "two one")], "title string, comment string")
+    pairs = rows([("t", "one two three four five six"), ("u", "two")], "topic string, keyword string")
+    found = T._phrases_that_may_match(
+        T._once(edits, F.col("title"), F.split("comment", " ")),
+        pairs,
+    )
+    assert [tuple(r) for r in found.collect()] == [("a", "one two three")]
+
+
+def test_a_hundred_thousand_phrases(rows, spark):
+    """Phrases of two to six words; every text holds two of them, and nothing else is found."""
+    def phrase(n):
+        return F.concat_ws(" ", *[F.when(F.lit(k) < 2 + n % 5, F.concat(F.lit("w"), (n * 7 + k * (n % 11)) % 900)) for k in range(6)])
+
+    numbers = spark.range(100_000).select(F.col("id").alias("n"), phrase(F.col("id")).alias("keyword"))
+    pairs = numbers.select(F.concat(F.lit("t"), F.col("n") % 50).alias("topic"), "keyword")
+    texts = numbers.where(F.col("n") % 5000 == 3).select(
+        F.concat(F.lit("zz "), "keyword", F.lit(" yy")).alias("title"), F.lit(None).cast("string").alias("comment")
+    )
+    got = {r.title: r.topics for r in T.tag_topics(texts, pairs, mode="phrase").collect()}
+    known = {}
+    for r in pairs.collect():
+        known.setdefault(r.keyword, set()).add(r.topic)
+    assert len(got) == 20
+    for title, topics in got.items():
+        w = title.split(" ")
+        held = {" ".join(w[i:j]) for i in range(len(w)) for j in range(i + 1, len(w) + 1)}
+        assert topics == sorted(set().union(*(known[p] for p in held & known.keys())))

@@ -37,7 +37,7 @@ def topic_keys(topics: DataFrame) -> DataFrame:
     return shown.orderBy("key")
 
 
-def _terms(text: Column, mode: str, longest: int, starts: list[str] | None = None) -> Column:
+def _terms(text: Column, mode: str, longest: int, starts: list[str]) -> Column:
     if mode == "ascii_token":
         return T.ascii_tokens(text)
     if mode == "unicode_token":
@@ -113,16 +113,17 @@ def _tag_by_literals(edits, by_topic, columns, mode, longest) -> DataFrame:
 
 
 def _tag_by_join(edits, pairs, columns, mode, longest) -> DataFrame:
-    """For dictionaries of any size; only (text hash, term) pairs are shuffled.
+    """For dictionaries of any size; only texts' words and (text hash, term) pairs are shuffled.
 
     Each distinct text is tagged once, and rows find their topics by its digest.
     """
     text = T.joined_lower(*columns)
     digest = F.sha2(text.cast("binary"), 256)
-    # Generating digest and terms together hashes a text once; projected, the digest
-    # would be worked out above the terms, once for each of them.
-    bound = F.struct(digest.alias("_text_id"), F.array_distinct(_terms(text, mode, longest)).alias("_terms"))
-    exploded = edits.select(F.inline(F.array(bound))).select("_text_id", F.explode("_terms").alias("keyword")).dropDuplicates()
+    terms = F.array_distinct(T.ascii_tokens(text) if mode == "ascii_token" else T.unicode_tokens(text))
+    exploded = _once(edits, digest, terms).select("_text_id", F.explode("_terms").alias("keyword")).dropDuplicates()
+    if longest > 1:
+        words = _once(edits, digest, T.unicode_tokens(text))
+        exploded = exploded.unionByName(_phrases_that_may_match(words, pairs))
     # One row per keyword, so that the dictionary side is unique.
     topics_of = pairs.groupBy("keyword").agg(F.collect_set("topic").alias("_topics"))
     found = (
@@ -133,3 +134,38 @@ def _tag_by_join(edits, pairs, columns, mode, longest) -> DataFrame:
     )
     tagged = fact_dim_join(edits.withColumn("_text_id", digest), found, ["_text_id"])
     return tagged.select(*edits.columns, "topics")
+
+
+def _once(edits: DataFrame, digest: Column, terms: Column) -> DataFrame:
+    """(_text_id, _terms) per row.
+
+    Generating digest and terms together hashes a text once; projected, the digest
+    would be worked out above the terms, once for each of them.
+    """
+    return edits.select(F.inline(F.array(F.struct(digest.alias("_text_id"), terms.alias("_terms")))))
+
+
+def _phrases_that_may_match(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(text id, phrase) for runs of words that begin like a phrase of the dictionary and are as long as one.
+
+    The dictionary's phrases are a tree of two levels: their first two words, and the
+    lengths that follow. A text's neighbouring words meet the first level, and only the
+    places that are in it make runs, of those lengths.
+    """
+    split = pairs.select(F.split("keyword", " ").alias("_w")).where(F.size("_w") > 1)
+    nodes = split.select(F.concat_ws(" ", F.get("_w", F.lit(0)), F.get("_w", F.lit(1))).alias("_begin"), F.size("_w").alias("_length"))
+    branches = nodes.groupBy("_begin").agg(F.sort_array(F.collect_set("_length")).alias("_lengths"))
+    once = texts.where(F.size("_terms") > 1).dropDuplicates(["_text_id"])
+    two = F.transform(
+        F.sequence(F.lit(1), F.size("_terms") - 1), lambda p: F.concat_ws(" ", F.element_at("_terms", p), F.element_at("_terms", p + 1))
+    )
+    begun = once.select("_text_id", F.posexplode(two).alias("_at", "_begin"))
+    met = fact_dim_join(begun, branches, ["_begin"], spread_by=["_text_id", "_at"])
+    places = met.groupBy("_text_id").agg(F.collect_list(F.struct("_at", "_lengths")).alias("_places"))
+
+    def runs(place: Column) -> Column:
+        return F.transform(place["_lengths"], lambda n: F.array_join(F.slice("_terms", place["_at"] + 1, n), " "))
+
+    # A run cut short by the end of the text is one of the shorter runs, or no phrase.
+    found = once.join(places, "_text_id")
+    return found.select("_text_id", F.explode(F.array_distinct(F.flatten(F.transform("_places", runs)))).alias("keyword"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import sorted_text
 from tidemark.functions.times import parse_iso
-from tidemark.operators import articles, geo
+from tidemark.operators import articles, documents, geo
 from tidemark.operators.dedup import one_per_id
 from tidemark.plans import dashboard, signals, views
 from tidemark.queries.registry import ACTIVITY_HOUR, AS_OF, EDITS, query, with_
@@ -134,6 +134,36 @@ def json_field(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT event_id, event_type = 'error' AS malformed,
+       CASE WHEN event_type <> 'error' THEN event_id END AS id,
+       CASE WHEN event_type <> 'error' AND value >= 10 THEN 50 END AS old_len,
+       CASE WHEN event_type <> 'error' THEN CAST(trunc(value) AS INTEGER) END AS new_len,
+       CASE WHEN event_type <> 'error' THEN event_type END AS tag,
+       CASE WHEN event_type <> 'error' THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
+       CAST(NULL AS INTEGER) AS tag_as_number, CAST(NULL AS VARCHAR) AS none
+FROM events
+""")
+def document_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Typed fields of nested documents: missing paths, values of other types, and texts cut short."""
+    body = F.to_json(
+        F.struct(
+            F.struct("event_id").alias("meta"),
+            F.struct(F.when(F.col("value") >= 10, 50).alias("old"), F.col("value").cast("int").alias("new")).alias("length"),
+            F.array("event_type").alias("tags"),
+            F.from_json("props", "struct<k:int>").alias("props"),
+        )
+    )
+    text = F.when(F.col("event_type") == "error", F.substring(body, F.lit(1), F.length(body) - 3)).otherwise(body)
+    rows = star.table(spark, folder, "events").select("event_id", text.alias("document"))
+    fields = {
+        "id": ("$.meta.event_id", "bigint"), "old_len": ("$.length.old", "int"), "new_len": ("$.length.new", "int"),
+        "tag": ("$.tags[0]", "string"), "k": ("$.props.k", "int"), "tag_as_number": ("$.tags[0]", "int"),
+        "none": ("$.meta.deep.er", "string"),
+    }
+    return documents.with_fields(rows, "document", fields).drop("document")
+
+
 @query(with_(EDITS) + "SELECT meta_id, added, removed FROM edits")
 def byte_deltas(spark: SparkSession, folder: str) -> DataFrame:
     return star.edits(spark, folder).select("meta_id", "added", "removed")

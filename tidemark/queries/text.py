@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import seeds
@@ -101,6 +101,39 @@ def topic_tagging_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return _tagged(O.tag_topics(_documents(spark, folder), O.keyword_pairs(topics), mode="phrase"))
 
 
+@query("""
+WITH b AS (SELECT regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g') AS text FROM benchmark),
+w AS (SELECT list_filter(string_split(text, ' '), lambda x: x <> '') AS w FROM b),
+pairs AS (
+  SELECT DISTINCT 'w' || n AS topic, array_to_string(w[i:i + n - 1], ' ') AS word
+  FROM w, unnest(range(1, len(w))) p(i), unnest([2, 4, 6]) l(n) WHERE i % 5 = 1 AND i + n - 1 <= len(w)
+),
+texts AS (
+  SELECT doc_id, list_filter(string_split(regexp_replace(lower(lang || ' ' || text), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), lambda x: x <> '') AS w
+  FROM documents
+),
+runs AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + n - 1], ' ') AS word
+  FROM texts, unnest(range(1, len(w))) p(i), unnest([2, 4, 6]) l(n) WHERE i + n - 1 <= len(w)
+)
+SELECT doc_id, string_agg(DISTINCT topic, ', ' ORDER BY topic) AS topics FROM runs JOIN pairs USING (word) GROUP BY doc_id
+""")
+def topic_tagging_long_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """A dictionary of phrases from a table: every fifth run of two, four and six words of the benchmark."""
+    words = T.unicode_tokens(F.lower("text"))
+    places = F.filter(F.sequence(F.lit(1), F.size("w")), lambda i: i % 5 == 1)
+
+    def runs(n: int) -> Column:
+        fitting = F.filter(places, lambda i: i + n - 1 <= F.size("w"))
+        return F.transform(
+            fitting, lambda i: F.struct(F.lit(f"w{n}").alias("topic"), F.array_join(F.slice("w", i, n), " ").alias("keyword"))
+        )
+
+    texts = star.table(spark, folder, "benchmark").select(F.inline(F.array(F.struct(words.alias("w")))))
+    pairs = texts.where(F.size("w") > 0).select(F.inline(F.concat(*[runs(n) for n in (2, 4, 6)]))).dropDuplicates()
+    return _tagged(O.tag_topics(_documents(spark, folder), pairs, mode="phrase", literal_pairs=0))
+
+
 @query(f"""
 SELECT doc_id, len(words) AS tokens, array_to_string(list_sort(words), ', ') AS words
 FROM (SELECT doc_id, list_distinct(list_filter({ASCII_TOKENS}, lambda x: x <> '')) AS words FROM documents)
