@@ -137,3 +137,18 @@ def test_spelling_sums_to_one():
         a, b = chain.code[list(before)]
         each = 10.0 ** (chain.log[a, b, k] - np.where(k == 95, chain.other, 0))
         assert each.sum() + 10.0 ** chain.log[a, b, 0] == pytest.approx(1, abs=0.02)
+
+
+def test_edges_of_words_are_no_bytes():
+    """The edge has a code of its own, and spelling by tables equals a plain walk over a word's bytes."""
+    words = [b"ab", b"\x00a", b"a", "né".encode(), b"\x00"]
+    buffer = b" ".join(words)
+    starts = np.cumsum([0, *[len(w) + 1 for w in words]])[:-1]
+    ends = starts + [len(w) for w in words]
+    codes, rows = lm.spelled_codes(buffer, starts, ends)
+    assert codes.tolist()[:3] == [[256, 256, 97], [256, 97, 98], [97, 98, 256]] and rows[-1] == sum(len(w) + 1 for w in words)
+    chain = lm.Chain(codes[:, 0].astype(int) * 66_049 + codes[:, 1] * 257 + codes[:, 2], np.ones(len(codes)))
+    for word, got in zip(words, chain.spell(buffer, starts, ends), strict=True):
+        k = chain.code[[256, 256, *word, 256]]
+        wanted = sum(chain.log[a, b, c] - (chain.other if c == 95 else 0) for a, b, c in zip(k, k[1:], k[2:], strict=False))
+        assert got == pytest.approx(wanted, rel=1e-5)

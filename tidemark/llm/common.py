@@ -124,14 +124,35 @@ def row_runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         yield begin, len(sizes)
 
 
-def summed(parts: DataFrame, column: str, size: int) -> np.ndarray:
+def summed(parts: DataFrame, column: str, size: int, block: int = 8192, lanes: int = 32) -> np.ndarray:
     """The sum of the tasks' arrays of ``size`` numbers, place by place.
 
-    Spark adds the places up, so no task or group holds more than its own array.
+    Arrays go in blocks to the tasks that add them up as they come, first those of
+    each lane of tasks, then the lanes' sums; no task holds more than a running sum.
     """
-    each = parts.select(F.posexplode(column).alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+    cuts = F.sequence(F.lit(0), F.lit((size - 1) // block))
+    blocks = F.transform(cuts, lambda k: F.slice(column, k * block + 1, F.lit(block)))
+    rows = parts.select((F.spark_partition_id() % lanes).alias("lane"), F.posexplode(blocks).alias("block", "sums"))
+
+    def add(batches: Batches) -> Batches:
+        totals: dict[tuple[int, int], np.ndarray] = {}
+        for b in batches:
+            ends = np.asarray(b.column(2).offsets)
+            values = np.asarray(b.column(2).values)
+            for k, key in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
+                v = values[ends[k] : ends[k + 1]]
+                totals[key] = totals[key] + v if key in totals else v.copy()
+        if totals:
+            lane, at = zip(*totals, strict=True)
+            sums = pa.array(list(totals.values()), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array(lane, pa.int32()), pa.array(at, pa.int32()), sums], names=["lane", "block", "sums"])
+
+    ddl = "lane int, block int, sums array<double>"
+    of_lanes = in_arrow(rows.repartition(lanes, "lane", "block"), add, ddl).withColumn("lane", F.lit(0))
+    found = in_arrow(of_lanes.repartition(lanes, "block"), add, ddl).toArrow().to_pydict()
     out = np.zeros(size)
-    out[each.column("at").to_numpy()] = each.column("v").to_numpy()
+    for k, v in zip(found["block"], found["sums"], strict=True):
+        out[k * block : k * block + len(v)] = v
     return out
 
 

@@ -45,7 +45,7 @@ def spelled_codes(buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[
 
     Also the first row of each word, and the number of rows.
     """
-    data = np.frombuffer(buffer, np.uint8)
+    data = np.frombuffer(buffer, np.uint8).astype(np.int16)  # bytes alone have no place for the edge
     length = ends - starts + 1
     rows = np.concatenate(([0], np.cumsum(length)))
     inside = (np.arange(rows[-1]) - np.repeat(rows[:-1], length)).astype(np.int32)
@@ -86,17 +86,30 @@ class Chain:
         mixed = (table + 4 * pairs[None]) / (known + 4)
         self.log = np.log10(mixed).astype(np.float32)
         self.other = np.log10(257 - codes + 1)
+        self.small = self.code[:256].astype(np.uint8)
+        self.each = self.log.copy()
+        self.each[:, :, codes - 1] -= self.other
+        self.each = self.each.ravel()
 
     def spell(self, buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """log10 probability of each word's spelling, its end included."""
         if len(starts) > SPELLED:
             parts = range(0, len(starts), SPELLED)
             return np.concatenate([self.spell(buffer, starts[i : i + SPELLED], ends[i : i + SPELLED]) for i in parts])
-        codes, rows = spelled_codes(buffer, starts, ends)
-        k = self.code[codes]
-        each = self.log[k[:, 0], k[:, 1], k[:, 2]] - np.where(k[:, 2] == len(self.log) - 1, self.other, 0.0)
-        sums = np.concatenate(([0.0], np.cumsum(each, dtype=np.float64)))
-        return sums[rows[1:]] - sums[rows[:-1]]
+        if not len(starts):
+            return np.zeros(0)
+        length = ends - starts + 1
+        begins = np.cumsum(length) - length
+        at = np.arange(begins[-1] + length[-1]) + np.repeat(starts - begins, length)
+        # The edge after a word has code 0, and so have the two places before it.
+        last = self.small[np.frombuffer(buffer, np.uint8)[np.minimum(at, len(buffer) - 1)]].astype(np.int32)
+        last[begins + length - 1] = 0
+        one, two = np.zeros_like(last), np.zeros_like(last)
+        one[1:] = last[:-1]
+        two[1:] = one[:-1]
+        two[begins] = 0
+        codes = len(self.log)
+        return np.add.reduceat(self.each.take((two * codes + one) * codes + last), begins, dtype=np.float64)
 
 
 @dataclass
@@ -309,9 +322,15 @@ def train_window(net: Net, x: np.ndarray, y: np.ndarray, h: np.ndarray, end: int
     """
     steps, b = x.shape[1], len(x)
     states, kept, inputs = [], [], []
-    ids, place = np.unique(x.T.ravel(), return_inverse=True)
-    table = net["embed"][ids] @ net["wx"] + net["b"]
+    flat = x.T.ravel()
+    order = np.argsort(flat, kind="stable")
+    first = np.concatenate(([True], flat[order[1:]] != flat[order[:-1]]))
+    firsts = np.flatnonzero(first)
+    ids = flat[order[firsts]]
+    place = np.empty(len(flat), np.int64)
+    place[order] = np.cumsum(first) - 1
     place = place.reshape(steps, b)
+    table = net["embed"][ids] @ net["wx"] + net["b"]
     live = (x != end).astype(h.dtype).T[:, :, None]
     for t in range(steps):
         # A text starts from an empty state.
@@ -337,9 +356,7 @@ def train_window(net: Net, x: np.ndarray, y: np.ndarray, h: np.ndarray, end: int
         dhw[:, 2 * n :] = dnew * r
         dh = (dh * z + dhw @ wh_t) * live[t]
     grads["wh"] = np.concatenate(inputs).T @ dhws.reshape(-1, 3 * n)
-    drows, order = drows.reshape(-1, 3 * n), np.argsort(place.ravel(), kind="stable")
-    firsts = np.searchsorted(place.ravel()[order], np.arange(len(ids)))
-    dtable = np.add.reduceat(drows[order], firsts, axis=0)
+    dtable = np.add.reduceat(drows.reshape(-1, 3 * n)[order], firsts, axis=0)
     grads["b"] = dtable.sum(0)
     grads["wx"] = net["embed"][ids].T @ dtable
     grads["embed"] = np.zeros_like(net["embed"])
