@@ -307,7 +307,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, unchanged."""
+    """The rows of ``docs`` that are not contaminated, unchanged.
+
+    Null and empty texts have no words and stay; repeated rows are judged one by one.
+    An empty benchmark takes nothing away.
+    """
     names = tuple(spare(n, docs.columns) for n in ("n_words", "spans", "items"))
     found = find_passages(docs, benchmark, names=names, **options)
     return found.where(~is_contaminated(names[1], names[0])).select(*[f"`{c}`" for c in docs.columns])

@@ -254,6 +254,8 @@ def good_documents(
 ) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged.
 
+    Null and empty texts have no words, so the base refuses them. Repeated rows are
+    judged one by one, rows without an id by the cutoffs alone.
     The counts are worked out twice, once on labelled documents to calibrate and once
     beside the texts; no text is shuffled while at most ``most_sent`` ids are labelled.
     """

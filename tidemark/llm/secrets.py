@@ -347,7 +347,9 @@ def secret_report(docs: DataFrame, least: int = 8, **options) -> DataFrame:
 def without_secrets(docs: DataFrame, mark: str = "[SECRET]", least: int = 8, **options) -> DataFrame:
     """``docs`` with each secret replaced by ``mark``; ``n_chars`` follows where there is one.
 
-    Texts without a secret, and all other columns, stay as they are.
+    Texts without a secret, and all other columns, stay as they are: a null text is
+    null and an empty one empty. Repeated rows are handled one by one; an empty table
+    gives an empty one.
     """
     judge = fit(docs.sparkSession, written(scan(docs, least), "candidates"), **options)
     sent = docs.sparkSession.sparkContext.broadcast(judge)
