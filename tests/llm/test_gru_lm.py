@@ -1,9 +1,12 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import gru_lm as lm
@@ -152,3 +155,34 @@ def test_edges_of_words_are_no_bytes():
         k = chain.code[[256, 256, *word, 256]]
         wanted = sum(chain.log[a, b, c] - (chain.other if c == 95 else 0) for a, b, c in zip(k, k[1:], k[2:], strict=False))
         assert got == pytest.approx(wanted, rel=1e-5)
+
+
+def test_common_tokens_are_found_by_their_leading_bits():
+    """Also where many share them, and where a hash lies beside those of a common token."""
+    rng = np.random.default_rng(7)
+    common = np.unique(np.concatenate((rng.integers(0, 2**63, 300, np.uint64) * 2, np.arange(50, dtype=np.uint64), 2**64 - 1 - np.arange(9, dtype=np.uint64))))
+    words = lm.Words(common, np.arange(1, len(common) + 1), np.arange(len(common)) % 7, np.ones(7), 9, 1, 0.5, None)
+    asked = np.concatenate((common, common + np.uint64(1), common - np.uint64(1), rng.integers(0, 2**63, 500, np.uint64)))
+    ids, counts = lm.look_up(words, asked)
+    wanted = {h: (k % 7, k + 1) for k, h in enumerate(common.tolist())}
+    assert [*zip(ids.tolist(), counts.tolist(), strict=True)] == [wanted.get(h, (0, 0)) for h in asked.tolist()]
+
+
+def test_scoring_keeps_the_ids_of_a_group_and_a_slice_of_the_rest(documents, monkeypatch):
+    """A task that keeps all words' arrays and bytes until they are scored takes several times as much."""
+    runs, in_arrow = [], lm.in_arrow
+    monkeypatch.setattr(lm, "in_arrow", lambda rows, run, ddl: runs.append(run) or in_arrow(rows, run, ddl))
+    lm.language_scores(documents)
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    text = [" ".join(f"w{(k * 31 + i * i) % 5000}" for i in range(700)) for k in range(5000)]
+    rows = {"doc_id": range(5000), "held_out": [k % 7 == 2 for k in range(5000)], "text": text}
+    batch = pa.RecordBatch.from_pydict(rows)
+    del text, rows
+    tracemalloc.start()
+    try:
+        got = [r for b in runs[-1](iter([batch])) for r in zip(*(b.column(n).to_pylist() for n in ("row", "doc_id", "n_tokens")), strict=True)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got == [(3 << 40 | k, k, 701) for k in range(5000)]
+    assert peak < 220e6

@@ -15,14 +15,16 @@ state through the whole document; a window's places share one output pass.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, SPACED, Batches, in_arrow, summed, texts, word_hashes
+from tidemark.llm.common import LOWER, SPACED, Batches, in_arrow, row_runs, summed, texts, word_hashes
 from tidemark.session import written
 
 CLASS = 64
@@ -30,6 +32,8 @@ END = np.uint64(0x9E3779B97F4A7C15)  # stands for the end of a text
 LN10 = np.log(10.0)
 BOUND = 1 / 30  # of a window's gradient norm, for each of its ids
 SPELLED = 50_000  # words whose bytes are laid out at once
+SLICE = 2 << 20  # bytes of text that are cut and looked up at once in scoring
+GROUP = 6 << 20  # tokens, kept as ids, that are scored side by side
 
 
 def tokenise(some: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray]:
@@ -129,6 +133,17 @@ class Words:
     def rest(self) -> int:
         return int(self.vocabulary[0])
 
+    @cached_property
+    def shift(self) -> np.uint64:
+        """What leaves a hash's leading bits, about eight times as many values as there are common tokens."""
+        return np.uint64(64 - (8 * len(self.common)).bit_length())
+
+    @cached_property
+    def first(self) -> np.ndarray:
+        """The first common token of each value of the leading bits."""
+        seen = np.bincount((self.common >> self.shift).astype(np.int64), minlength=1 << (64 - int(self.shift)))
+        return np.concatenate(([0], np.cumsum(seen))).astype(np.int32)
+
 
 def count_tokens(rows: DataFrame) -> DataFrame:
     """(kind, token, n): training counts by hash (kind 0) and byte triples of distinct words (kind 1)."""
@@ -136,8 +151,12 @@ def count_tokens(rows: DataFrame) -> DataFrame:
     def run(batches: Batches) -> Batches:
         for some in slices(batches, lambda b: [t for t, h in zip(texts(b), b.column(1).to_pylist(), strict=True) if not h]):
             hashes, bounds, buffer, starts, ends = tokenise(some)
-            found, first, n = np.unique(hashes, return_index=True, return_counts=True)
-            yield batch(0, found.view(np.int64), n)
+            # Any place of a token will do, so the sort need not be stable.
+            order = np.argsort(hashes)
+            found = hashes[order]
+            edges = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1], [True]))[: len(found) + 1])
+            first, n = order[edges[:-1]], np.diff(edges)
+            yield batch(0, found[edges[:-1]].view(np.int64), n)
             yield batch(0, np.array([END]).view(np.int64), np.array([len(some)]))
             # Each distinct word once: new words are spelled like rare ones.
             for i in range(0, len(first), SPELLED):
@@ -155,15 +174,20 @@ def count_tokens(rows: DataFrame) -> DataFrame:
 
 
 def slices(batches: Batches, take, size: int = 16 << 20):
-    """Lists of about so many bytes of text, over the batches of a task."""
+    """Lists of about so many bytes of text, over the batches of a task.
+
+    Of a batch, no more than that is out of its columns at a time.
+    """
     held, total = [], 0
     for b in batches:
-        for t in take(b):
-            held.append(t)
-            total += len(t)
-            if total >= size:
-                yield held
-                held, total = [], 0
+        lengths = np.asarray(pc.binary_length(b.column(b.schema.get_field_index("text"))).fill_null(0))
+        for begin, end in row_runs(lengths, size):
+            for t in take(b.slice(begin, end - begin)):
+                held.append(t)
+                total += len(t)
+                if total >= size:
+                    yield held
+                    held, total = [], 0
     if held:
         yield held
 
@@ -235,16 +259,24 @@ def new_net(vocabulary: np.ndarray, hidden: int, seed: int = 1) -> Net:
     }
 
 
+def by_value(x: np.ndarray) -> np.ndarray:
+    """The order of ids; numpy sorts those of 16 bits in passes over the digits."""
+    return np.argsort(x.astype(np.min_scalar_type(int(x.max(initial=0)))), kind="stable")
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place of ``x``."""
+    np.negative(x, out=x)
     with np.errstate(over="ignore"):
-        x = np.exp(-x)
+        np.exp(x, out=x)
     x += 1
     return np.reciprocal(x, out=x)
 
 
 def tanh(x: np.ndarray) -> np.ndarray:
-    """By one exponential, which numpy has faster than the function itself."""
-    x = sigmoid(x + x)
+    """By one exponential, which numpy has faster than the function itself; in place of ``x``."""
+    x += x
+    sigmoid(x)
     x += x
     x -= 1
     return x
@@ -266,25 +298,25 @@ def output(net: Net, h: np.ndarray, target: np.ndarray, backward: bool = False,
     Places are put in the order of their classes once, so each class is a slice, and
     worked on a ``part`` at a time, so that a part's tables stay in the cache.
     """
-    order = np.argsort(target, kind="stable")
+    order = by_value(target)
     kind, inner = np.divmod(target[order], CLASS)
-    out = np.empty(len(h), h.dtype)
-    grads = {k: np.zeros_like(net[k]) for k in ("cw", "cb", "ow", "ob")} if backward else {}
-    back = np.empty_like(h)
-    cw_t = net["cw"].T.copy()
+    n, out, back = h.shape[1], np.empty(len(h), h.dtype), np.empty_like(h)
+    # Biases are a last row of the weights, which meets a one behind each state.
+    cw = np.concatenate((net["cw"], net["cb"][None]))
+    ow = np.concatenate((net["ow"], net["ob"][:, None]), 1)
+    dcw, dow, cw_t = np.zeros_like(cw), np.zeros_like(ow), net["cw"].T.copy()
     for begin in range(0, len(h), part):
         at = order[begin : begin + part]
-        hs, k, i = h[at], kind[begin : begin + part], inner[begin : begin + part]
-        rows = np.arange(len(at))
-        dc = hs @ net["cw"]
-        dc += net["cb"]
+        k, i, rows = kind[begin : begin + part], inner[begin : begin + part], np.arange(len(at))
+        hs = np.ones((len(at), n + 1), h.dtype)
+        hs[:, :n] = h[at]
+        dc = hs @ cw
         logp, over = softmax(dc, k)
         edges = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1], [True])))
         do = np.empty((len(at), CLASS), h.dtype)
         slices = [(int(k[a]), slice(a, b)) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
         for c, some in slices:
-            np.matmul(hs[some], net["ow"][c], out=do[some])
-            do[some] += net["ob"][c]
+            np.matmul(hs[some], ow[c], out=do[some])
         within, inner_over = softmax(do, i)
         out[at] = logp + within
         if not backward:
@@ -293,25 +325,29 @@ def output(net: Net, h: np.ndarray, target: np.ndarray, backward: bool = False,
         do *= inner_over[:, None]
         dc[rows, k] -= 1
         do[rows, i] -= 1
-        grads["cw"] += hs.T @ dc
-        grads["cb"] += dc.sum(0)
+        dcw += hs.T @ dc
         dh = dc @ cw_t
         for c, some in slices:
-            grads["ow"][c] += hs[some].T @ do[some]
-            grads["ob"][c] += do[some].sum(0)
+            dow[c] += hs[some].T @ do[some]
             dh[some] += do[some] @ net["ow"][c].T
         back[at] = dh
-    return (out, grads, back) if backward else out
+    return (out, {"cw": dcw[:n], "cb": dcw[n], "ow": dow[:, :n], "ob": dow[:, n]}, back) if backward else out
 
 
 def cell(table_row: np.ndarray, h: np.ndarray, wh: np.ndarray):
     """One step for a batch: the new state and what backpropagation needs."""
     n = h.shape[1]
-    hw = h @ wh
-    gates = sigmoid(table_row[:, : 2 * n] + hw[:, : 2 * n])
-    z, r = gates[:, :n], gates[:, n:]
-    new = tanh(table_row[:, 2 * n :] + r * hw[:, 2 * n :])
-    return new + z * (h - new), (z, r, new, hw[:, 2 * n :])
+    gates = h @ wh[:, : 2 * n]
+    gates += table_row[:, : 2 * n]
+    sigmoid(gates)
+    hn = h @ wh[:, 2 * n :]
+    new = hn * gates[:, n:]
+    new += table_row[:, 2 * n :]
+    tanh(new)
+    out = h - new
+    out *= gates[:, :n]
+    out += new
+    return out, (gates, new, hn)
 
 
 def train_window(net: Net, x: np.ndarray, y: np.ndarray, h: np.ndarray, end: int):
@@ -320,10 +356,9 @@ def train_window(net: Net, x: np.ndarray, y: np.ndarray, h: np.ndarray, end: int
     The ids' input rows are worked out once for the window, and the rows' gradients
     are added up by id before they go back through the input weights.
     """
-    steps, b = x.shape[1], len(x)
-    states, kept, inputs = [], [], []
+    steps, b, n = x.shape[1], len(x), h.shape[1]
     flat = x.T.ravel()
-    order = np.argsort(flat, kind="stable")
+    order = by_value(flat)
     first = np.concatenate(([True], flat[order[1:]] != flat[order[:-1]]))
     firsts = np.flatnonzero(first)
     ids = flat[order[firsts]]
@@ -332,31 +367,40 @@ def train_window(net: Net, x: np.ndarray, y: np.ndarray, h: np.ndarray, end: int
     place = place.reshape(steps, b)
     table = net["embed"][ids] @ net["wx"] + net["b"]
     live = (x != end).astype(h.dtype).T[:, :, None]
+    kept, inputs, states = [], np.empty((steps, b, n), h.dtype), np.empty((steps, b, n), h.dtype)
     for t in range(steps):
         # A text starts from an empty state.
-        h = h * live[t]
-        inputs.append(h)
-        h, more = cell(table[place[t]], h, net["wh"])
+        np.multiply(h, live[t], out=inputs[t])
+        states[t], more = cell(table.take(place[t], 0), inputs[t], net["wh"])
         kept.append(more)
-        states.append(h)
-    logp, grads, dflat = output(net, np.concatenate(states), y.T.ravel(), backward=True)
+        h = states[t]
+    h = h.copy()
+    logp, grads, dflat = output(net, states.reshape(-1, n), y.T.ravel(), backward=True)
     dh, wh_t = np.zeros_like(h), net["wh"].T.copy()
-    n = h.shape[1]
-    drows = np.empty((steps, b, 3 * n), h.dtype)
-    dhws = np.empty((steps, b, 3 * n), h.dtype)
+    # Gradients before the gates, before the new states, and of the old states' part in those.
+    dgates, dnews, dhns = (np.empty((steps, b, k), h.dtype) for k in (2 * n, n, n))
     for t in reversed(range(steps)):
-        dh = dh + dflat[t * b : (t + 1) * b]
-        z, r, new, hn = kept[t]
-        dnew = dh * (1 - z) * (1 - new * new)
-        drow, dhw = drows[t], dhws[t]
-        drow[:, :n] = dh * (inputs[t] - new) * z * (1 - z)
-        drow[:, n : 2 * n] = dnew * hn * r * (1 - r)
-        drow[:, 2 * n :] = dnew
-        dhw[:, : 2 * n] = drow[:, : 2 * n]
-        dhw[:, 2 * n :] = dnew * r
-        dh = (dh * z + dhw @ wh_t) * live[t]
-    grads["wh"] = np.concatenate(inputs).T @ dhws.reshape(-1, 3 * n)
-    dtable = np.add.reduceat(drows.reshape(-1, 3 * n)[order], firsts, axis=0)
+        dh += dflat[t * b : (t + 1) * b]
+        gates, new, hn = kept[t]
+        dgate, dnew = dgates[t], dnews[t]
+        slope = 1 - gates
+        np.multiply(new, new, out=dnew)
+        np.subtract(1, dnew, out=dnew)
+        dnew *= slope[:, :n]
+        dnew *= dh
+        slope *= gates
+        np.subtract(inputs[t], new, out=dgate[:, :n])
+        dgate[:, :n] *= dh
+        np.multiply(dnew, hn, out=dgate[:, n:])
+        dgate *= slope
+        np.multiply(dnew, gates[:, n:], out=dhns[t])
+        dh *= gates[:, :n]
+        dh += dgate @ wh_t[: 2 * n]
+        dh += dhns[t] @ wh_t[2 * n :]
+        dh *= live[t]
+    inputs, dgates, dnews, dhns = (v.reshape(-1, v.shape[2]) for v in (inputs, dgates, dnews, dhns))
+    grads["wh"] = np.concatenate((inputs.T @ dgates, inputs.T @ dhns), 1)
+    dtable = np.concatenate([np.add.reduceat(v.take(order, 0), firsts, axis=0) for v in (dgates, dnews)], 1)
     grads["b"] = dtable.sum(0)
     grads["wx"] = net["embed"][ids].T @ dtable
     grads["embed"] = np.zeros_like(net["embed"])
@@ -401,8 +445,17 @@ def look_up(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Model ids and training counts of tokens; both 0 where a token isn't a common one."""
     if not len(words.common):
         return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
-    at = np.minimum(np.searchsorted(words.common, hashes), len(words.common) - 1)
-    known = words.common[at] == hashes
+    top = (hashes >> words.shift).view(np.int64)
+    at = np.minimum(words.first.take(top), len(words.common) - 1)
+    known = words.common.take(at) == hashes
+    # The few that share their leading bits with another common token go on to the next one.
+    left = np.flatnonzero(~known)
+    last = words.first.take(top[left] + 1) - 1
+    while len(left := left[(more := at[left] < last)]):
+        last = last[more]
+        at[left] += 1
+        known[left] = hit = words.common[at[left]] == hashes[left]
+        left, last = left[~hit], last[~hit]
     return np.where(known, words.ids[at], 0), np.where(known, words.counts[at], 0)
 
 
@@ -508,39 +561,51 @@ def language_scores(
 
     def run(batches: Batches) -> Batches:
         known_net, known = sent.value
-        task, row = TaskContext.get().partitionId(), 0
-        for some in slices(batches, _Rows, 24 << 20):
-            found = [s.text for s in some]
-            hashes, bounds, buffer, starts, ends = tokenise(found)
+        end_seen = int(look_up(known, np.array([END]))[1][0])
+        task, row, held, tokens = TaskContext.get().partitionId(), 0, [], 0
+
+        def scored() -> Batches:
+            """The rows held, with the net's part of their scores: the more texts side by side, the fewer its steps."""
+            ids = np.concatenate([i for i, *_ in held])
+            bounds = np.concatenate(([0], np.cumsum(np.concatenate([np.diff(b) for _, b, *_ in held]))))
+            score, begin = score_texts(known_net, known, ids, bounds), 0
+            for _, b, columns in held:
+                some = slice(begin, begin + len(b) - 1)
+                begin = some.stop
+                yield pa.RecordBatch.from_pydict(columns | {"score": columns["score"] + score[some]})
+
+        for some in slices(batches, _Rows, SLICE):
+            hashes, bounds, buffer, starts, ends = tokenise([s.text for s in some])
             ids, seen = look_up(known, hashes)
-            score = score_texts(known_net, known, ids, bounds)
-            end_seen = int(look_up(known, np.array([END]))[1][0])
-            owner = np.repeat(np.arange(len(found)), np.diff(bounds))
+            owner = np.repeat(np.arange(len(some)), np.diff(bounds))
             common_token = seen > 0
-            base = np.bincount(owner, np.log10(seen + 1.0), minlength=len(found)) + np.log10(end_seen + 1.0)
-            n_known = np.bincount(owner[common_token], minlength=len(found)) + (end_seen > 0)
+            base = np.bincount(owner, np.log10(seen + 1.0), minlength=len(some)) + np.log10(end_seen + 1.0)
+            n_known = np.bincount(owner[common_token], minlength=len(some)) + (end_seen > 0)
             # Spelling of the tokens under id 0: common ones here, the others after the join.
             plain = np.flatnonzero(ids == 0)
             spelled = known.chain.spell(buffer, starts[plain], ends[plain])
             inside = common_token[plain]
-            score += np.bincount(owner[plain[inside]], _spelling(known, seen[plain[inside]], spelled[inside]), minlength=len(found))
+            score = np.bincount(owner[plain[inside]], _spelling(known, seen[plain[inside]], spelled[inside]), minlength=len(some))
             rare, spelled = plain[~inside], spelled[~inside]
-            cuts = np.searchsorted(owner[rare], np.arange(len(found) + 1))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(task << 40 | np.arange(row, row + len(found))),
-                    pa.array([s.doc_id for s in some], some[0].kind),
-                    pa.array([s.held_out for s in some], pa.bool_()),
-                    pa.array(np.diff(bounds) + 1),
-                    pa.array(n_known.astype(np.int64)),
-                    pa.array(base),
-                    pa.array(score),
-                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(hashes[rare].view(np.int64))),
-                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(spelled.astype(np.float32))),
-                ],
-                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "spelled"],
-            )
-            row += len(found)
+            cuts = pa.array(np.searchsorted(owner[rare], np.arange(len(some) + 1)), pa.int32())
+            columns = {
+                "row": task << 40 | np.arange(row, row + len(some)),
+                "doc_id": pa.array([s.doc_id for s in some], some[0].kind),
+                "held_out": pa.array([s.held_out for s in some], pa.bool_()),
+                "n_tokens": np.diff(bounds) + 1,
+                "n_known": n_known.astype(np.int64),
+                "base": base,
+                "score": score,
+                "rare": pa.ListArray.from_arrays(cuts, pa.array(hashes[rare].view(np.int64))),
+                "spelled": pa.ListArray.from_arrays(cuts, pa.array(spelled.astype(np.float32))),
+            }
+            held.append((ids.astype(np.int32), bounds, columns))
+            row, tokens = row + len(some), tokens + len(ids) + len(some)
+            if tokens >= GROUP:
+                yield from scored()
+                held, tokens = [], 0
+        if held:
+            yield from scored()
 
     ddl = (
         f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, "
