@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from tidemark.llm import common
 from tidemark.llm import gru_lm as lm
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -186,3 +187,32 @@ def test_scoring_keeps_the_ids_of_a_group_and_a_slice_of_the_rest(documents, mon
         tracemalloc.stop()
     assert got == [(3 << 40 | k, k, 701) for k in range(5000)]
     assert peak < 220e6
+
+
+def test_word_hashes_are_the_polynomial_of_the_bytes():
+    """Whatever piece a word falls in, and however long it is."""
+    rng = np.random.default_rng(8)
+    for buffer in (b"", b" ", b"a", b" \nab  c ", bytes(200_000), b"x" * 70_000 + b" y " + b"z" * 140_000, rng.choice(list(b"abc \x00\xff"), 300_000).astype(np.uint8).tobytes()):
+        hashes, starts, ends = common.word_hashes(buffer, common.SPACED)
+        spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", buffer)]
+        assert [*zip(starts.tolist(), ends.tolist(), strict=True)] == spans
+        for (a, b), got in [*zip(spans, hashes.tolist(), strict=True)][:: max(1, len(spans) // 50)]:
+            total = sum((c + 1) * pow(common._BASE, i, 1 << 64) for i, c in enumerate(buffer[a:b])) + b - a
+            assert got == int(common.mix(np.array([total % (1 << 64)], np.uint64))[0])
+
+
+def test_weights_of_tasks_are_averaged_by_their_tokens(spark, monkeypatch):
+    monkeypatch.setattr(lm, "in_arrow", lambda rows, run, ddl: run_here(rows, run, ddl))
+
+    def run_here(rows, run, ddl):
+        """Each row a task of its own."""
+        found = [b.to_pylist() for r in rows.collect() for b in run(iter([pa.RecordBatch.from_pylist([r.asDict()])]))]
+        return spark.createDataFrame([tuple(x.values()) for some in found for x in some], ddl)
+
+    net = lm.new_net(np.array([5.0, 9, 8, 7, 3] * 4), 5, seed=3)
+    words = lm.Words(np.array([lm.END]), np.array([9]), np.array([1]), np.ones(20), 9, 1, 0.5, None)
+    monkeypatch.setattr(lm, "train", lambda net, ids, end, squares: {k: v + len(ids) for k, v in net.items()})
+    rows = spark.createDataFrame([(1, False, "a b c"), (2, False, "a")], "doc_id long, held_out boolean, text string")
+    got = lm.train_round(rows, net, words)
+    for k, v in net.items():
+        assert got[k] == pytest.approx(v + (4 * 4 + 2 * 2) / 6, rel=1e-5)

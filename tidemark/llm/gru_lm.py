@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, SPACED, Batches, in_arrow, row_runs, summed, texts, word_hashes
+from tidemark.llm.common import LOWER, SPACED, Batches, in_arrow, row_runs, texts, word_hashes
 from tidemark.session import written
 
 CLASS = 64
@@ -33,6 +33,7 @@ LN10 = np.log(10.0)
 BOUND = 1 / 30  # of a window's gradient norm, for each of its ids
 SPELLED = 50_000  # words whose bytes are laid out at once
 SLICE = 2 << 20  # bytes of text that are cut and looked up at once in scoring
+LANES = 16  # weights in a row, when Spark adds up those of the tasks
 GROUP = 6 << 20  # tokens, kept as ids, that are scored side by side
 
 
@@ -309,7 +310,7 @@ def output(net: Net, h: np.ndarray, target: np.ndarray, backward: bool = False,
         at = order[begin : begin + part]
         k, i, rows = kind[begin : begin + part], inner[begin : begin + part], np.arange(len(at))
         hs = np.ones((len(at), n + 1), h.dtype)
-        hs[:, :n] = h[at]
+        hs[:, :n] = h.take(at, 0)
         dc = hs @ cw
         logp, over = softmax(dc, k)
         edges = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1], [True])))
@@ -350,6 +351,19 @@ def cell(table_row: np.ndarray, h: np.ndarray, wh: np.ndarray):
     return out, (gates, new, hn)
 
 
+def run_sums(rows: np.ndarray, firsts: np.ndarray, long: int = 16) -> np.ndarray:
+    """The sum of each run of rows: long runs alone, of all others the second rows, the third, and so on."""
+    sizes = np.diff(firsts, append=len(rows))
+    out = rows.take(firsts, 0)
+    for k in np.flatnonzero(sizes >= long).tolist():
+        rows[firsts[k] : firsts[k] + sizes[k]].sum(0, out=out[k])
+    j, some = 1, np.flatnonzero(sizes < long)
+    while len(some := some[sizes[some] > j]):
+        out[some] += rows.take(firsts[some] + j, 0)
+        j += 1
+    return out
+
+
 def train_window(net: Net, x: np.ndarray, y: np.ndarray, h: np.ndarray, end: int):
     """Loss gradients of one window of streams (streams, steps) and the state after it.
 
@@ -400,7 +414,7 @@ def train_window(net: Net, x: np.ndarray, y: np.ndarray, h: np.ndarray, end: int
         dh *= live[t]
     inputs, dgates, dnews, dhns = (v.reshape(-1, v.shape[2]) for v in (inputs, dgates, dnews, dhns))
     grads["wh"] = np.concatenate((inputs.T @ dgates, inputs.T @ dhns), 1)
-    dtable = np.concatenate([np.add.reduceat(v.take(order, 0), firsts, axis=0) for v in (dgates, dnews)], 1)
+    dtable = run_sums(np.concatenate((dgates, dnews), 1).take(order, 0), firsts)
     grads["b"] = dtable.sum(0)
     grads["wx"] = net["embed"][ids].T @ dtable
     grads["embed"] = np.zeros_like(net["embed"])
@@ -478,7 +492,7 @@ def score_texts(net: Net, words: Words, ids: np.ndarray, bounds: np.ndarray, win
     last = np.full(len(order), end)
     states, targets, who, held = [], [], [], 0
     for t, live in enumerate(lives.tolist()):
-        h, _ = cell(table[last[:live]], h[:live], net["wh"])
+        h, _ = cell(table.take(last[:live], 0), h[:live], net["wh"])
         last = ids[begins[:live] + t]
         states.append(h)
         targets.append(last)
@@ -521,11 +535,17 @@ def train_round(rows: DataFrame, net: Net, words: Words) -> Net:
             tokens += len(ids)
         if tokens:
             part = np.append(_blocks(mine).astype(np.float64) * tokens, tokens)
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.list_(pa.float64()))], names=["part"])
+            table = np.resize(part, (-(-len(part) // LANES), LANES)).T
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (np.arange(table.shape[1]), *table)], names=["at", *lanes])
 
     size = sum(v.size for v in net.values())
-    total = summed(in_arrow(rows, run, "part array<double>"), "part", size + 1)
-    return _net_of(total[:-1] / total[-1], net) if total[-1] else net
+    lanes = [f"v{i}" for i in range(LANES)]
+    parts = in_arrow(rows, run, "at long, " + ", ".join(f"{v} double" for v in lanes))
+    sums = parts.groupBy("at").agg(*(F.sum(v).alias(v) for v in lanes)).toArrow()
+    total = np.empty((len(sums), LANES))
+    total[sums.column("at").to_numpy()] = np.stack([sums.column(v).to_numpy() for v in lanes], 1)
+    total = total.ravel()[: size + 1]
+    return _net_of(total[:-1] / total[-1], net) if len(total) else net
 
 
 def language_scores(
