@@ -32,7 +32,7 @@ END = np.uint64(0x9E3779B97F4A7C15)  # stands for the end of a text
 LN10 = np.log(10.0)
 BOUND = 1 / 30  # of a window's gradient norm, for each of its ids
 SPELLED = 50_000  # words whose bytes are laid out at once
-SLICE = 2 << 20  # bytes of text that are cut and looked up at once in scoring
+SLICE = 2 << 20  # bytes of text that are cut into words at once
 LANES = 16  # weights in a row, when Spark adds up those of the tasks
 GROUP = 6 << 20  # tokens, kept as ids, that are scored side by side
 
@@ -50,15 +50,16 @@ def spelled_codes(buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[
 
     Also the first row of each word, and the number of rows.
     """
-    data = np.frombuffer(buffer, np.uint8).astype(np.int16)  # bytes alone have no place for the edge
+    data = np.frombuffer(buffer, np.uint8)
     length = ends - starts + 1
     rows = np.concatenate(([0], np.cumsum(length)))
-    inside = (np.arange(rows[-1]) - np.repeat(rows[:-1], length)).astype(np.int32)
-    at = np.repeat(starts, length) + inside
-    out = np.full((len(at), 3), 256, np.int32)
-    out[:, 2] = np.where(inside < np.repeat(length - 1, length), data[np.minimum(at, len(data) - 1)], 256)
-    out[:, 1] = np.where(inside >= 1, data[at - 1], 256)
-    out[:, 0] = np.where(inside >= 2, data[at - 2], 256)
+    at = np.arange(rows[-1]) + np.repeat(starts - rows[:-1], length)
+    out = np.empty((len(at), 3), np.int32)  # bytes alone have no place for the edge
+    out[:, 2] = data[np.minimum(at, len(data) - 1)]
+    out[rows[1:] - 1, 2] = 256
+    for k in (1, 0):
+        out[1:, k] = out[:-1, k + 1]
+        out[rows[:-1], k] = 256
     return out, rows
 
 
@@ -146,18 +147,30 @@ class Words:
         return np.concatenate(([0], np.cumsum(seen))).astype(np.int32)
 
 
+def distinct(hashes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct hash, and the sum of ``n`` over all its places."""
+    order = np.argsort(hashes)
+    found = hashes[order]
+    firsts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1]))[: len(found)])
+    return order[firsts], np.add.reduceat(n[order], firsts) if len(firsts) else n[:0]
+
+
 def count_tokens(rows: DataFrame) -> DataFrame:
     """(kind, token, n): training counts by hash (kind 0) and byte triples of distinct words (kind 1)."""
 
     def run(batches: Batches) -> Batches:
         for some in slices(batches, lambda b: [t for t, h in zip(texts(b), b.column(1).to_pylist(), strict=True) if not h]):
-            hashes, bounds, buffer, starts, ends = tokenise(some)
-            # Any place of a token will do, so the sort need not be stable.
-            order = np.argsort(hashes)
-            found = hashes[order]
-            edges = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1], [True]))[: len(found) + 1])
-            first, n = order[edges[:-1]], np.diff(edges)
-            yield batch(0, found[edges[:-1]].view(np.int64), n)
+            parts, before = [], 0
+            for begin, end in row_runs(np.array([len(t) for t in some]), SLICE):
+                hashes, _, buffer, starts, ends = tokenise(some[begin:end])
+                at, n = distinct(hashes, np.ones(len(hashes), np.int64))
+                parts.append((hashes[at], n, starts[at] + before, ends[at] + before, buffer))
+                before += len(buffer)
+            *arrays, buffers = zip(*parts, strict=True)
+            hashes, n, starts, ends = map(np.concatenate, arrays)
+            buffer = b"".join(buffers)
+            first, n = distinct(hashes, n)
+            yield batch(0, hashes[first].view(np.int64), n)
             yield batch(0, np.array([END]).view(np.int64), np.array([len(some)]))
             # Each distinct word once: new words are spelled like rare ones.
             for i in range(0, len(first), SPELLED):
